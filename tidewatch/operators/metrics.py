@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators.ranking import (
-    exact_quantiles, melt, null_safe_join, order_bucket, prefix_sum)
+    exact_quantiles, melt, null_safe_join, order_bucket, prefix_sum, quantile_grid)
 
 METRICS = ["roc_auc", "average_precision", "gini", "accuracy", "balanced_accuracy", "precision",
            "recall", "f1", "specificity", "fpr", "fnr", "mcc", "ks"]
@@ -84,12 +84,10 @@ def quantile_threshold(scored: DataFrame, max_fpr: float = 0.05, candidates: int
     A quantile lies between two scores that are next to each other, so `score >= t` counts are
     those of the smallest distinct score not below it.
     """
-    probs = {f"p{i}": 0.01 + 0.98 * i / (candidates - 1) for i in range(candidates)}
-    wide = exact_quantiles(scored, [score], probs)
-    row = wide.first()
-    if row is None:
+    probs = [0.01 + 0.98 * i / (candidates - 1) for i in range(candidates)]
+    edges = sorted(set(quantile_grid(scored, score, probs)))  # at most `candidates` numbers
+    if not edges:
         raise ValueError("No scores to choose a threshold from")
-    edges = sorted({row[p] for p in probs})  # at most `candidates` numbers
     cells = score_cells(scored, label=label, score=score)
     # bucket k holds the scores caught by the first k candidates
     located = order_bucket(cells, "score", "k", cuts=edges)

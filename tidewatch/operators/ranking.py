@@ -6,6 +6,7 @@ accumulated, and the running sum inside each range is shifted by its offset. The
 decide the balance of the ranges, never the result.
 """
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -164,3 +165,28 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: dict[str, float],
         lo, hi = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
         out.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
     return picked.select(*group, "feature", "size", *out)
+
+
+def quantile_grid(df: DataFrame, col: str, probs: Sequence[float]) -> list[float]:
+    """Exact quantiles of one column for many probabilities, as plain numbers.
+
+    Only the distinct values that sit on a wanted position leave the executors, at most two
+    per probability.
+    """
+    ranked = value_ranks(df.select(F.col(col).cast("double").alias("x")), ["x"])
+    size = ranked.agg(F.sum("n").alias("n")).first()["n"] or 0
+    if not size:
+        return []
+    spots = [(size - 1) * p for p in probs]
+    wanted = sorted({i for s in spots for i in (math.floor(s), math.ceil(s))})
+    edges = [float(w) for w in wanted]
+    at = ranked.withColumn("__a", F.col("upto") - F.col("n") - 0.5).withColumn(
+        "__b", F.col("upto") - 0.5)
+    at = order_bucket(order_bucket(at, "__a", "__ka", cuts=edges), "__b", "__kb", cuts=edges)
+    hits = at.where("__kb > __ka").select("value", "__ka", "__kb").collect()
+    value = {wanted[i]: r["value"] for r in hits for i in range(r["__ka"], r["__kb"])}
+    out = []
+    for s in spots:
+        lo, hi = value[math.floor(s)], value[math.ceil(s)]
+        out.append(lo + (hi - lo) * (s - math.floor(s)))
+    return out
