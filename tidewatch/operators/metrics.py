@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators.ranking import (
-    exact_quantiles, melt, null_safe_join, order_bucket, prefix_sum, quantile_grid)
+    exact_quantiles, melt, order_bucket, prefix_sum, quantile_grid)
+from tidewatch.session import settle
 
 METRICS = ["roc_auc", "average_precision", "gini", "accuracy", "balanced_accuracy", "precision",
            "recall", "f1", "specificity", "fpr", "fnr", "mcc", "ks"]
@@ -27,16 +28,12 @@ def score_cells(scored: DataFrame, by: Sequence[str] = (), label: str = "label",
     """
     by = list(by)
     weight = weight if weight is not None else F.lit(1)
-    counts = scored.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
+    counts = settle(scored.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
         F.sum(F.when(F.col(label) == 1, weight).otherwise(0)).alias("pos"),
-        F.sum(F.when(F.col(label) == 0, weight).otherwise(0)).alias("neg"))
-    run = prefix_sum(counts, [F.col("score").desc()],
-                     {"tp": F.col("pos"), "fp": F.col("neg")}, group=by,
-                     key=-F.col("score"), cuts=cuts)
-    sizes = counts.groupBy(*by).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    if by:
-        return null_safe_join(run, sizes, by)
-    return run.crossJoin(F.broadcast(sizes))  # exactly one row of totals
+        F.sum(F.when(F.col(label) == 0, weight).otherwise(0)).alias("neg")))
+    return prefix_sum(counts, [F.col("score").desc()],
+                      {"tp": F.col("pos"), "fp": F.col("neg")}, group=by,
+                      key=-F.col("score"), cuts=cuts, totals={"p": "tp", "n": "fp"})
 
 
 @F.pandas_udf("double")
@@ -57,8 +54,7 @@ def threshold_table(scored: DataFrame, by: Sequence[str] = (), **names) -> DataF
     rows = cells.select(*by, F.col("score").alias("threshold"), precision.alias("precision"),
                         recall.alias("recall"), _f1(precision, recall, 1e-15).alias("f1"),
                         F.try_divide(F.col("fp"), F.col("n")).alias("fpr"))
-    score = names.get("score", "score")
-    top = scored.groupBy(*by).agg(F.max(F.col(score).cast("double")).alias("m"))
+    top = cells.groupBy(*by).agg(F.max("score").alias("m"))
     silent = top.select(*by, next_float("m").alias("threshold"), *[
         F.lit(0.0).alias(c) for c in ("precision", "recall", "f1", "fpr")])
     return rows.unionByName(silent)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.ranking import (
     exact_quantiles, global_row_number, melt, null_safe_join, prefix_sum)
+from tidewatch.session import settle
 
 
 def _canonical_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -119,10 +120,9 @@ def cramers_v(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def ecdf(scored: DataFrame, by: str = "label", score: str = "score") -> DataFrame:
     """Empirical distribution function per class at each distinct score."""
-    counts = scored.groupBy(by, score).agg(F.count("*").alias("n"))
-    run = prefix_sum(counts, [score], {"upto": F.col("n")}, group=[by])
-    sizes = counts.groupBy(by).agg(F.sum("n").alias("size"))
-    return null_safe_join(run, sizes, [by]).select(
+    counts = settle(scored.groupBy(by, score).agg(F.count("*").alias("n")))
+    run = prefix_sum(counts, [score], {"upto": F.col("n")}, group=[by], totals={"size": "upto"})
+    return run.select(
         by, score, (F.col("upto") / F.col("size")).alias("ecdf"))
 
 

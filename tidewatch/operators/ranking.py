@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidewatch.functions.hashing import hash_u32
+from tidewatch.session import settle
 
 HASH_BITS = 32
 
@@ -58,23 +59,27 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 def prefix_sum(df: DataFrame, order: Sequence, sums: dict[str, Column],
                group: Sequence[str] = (), key: Column | None = None,
-               buckets: int | None = None, cuts: list[float] | None = None) -> DataFrame:
+               buckets: int | None = None, cuts: list[float] | None = None,
+               totals: dict[str, str] | None = None) -> DataFrame:
     """Add inclusive running totals `sums` in `order`, restarted for every `group`.
 
     `key` is a numeric expression that never decreases along `order`; by default the first
     order column. No task ever holds more than one range of one group. `cuts` may bring ready
-    cut points for `key`; otherwise one pass over `df` finds them.
+    cut points for `key`; otherwise one pass over `df` finds them. `totals` adds the
+    whole sum of a group under a new name: {new name: name in sums}.
     """
     group = list(group)
     key = key if key is not None else F.col(order[0])
     staged = order_bucket(df.withColumn("__key", key.cast("double")), "__key", "__range",
                           buckets, cuts).drop("__key")
     part = [*group, "__range"]
-    totals = staged.groupBy(*part).agg(*[F.sum(e).alias(f"__t_{n}") for n, e in sums.items()])
-    before = (W.partitionBy(*group) if group else W.partitionBy(F.lit(0))).orderBy(
-        "__range").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(*part, *[
-        F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__o_{n}") for n in sums])
+    per_range = staged.groupBy(*part).agg(*[
+        F.sum(e).alias(f"__t_{n}") for n, e in sums.items()])
+    whole = W.partitionBy(*group) if group else W.partitionBy(F.lit(0))
+    before = whole.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = per_range.select(*part, *[
+        F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__o_{n}") for n in sums],
+        *[F.sum(f"__t_{n}").over(whole).alias(t) for t, n in (totals or {}).items()])
     inside = W.partitionBy(*part).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     running = staged.withColumns({n: F.sum(e).over(inside) for n, e in sums.items()})
     # without groups the offsets are one row per range, at most `buckets` of them
@@ -89,7 +94,7 @@ def global_row_number(df: DataFrame, first: str, key: str, name: str) -> DataFra
     Equal `first` values may hold any share of the rows, so ties are cut by ranges of `key`.
     """
     staged = order_bucket(df, key, "__tie")
-    cells = staged.groupBy(first, "__tie").agg(F.count("*").alias("__n"))
+    cells = settle(staged.groupBy(first, "__tie").agg(F.count("*").alias("__n")))
     placed = prefix_sum(cells, [first, "__tie"], {"__upto": F.col("__n")})
     offsets = placed.select(first, "__tie", (F.col("__upto") - F.col("__n")).alias("__before"))
     inside = W.partitionBy(first, "__tie").orderBy(key)
@@ -132,11 +137,12 @@ def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str],
 
 
 def value_ranks(df: DataFrame, cols: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
-    """(group, feature, value, n, upto): distinct numeric values with running counts."""
+    """(group, feature, value, n, upto, size): distinct numeric values with running counts."""
     long = melt(df, group, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counted = long.groupBy(*group, "feature", (F.col("value") + F.lit(0.0)).alias("value")).agg(
-        F.count("*").alias("n"))
-    return prefix_sum(counted, ["value"], {"upto": F.col("n")}, group=[*group, "feature"])
+    counted = settle(long.groupBy(*group, "feature", (F.col("value") + F.lit(0.0)).alias("value")
+                                  ).agg(F.count("*").alias("n")))
+    return prefix_sum(counted, ["value"], {"upto": F.col("n")}, group=[*group, "feature"],
+                      totals={"size": "upto"})
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: dict[str, float],
@@ -147,8 +153,6 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: dict[str, float],
     """
     group = list(group)
     ranked = value_ranks(df, cols, group)
-    sizes = ranked.groupBy(*group, "feature").agg(F.sum("n").alias("size"))
-    ranked = null_safe_join(ranked, sizes, [*group, "feature"])
     start = F.col("upto") - F.col("n")
 
     def at(index: Column) -> Column:
@@ -174,9 +178,10 @@ def quantile_grid(df: DataFrame, col: str, probs: Sequence[float]) -> list[float
     per probability.
     """
     ranked = value_ranks(df.select(F.col(col).cast("double").alias("x")), ["x"])
-    size = ranked.agg(F.sum("n").alias("n")).first()["n"] or 0
-    if not size:
+    first = ranked.select("size").first()
+    if first is None:
         return []
+    size = first["size"]
     spots = [(size - 1) * p for p in probs]
     wanted = sorted({i for s in spots for i in (math.floor(s), math.ceil(s))})
     edges = [float(w) for w in wanted]

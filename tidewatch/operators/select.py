@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.profile import column_values
 from tidewatch.operators.ranking import value_ranks
+from tidewatch.session import settle
 
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 BROADCAST_VALUES = 200_000  # distinct values of a column up to which its rank map is broadcast
@@ -26,6 +27,7 @@ def _rank_matrix(df: DataFrame, cols: list[str]) -> dict[tuple[str, str], float
                        for i, c in enumerate(cols)])
     names = data.columns
     ranks = value_ranks(data, names)
+    ranks = settle(ranks)
     per = {r["feature"]: (r["d"], r["s"]) for r in ranks.groupBy("feature").agg(
         F.count("*").alias("d"), F.sum("n").alias("s")).collect()}
     for c in names:

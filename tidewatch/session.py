@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -27,3 +27,12 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the scratch root; never reused, never cleared."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of an aggregate that several later passes read.
+
+    The scan and shuffle behind it run once, and the written files survive lost executors.
+    """
+    scratch_root(df.sparkSession)
+    return df.checkpoint(eager=True)
