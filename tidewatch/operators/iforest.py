@@ -165,8 +165,8 @@ class IsolationForest(Estimator, _ForestParams, DefaultParamsReadable, DefaultPa
         samples, psi = draw_samples(rows, "k", trees, g(self.maxSamples), seed)
         depth = math.ceil(math.log2(max(psi, 2)))
 
-        def build(key, pdf: pd.DataFrame) -> pd.DataFrame:
-            tree = int(key[0])
+        def build(pdf: pd.DataFrame) -> pd.DataFrame:
+            tree = int(pdf["tree"].iloc[0])
             pdf = pdf.sort_values("k")
             grown = grow_tree(np.stack(pdf["x"].to_numpy()), np.random.default_rng([seed, tree]),
                               depth)
@@ -175,7 +175,11 @@ class IsolationForest(Estimator, _ForestParams, DefaultParamsReadable, DefaultPa
             out.insert(0, "tree", tree)
             return out
 
-        nodes = samples.groupBy("tree").applyInPandas(build, NODE_SCHEMA).toPandas()
+        # the samples are small in bytes but not in work: keep adaptive execution from
+        # putting all trees into one task
+        slots = max(1, min(trees, 4 * df.sparkSession.sparkContext.defaultParallelism))
+        nodes = samples.repartition(slots, "tree").groupBy("tree").applyInPandas(
+            build, NODE_SCHEMA).toPandas()
         model = IsolationForestModel(nodes, psi)
         return self._copyValues(model)
 

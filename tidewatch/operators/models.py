@@ -8,7 +8,8 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame, SparkSession
@@ -29,14 +30,14 @@ def one_hot_stages(cols: Sequence[str]) -> list:
 
     Unseen values share one extra index, which the encoder's dropped last slot absorbs.
     """
-    return [*index_stages(cols),
-            *[OneHotEncoder(inputCols=[f"{c}_idx"], outputCols=[f"{c}_vec"], dropLast=True)
-              for c in cols]]
+    return [*index_stages(cols), *([OneHotEncoder(
+        inputCols=[f"{c}_idx" for c in cols], outputCols=[f"{c}_vec" for c in cols],
+        dropLast=True)] if cols else [])]
 
 
 def index_stages(cols: Sequence[str]) -> list:
-    return [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep",
-                          stringOrderType="alphabetAsc") for c in cols]
+    return [StringIndexer(inputCols=list(cols), outputCols=[f"{c}_idx" for c in cols],
+                          handleInvalid="keep", stringOrderType="alphabetAsc")] if cols else []
 
 
 class DetectionPipeline(Estimator, ST._Columns):
@@ -108,7 +109,8 @@ class DetectionPipeline(Estimator, ST._Columns):
             return LogisticRegression(featuresCol="features", labelCol=o["labelCol"],
                                       regParam=1.0 / max(df.count(), 1), elasticNetParam=0.0,
                                       standardization=False, maxIter=3000)
-        sizes = [len(m.labels) + 1 for m in fitted if hasattr(m, "labels")]
+        sizes = [len(v) + 1 for m in fitted if isinstance(m, StringIndexerModel)
+                 for v in m.labelsArray]
         return GBTClassifier(featuresCol="features", labelCol=o["labelCol"],
                              maxIter=o["iterations"], maxDepth=6, stepSize=0.08, seed=o["seed"],
                              maxBins=max([32, *sizes]))

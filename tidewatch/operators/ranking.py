@@ -137,12 +137,13 @@ def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str],
 
 
 def value_ranks(df: DataFrame, cols: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
-    """(group, feature, value, n, upto, size): distinct numeric values with running counts."""
+    """(group, feature, value, n, upto, nth, size, distinct): distinct numeric values with
+    running counts of rows and values."""
     long = melt(df, group, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
     counted = settle(long.groupBy(*group, "feature", (F.col("value") + F.lit(0.0)).alias("value")
                                   ).agg(F.count("*").alias("n")))
-    return prefix_sum(counted, ["value"], {"upto": F.col("n")}, group=[*group, "feature"],
-                      totals={"size": "upto"})
+    return prefix_sum(counted, ["value"], {"upto": F.col("n"), "nth": F.lit(1)},
+                      group=[*group, "feature"], totals={"size": "upto", "distinct": "nth"})
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: dict[str, float],
@@ -151,8 +152,13 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: dict[str, float],
 
     Works on distinct values with running counts, so no group's values meet in one task.
     """
+    return quantiles_of(value_ranks(df, cols, group), probs, group)
+
+
+def quantiles_of(ranked: DataFrame, probs: dict[str, float],
+                 group: Sequence[str] = ()) -> DataFrame:
+    """Quantiles from a `value_ranks` table."""
     group = list(group)
-    ranked = value_ranks(df, cols, group)
     start = F.col("upto") - F.col("n")
 
     def at(index: Column) -> Column:

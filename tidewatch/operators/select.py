@@ -1,16 +1,16 @@
 """Rank correlation and redundancy: which columns carry nothing new."""
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators.profile import column_values
-from tidewatch.operators.ranking import value_ranks
-from tidewatch.session import settle
+from tidewatch.operators.ranking import quantiles_of, value_ranks
 
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 BROADCAST_VALUES = 200_000  # distinct values of a column up to which its rank map is broadcast
@@ -21,37 +21,65 @@ def numeric_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
     return [c for c in cols if kinds[c] in NUMERIC_TYPES or kinds[c].startswith("decimal")]
 
 
-def _rank_matrix(df: DataFrame, cols: list[str]) -> dict[tuple[str, str], float | None]:
-    """Pearson correlation of tie-averaged ranks for columns without missing values."""
-    data = df.select(*[(F.col(f"`{c}`").cast("double") + F.lit(0.0)).alias(f"c{i}")
-                       for i, c in enumerate(cols)])
-    names = data.columns
-    ranks = value_ranks(data, names)
-    ranks = settle(ranks)
-    per = {r["feature"]: (r["d"], r["s"]) for r in ranks.groupBy("feature").agg(
-        F.count("*").alias("d"), F.sum("n").alias("s")).collect()}
+def _rank_matrix(df: DataFrame, cols: list[str],
+                 ranked: DataFrame | None = None) -> dict[tuple[str, str], float | None]:
+    """Pearson correlation of tie-averaged ranks for columns without missing values.
+
+    Distinct values get their rank once. Short rank lists go to the tasks as sorted arrays, a
+    longer one is joined; one pass then sums the products of all column pairs per partition.
+    """
+    data = df.select(*[(F.col(f"`{c}`").cast("double") + F.lit(0.0)).alias(c) for c in cols])
+    if ranked is None:
+        ranked = value_ranks(data, cols)
+    # centred and scaled, so that squares of ranks stay small
+    ranks = ranked.where(F.col("feature").isin(cols)).select(
+        "feature", "value", "nth", "distinct",
+        ((F.col("upto") - (F.col("n") - 1) / 2 - (F.col("size") + 1) / 2)
+         / F.col("size")).alias("rank"))
+    fits = F.col("distinct") <= BROADCAST_VALUES
+    lists = ranks.where(fits | (F.col("nth") == 1)).toPandas().sort_values(["feature", "value"])
+    distinct = dict(zip(lists["feature"], lists["distinct"], strict=True))
+    names = list(cols)
     for c in names:
-        distinct, size = per.get(c, (0, 0))
-        # centred and scaled, so that squares of ranks stay small
-        mean = F.lit((size + 1) / 2)
-        table = ranks.where(F.col("feature") == c).select(
-            F.col("value").alias(c),
-            ((F.col("upto") - (F.col("n") - 1) / 2 - mean) / F.lit(float(max(size, 1)))
-             ).alias(f"r_{c}"))
-        if distinct <= BROADCAST_VALUES:
-            table = F.broadcast(table)
-        data = data.join(table, c)
-    vectors = VectorAssembler(inputCols=[f"r_{c}" for c in names], outputCol="v").transform(data)
-    matrix = Correlation.corr(vectors.select("v"), "v", "pearson").first()[0].toArray()
+        if distinct.get(c, 0) > BROADCAST_VALUES:
+            table = ranks.where(F.col("feature") == c).select(
+                F.col("value").alias(c), F.col("rank").alias("__rank"))
+            data = data.join(table, c).drop(c).withColumnRenamed("__rank", c)
+    lists = lists[lists["distinct"] <= BROADCAST_VALUES]
+    lookup = {c: (g["value"].to_numpy(), g["rank"].to_numpy())
+              for c, g in lists.groupby("feature")}
+    shared = df.sparkSession.sparkContext.broadcast(lookup)
+    left, right = np.triu_indices(len(names))
+
+    def products(batches):
+        known = shared.value
+        total = np.zeros((len(names), len(names)))
+        for batch in batches:
+            cells = [np.asarray(batch.column(c)) for c in names]
+            cells = [known[c][1][np.searchsorted(known[c][0], x)] if c in known else x
+                     for c, x in zip(names, cells, strict=True)]
+            ranked = np.stack(cells) if batch.num_rows else np.zeros((len(names), 0))
+            total += ranked @ ranked.T
+        yield pa.RecordBatch.from_pydict({"i": pa.array(left, pa.int32()),
+                                          "j": pa.array(right, pa.int32()),
+                                          "s": pa.array(total[left, right])})
+
+    sums = data.select(*names).mapInArrow(products, "i int, j int, s double").groupBy(
+        "i", "j").agg(F.sum("s").alias("s")).collect()
+    gram = {(r["i"], r["j"]): r["s"] for r in sums}
     out = {}
     for i, j in combinations(range(len(cols)), 2):
-        rho = float(matrix[i][j])
-        constant = per.get(names[i], (0, 0))[0] < 2 or per.get(names[j], (0, 0))[0] < 2
-        out[cols[i], cols[j]] = None if constant or rho != rho else rho
+        if distinct.get(names[i], 0) < 2 or distinct.get(names[j], 0) < 2:
+            out[cols[i], cols[j]] = None
+            continue
+        rho = gram[i, j] / math.sqrt(gram[i, i] * gram[j, j])
+        out[cols[i], cols[j]] = max(-1.0, min(1.0, rho))
     return out
 
 
-def spearman(df: DataFrame, cols: Sequence[str]) -> dict[tuple[str, str], float | None]:
+def spearman(df: DataFrame, cols: Sequence[str],
+             facts: dict | None = None,
+             ranked: DataFrame | None = None) -> dict[tuple[str, str], float | None]:
     """Pairwise-complete Spearman correlation, one entry per pair in column order.
 
     Columns without gaps share one matrix; a pair with gaps is ranked on its complete rows.
@@ -59,10 +87,9 @@ def spearman(df: DataFrame, cols: Sequence[str]) -> dict[tuple[str, str], float
     cols = list(cols)
     if len(cols) < 2:
         return {}
-    gaps = df.agg(*[F.count_if(F.col(f"`{c}`").isNull() | F.isnan(F.col(f"`{c}`").cast("double")))
-                    .alias(f"g{i}") for i, c in enumerate(cols)]).first()
-    whole = [c for i, c in enumerate(cols) if gaps[f"g{i}"] == 0]
-    known = _rank_matrix(df, whole) if len(whole) > 1 else {}
+    facts = facts or column_facts(df, cols)
+    whole = [c for c in cols if facts[c]["gaps"] == 0]
+    known = _rank_matrix(df, whole, ranked) if len(whole) > 1 else {}
     for a, b in combinations(cols, 2):
         if (a, b) not in known:
             both = df.select(a, b).where(
@@ -85,31 +112,55 @@ def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "left string, right string, rho double")
 
 
+def _plain(df: DataFrame):
+    """Comparable form of a column: numbers as doubles without negative zero, gaps as null."""
+    numeric = set(numeric_columns(df, df.columns))
+
+    def plain(c: str):
+        if c not in numeric:
+            return F.col(f"`{c}`")
+        x = F.col(f"`{c}`").cast("double") + F.lit(0.0)
+        return F.when(~F.isnan(x), x)
+
+    return plain, numeric
+
+
+def column_facts(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
+    """rows, gaps, lowest, highest and a checksum per column: one aggregation, no shuffle."""
+    cols = list(cols)
+    plain, _ = _plain(df)
+    aggs = [F.count("*").alias("rows")]
+    for i, c in enumerate(cols):
+        x = plain(c)
+        aggs += [F.count_if(x.isNull()).alias(f"gaps{i}"), F.min(x).alias(f"lo{i}"),
+                 F.max(x).alias(f"hi{i}"),
+                 F.bit_xor(F.xxhash64(x)).alias(f"sum{i}")]
+    row = df.agg(*aggs).first()
+    return {c: {"rows": row["rows"], "gaps": row[f"gaps{i}"], "lo": row[f"lo{i}"],
+                "hi": row[f"hi{i}"], "sum": row[f"sum{i}"]} for i, c in enumerate(cols)}
+
+
 def distinct_with_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return column_values(df, cols).groupBy("feature").agg(F.count("*").alias("values"))
 
 
-def constant_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
+def constant_columns(df: DataFrame, cols: Sequence[str], facts: dict | None = None) -> list[str]:
     """Columns with at most one value, null counted as a value."""
-    few = {r["feature"] for r in distinct_with_null(df, cols).where("values <= 1").collect()}
-    return [c for c in cols if c in few]
+    facts = facts or column_facts(df, cols)
+    return [c for c in cols if facts[c]["gaps"] == facts[c]["rows"]
+            or (facts[c]["gaps"] == 0 and facts[c]["lo"] == facts[c]["hi"])]
 
 
-def duplicate_columns(df: DataFrame, cols: Sequence[str]) -> list[tuple[str, str]]:
+def duplicate_columns(df: DataFrame, cols: Sequence[str],
+                      facts: dict | None = None) -> list[tuple[str, str]]:
     """Pairs of columns equal in every row, nulls included.
 
     A per-column checksum leaves the few pairs that are then compared row by row.
     """
-    cols = list(cols)
-    numeric = set(numeric_columns(df, cols))
-
-    def plain(c):
-        return (F.col(f"`{c}`").cast("double") + F.lit(0.0)) if c in numeric else F.col(f"`{c}`")
-
-    sums = df.agg(*[F.sum(F.xxhash64(plain(c)).cast("decimal(38,0)")).alias(f"s{i}")
-                    for i, c in enumerate(cols)]).first()
-    pairs = [(a, b) for (i, a), (j, b) in combinations(enumerate(cols), 2)
-             if sums[f"s{i}"] == sums[f"s{j}"] and (a in numeric) == (b in numeric)]
+    facts = facts or column_facts(df, cols)
+    plain, numeric = _plain(df)
+    pairs = [(a, b) for a, b in combinations(list(cols), 2)
+             if facts[a]["sum"] == facts[b]["sum"] and (a in numeric) == (b in numeric)]
     if not pairs:
         return []
     same = df.agg(*[F.bool_and(plain(a).eqNullSafe(plain(b))).alias(f"p{i}")
@@ -118,15 +169,17 @@ def duplicate_columns(df: DataFrame, cols: Sequence[str]) -> list[tuple[str, str
 
 
 def select_columns(df: DataFrame, cols: Sequence[str], threshold: float = 0.90):
-    """Greedy pruning in column order; returns (kept, report rows).
+    """Greedy pruning in column order; returns (kept, report rows, medians of kept numbers).
 
     The statistics come from Spark; the walk below only sees one entry per pair of columns.
     """
     cols = list(cols)
-    flat = set(constant_columns(df, cols))
-    twins = set(duplicate_columns(df, cols))
+    facts = column_facts(df, cols)
+    flat = set(constant_columns(df, cols, facts))
+    twins = set(duplicate_columns(df, [c for c in cols if c not in flat], facts))
     varying = [c for c in numeric_columns(df, cols) if c not in flat]
-    rho = spearman(df, varying)
+    ranked = value_ranks(df, varying) if varying else None
+    rho = spearman(df, varying, facts, ranked)
     kept, report = [], []
     for col in cols:
         if col in flat:
@@ -140,7 +193,11 @@ def select_columns(df: DataFrame, cols: Sequence[str], threshold: float = 0.90):
                            "duplicate" if copies else "Spearman"))
         else:
             kept.append(col)
-    return kept, report
+    medians = {}
+    if ranked is not None:
+        wanted = ranked.where(F.col("feature").isin([c for c in kept if c in varying]))
+        medians = {r["feature"]: r["m"] for r in quantiles_of(wanted, {"m": 0.5}).collect()}
+    return kept, report, medians
 
 
 REPORT_SCHEMA = "removed string, retained string, correlation double, reason string"

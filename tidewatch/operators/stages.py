@@ -55,12 +55,11 @@ class CorrelationSelector(Estimator, _Columns, _Saved):
             self._set(inputCols=inputCols)
 
     def _fit(self, df: DataFrame) -> "CorrelationSelectorModel":
-        kept, report = select_columns(df, self.columns(), self.getOrDefault(self.threshold))
+        kept, report, medians = select_columns(df, self.columns(), self.getOrDefault(self.threshold))
         numeric = [c for c in kept if c in numeric_columns(df, kept)]
-        medians = _medians(df, numeric)
         return CorrelationSelectorModel(
             inputCols=self.columns(), selected=kept, numeric=numeric,
-            medians=[medians[c] for c in numeric],
+            medians=[float(medians.get(c, 0.0)) for c in numeric],
             report=[json.dumps(row) for row in report])
 
 

@@ -167,7 +167,8 @@ def q_one_hot(spark, d):
     cats = ["protocol_type", "service"]
     fitted = Pipeline(stages=one_hot_stages(cats)).fit(rows.where("service <> 'svc6'"))
     out = fitted.transform(rows)
-    names = F.array(*[F.lit(f"{c}={v}") for c, m in zip(cats, fitted.stages) for v in m.labels])
+    names = F.array(*[F.lit(f"{c}={v}") for c, labels in zip(cats, fitted.stages[0].labelsArray)
+                      for v in labels])
     flags = F.concat(*[vector_to_array(F.col(f"{c}_vec")) for c in cats])
     return out.select("row_id", F.explode(F.arrays_zip(names.alias("category"),
                                                        flags.alias("flag"))).alias("z")).select(
