@@ -19,6 +19,7 @@ from tidewatch.operators import stages as ST
 from tidewatch.operators.clean import stratified_kfold
 from tidewatch.operators.iforest import IsolationForest
 from tidewatch.operators.metrics import evaluate
+from tidewatch.operators.ranking import melt
 from tidewatch.schemas import CATEGORICAL, LIVE_FEATURES, RAW_FEATURES
 from tidewatch.sources.tables import require_columns
 
@@ -133,11 +134,14 @@ def output_names(df: DataFrame, features: str = "features") -> list[str]:
 
 
 def score_with(pipeline: PipelineModel, df: DataFrame, kind: str) -> DataFrame:
-    """`df` with a `score` column: anomaly score, or probability of an attack."""
-    out = pipeline.transform(df)
-    if kind == "iforest":
-        return out
-    return out.withColumn("score", vector_to_array("probability")[1])
+    """`df` as it is plus `score`: the anomaly score, or the probability of an attack.
+
+    The stages scale columns in place, so the input row travels beside them.
+    """
+    given = [c for c in df.columns if c != "score"]
+    out = pipeline.transform(df.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in given])))
+    score = F.col("score") if kind == "iforest" else vector_to_array("probability")[1]
+    return out.select(*[F.col("__row")[c].alias(c) for c in given], score.alias("score"))
 
 
 @dataclass
@@ -203,7 +207,6 @@ def cross_validate(df: DataFrame, kind: str = "iforest", k: int = 5, seed: int =
 def cv_summary(rows: DataFrame, metrics: Sequence[str] = ("roc_auc", "average_precision"),
                by: Sequence[str] = ()) -> DataFrame:
     """mean, sample deviation, min and max over folds, long form."""
-    from tidewatch.operators.ranking import melt
     long = melt(rows, by, metrics, "metric", "value")
     return long.groupBy(*by, "metric").agg(
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
