@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidewatch.operators.ranking import prefix_sum
+from tidewatch.session import settle
 
 DAY = 86_400
 
@@ -46,7 +47,7 @@ def rate_alert(df: DataFrame, window: int = 120, step: int = 5, limit: float = 0
     share = per_step.select(F.explode(F.sequence(F.col("b") + 1, F.col("b") + k)).alias("s"),
                             "n", "a").groupBy("s").agg(F.sum("n").alias("n"),
                                                        F.sum("a").alias("a"))
-    hot = share.where(F.col("a") / F.col("n") > limit)
+    hot = settle(share.where(F.col("a") / F.col("n") > limit))
     placed = prefix_sum(hot, ["s"], {"rn": F.lit(1)})
     runs = placed.groupBy((F.col("s") - F.col("rn")).alias("run")).agg(
         F.min("s").alias("lo"), F.max("s").alias("hi"), F.max(F.col("a") / F.col("n")).alias("peak"))
@@ -61,7 +62,7 @@ def recall_alert(running: DataFrame, limit: float = 0.6, hold: float = 180) -> D
     A value holds until the next matched event; the last stretch may still be open.
     """
     good = (F.col("recall") >= limit).cast("bigint")
-    runs = prefix_sum(running.select("t", "ts", "recall"), ["t"], {"island": good})
+    runs = prefix_sum(settle(running.select("t", "ts", "recall")), ["t"], {"island": good})
     low = runs.where(F.col("recall") < limit).groupBy("island").agg(
         F.min("ts").alias("started_at"), F.max("ts").alias("last_seen"), F.count("*").alias("events"),
         F.min("recall").alias("lowest"))

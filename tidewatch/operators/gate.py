@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions import telemetry as T
 from tidewatch.operators.ranking import null_safe_join
 from tidewatch.schemas import SID_MAX, SID_MIN
+from tidewatch.session import settle
 
 # fixed values: gate limits and report wording
 MIN_DETECTION_RATE, MAX_BENIGN_MATCH_RATE = 0.9, 0.001
@@ -89,7 +90,8 @@ def quality_report(truth: DataFrame, telemetry: DataFrame, eve: DataFrame, rule:
                    syntax_valid: bool = True, min_detection: float = MIN_DETECTION_RATE,
                    max_benign: float = MAX_BENIGN_MATCH_RATE) -> DataFrame:
     """The one-row gate report of the alerts in `eve`; `telemetry` has an `event_id` column."""
-    attributed = attribute_alerts(eve, truth)
+    # one row per alert, read for the matches and for the alert counts
+    attributed = settle(attribute_alerts(eve, truth))
     matched = attributed.where(F.col("event_id").isNotNull()).select("event_id")
     flags = event_flags(truth, telemetry, eve, matched)
     attack, benign, hit = F.col("label") == 1, F.col("label") != 1, F.col("matched") == 1

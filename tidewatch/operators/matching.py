@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators.ranking import prefix_sum
+from tidewatch.session import settle
 
 
 def usable_truth(truth: DataFrame) -> DataFrame:
@@ -54,7 +55,7 @@ CELLS = ("tp", "fp", "fn", "tn")
 
 def running_metrics(matched: DataFrame) -> DataFrame:
     """Cumulative confusion after every matched event, in match order `t` (unique)."""
-    run = prefix_sum(matched, ["t"], {"tp": cell(1, 1), "fp": cell(0, 1), "fn": cell(1, 0),
+    run = prefix_sum(settle(matched), ["t"], {"tp": cell(1, 1), "fp": cell(0, 1), "fn": cell(1, 0),
                                       "tn": cell(0, 0)})
     rates = live_rates(*[F.col(c) for c in CELLS])
     return run.select("event_id", "t", "ts", *CELLS, *[e.alias(k) for k, e in rates.items()])

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.operators.ranking import (
     exact_quantiles, melt, order_bucket, prefix_sum, quantile_grid)
@@ -36,7 +37,7 @@ def score_cells(scored: DataFrame, by: Sequence[str] = (), label: str = "label",
                       key=-F.col("score"), cuts=cuts, totals={"p": "tp", "n": "fp"})
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def next_float(x: pd.Series) -> pd.Series:
     return x.map(lambda v: math.nextafter(v, math.inf))
 

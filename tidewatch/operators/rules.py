@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.operators.ranking import melt
+from tidewatch.session import settle
 from tidewatch.schemas import DNS_WINDOW_FEATURES, NATIVE_FIELDS, SID_MAX, SID_MIN, SPEC_SCHEMA
 
 # fixed values: the allowed vocabulary and limits of a specification
@@ -33,7 +34,10 @@ def _size_outside(col: Column, limit: int) -> Column:
 def structural_violations() -> Column:
     """Array of codes for fields that break their own limits."""
     cond = F.col("conditions")
-    number_bad = lambda c: F.isnan(c["value_num"]) | (F.abs(c["value_num"]) == float("inf"))
+
+    def number_bad(c):
+        return F.isnan(c["value_num"]) | (F.abs(c["value_num"]) == float("inf"))
+
     checks = {f"{c}_length": F.col(c).isNull() | ~F.length(c).between(1, n)
               for c, n in TEXT_LIMITS.items()}
     checks |= {f"{c}_size": _size_outside(F.col(c), n) for c, n in LIST_LIMITS.items()}
@@ -295,31 +299,40 @@ def folded(field: Column, value: Column) -> Column:
 
 
 def rule_conditions(rules: DataFrame) -> DataFrame:
-    """(sid, n_conditions, field, operator, needle) of distinct string conditions."""
-    flat = rules.select("sid", F.explode(F.array_distinct(F.transform(
-        "conditions", lambda c: F.struct(
-            c["field"].alias("field"), c["operator"].alias("operator"),
-            folded(c["field"], c["value_str"]).alias("needle"))))).alias("c")).select("sid", "c.*")
-    sizes = flat.groupBy("sid").agg(F.count("*").alias("n_conditions"))
-    return flat.join(sizes, "sid")
+    """(sid, n_conditions, field, operator, needle) of the distinct conditions of each rule."""
+    distinct = F.array_distinct(F.transform("conditions", lambda c: F.struct(
+        c["field"].alias("field"), c["operator"].alias("operator"),
+        folded(c["field"], c["value_str"]).alias("needle"))))
+    listed = rules.select("sid", distinct.alias("c"))
+    return listed.select("sid", F.size("c").alias("n_conditions"),
+                         F.explode("c").alias("c")).select("sid", "n_conditions", "c.*")
+
+
+# sizes of a rule book up to which it is sent to every task, and its substrings tried one by one
+BROADCAST_CONDITIONS = 100_000
+SCANNED_SUBSTRINGS = 500
 
 
 def match_rules(events: DataFrame, rules: DataFrame, key: str = "seq") -> DataFrame:
     """(key, sid) of every event that fulfils all conditions of a rule.
 
     `events` has a column per native field. Text tests become equalities: an event offers its
-    whole value, its endings and its substrings at the lengths that some rule asks for, and
-    these join the conditions by hash. No event is compared with every rule.
+    whole value, its endings at the lengths some rule asks for, and the substrings it contains,
+    and these join the conditions by hash. No event is compared with every rule.
     """
-    cond = rule_conditions(rules)
-
-    def lengths(op: str) -> Column:
-        return F.coalesce(F.collect_set(F.when(F.col("operator") == op, F.length("needle"))),
-                          F.array().cast("array<int>"))
-
-    wanted = cond.groupBy("field").agg(  # one row per field, lengths are at most 256 numbers
-        F.bool_or(F.col("operator") == "equals").alias("eq"), lengths("endswith").alias("ends"),
-        lengths("contains").alias("subs"))
+    # read more than once below, and it decides how the join is done
+    cond = settle(rule_conditions(rules))
+    book = cond.agg(F.count("*").alias("n"), F.count_distinct(
+        F.when(F.col("operator") == "contains", F.struct("field", "needle"))).alias("subs")).first()
+
+    def texts(op: str, value: Column) -> Column:
+        return F.collect_set(F.when(F.col("operator") == op, value))
+
+    scan = book["subs"] <= SCANNED_SUBSTRINGS
+    wanted = cond.groupBy("field").agg(  # one row per field
+        F.bool_or(F.col("operator") == "equals").alias("eq"),
+        texts("endswith", F.length("needle")).alias("ends"),  # at most 256 lengths
+        texts("contains", F.col("needle") if scan else F.length("needle")).alias("subs"))
     fields = [f for f in NATIVE_FIELDS if f in events.columns]
     long = melt(events, [key], fields, "field", "value", cast="string").where(
         F.col("value").isNotNull())
@@ -332,13 +345,20 @@ def match_rules(events: DataFrame, rules: DataFrame, key: str = "seq") -> DataFr
 
     none = F.array().cast("array<struct<operator:string,needle:string>>")
     fits = lambda lens: F.filter(lens, lambda n: n <= size)
+    if scan:
+        inside = F.transform(F.filter("subs", lambda s: F.contains(F.col("value"), s)),
+                             lambda s: probe("contains", s))
+    else:
+        inside = F.array_distinct(F.flatten(F.transform(fits("subs"), lambda n: F.transform(
+            F.sequence(F.lit(1), size - n + 1),
+            lambda i: probe("contains", F.substring(F.col("value"), i, n))))))
     probes = F.concat(
         F.when(F.col("eq"), F.array(probe("equals", F.col("value")))).otherwise(none),
         F.transform(fits("ends"), lambda n: probe("endswith", F.right(F.col("value"), n))),
-        F.array_distinct(F.flatten(F.transform(fits("subs"), lambda n: F.transform(
-            F.sequence(F.lit(1), size - n + 1),
-            lambda i: probe("contains", F.substring(F.col("value"), i, n)))))))
+        inside)
     offered = asked.select(key, "field", F.explode(probes).alias("p")).select(key, "field", "p.*")
+    if book["n"] <= BROADCAST_CONDITIONS:
+        cond = F.broadcast(cond)
     hits = offered.join(cond, ["field", "operator", "needle"])
     single = hits.where("n_conditions = 1").select(key, "sid")
     several = hits.where("n_conditions > 1").groupBy(key, "sid", "n_conditions").agg(

@@ -7,6 +7,7 @@ from tidewatch.functions import telemetry as T
 from tidewatch.operators import evidence as E
 from tidewatch.operators import gate as G
 from tidewatch.operators import rules as R
+from tidewatch.session import settle
 
 # fixed value: the deliberately broad control
 BROAD_TEXT = ('alert dns any any -> any any (msg:"LOCAL overly broad negative control"; '
@@ -41,7 +42,7 @@ def judge(dns: DataFrame, truth: DataFrame, rules: DataFrame, text: str = "", **
 def native_workflow(baseline: DataFrame, period: DataFrame, truth: DataFrame,
                     **limits) -> dict[str, DataFrame]:
     """Candidate from novel names, its gate report and the broad control's report."""
-    names = E.ioc_candidates(period, baseline)
+    names = settle(E.ioc_candidates(period, baseline))  # a dozen names, used by every step
     rule = R.render_rules(candidate_rule(names))
     return {"names": names, "rule": rule, "report": judge(period, truth, rule, **limits),
             "control": judge(period, truth, broad_rule(period.sparkSession), BROAD_TEXT, **limits)}
