@@ -78,11 +78,11 @@ LIVE_STATE = "ts array<long>, dns array<long>, failed array<long>"
 
 
 def live_features_stream(dns: DataFrame, http: DataFrame, width: float, entity: str = "orig_p",
-                         delay: float = 0.0) -> DataFrame:
+                         delay: float = 1.0) -> DataFrame:
     """Live features per entity. State keeps the last `width + delay` seconds of an entity.
 
-    Rows of one trigger are put in (ts, seq) order; rows are expected no older than `delay`
-    seconds behind the newest one already seen.
+    Rows of one trigger are put in (ts, seq) order; a row that is `delay` seconds or more behind
+    the newest one of an earlier trigger is late and dropped, so `delay` must be positive.
     """
     records = record_features(merge_sources(dns, http, [entity]))
     records = records.withColumn("at", event_time()).withWatermark("at", micros(delay))
@@ -189,7 +189,7 @@ def confusion_stream(matched: DataFrame) -> DataFrame:
 
 
 def detect_stream(dns: DataFrame, http: DataFrame, score, threshold: float, width: float = 2.0,
-                  entity: str = "orig_p", delay: float = 0.0) -> DataFrame:
+                  entity: str = "orig_p", delay: float = 1.0) -> DataFrame:
     """Records to predictions: features, `score(frame)` adding `score`, threshold, nested output.
 
     Records without an event id move the counters but give no prediction; their number is
