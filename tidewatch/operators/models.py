@@ -24,6 +24,7 @@ from tidewatch.schemas import CATEGORICAL, LIVE_FEATURES, RAW_FEATURES
 from tidewatch.sources.tables import require_columns
 
 KINDS = ("iforest", "logreg", "gbt")
+ROWS_PER_TASK = 50_000  # least rows per task of iterative training
 
 
 def one_hot_stages(cols: Sequence[str]) -> list:
@@ -96,19 +97,23 @@ class DetectionPipeline(Estimator, ST._Columns):
         suffix = "_idx" if kind == "gbt" else "_vec"
         current = step(VectorAssembler(inputCols=[*nums, *[f"{c}{suffix}" for c in cats]],
                                        outputCol="features", handleInvalid="keep"), current)
-        step(self._estimator(current, cats, fitted), current)
+        size = current.count()
+        if kind != "iforest":
+            # iterative training: a round trip per iteration, so small data gets few tasks
+            current = current.coalesce(max(1, math.ceil(size / ROWS_PER_TASK)))
+        step(self._estimator(size, cats, fitted), current)
         if o["select"]:
             held.unpersist()
         return PipelineModel(stages=fitted)
 
-    def _estimator(self, df: DataFrame, cats: list[str], fitted: list) -> Estimator:
+    def _estimator(self, rows: int, cats: list[str], fitted: list) -> Estimator:
         o, kind = self.options, self.getOrDefault(self.kind)
         if kind == "iforest":
             return IsolationForest(numTrees=o["trees"], seed=o["seed"], keyCol=o["keyCol"])
         if kind == "logreg":
             # a penalty of C = 1 on the summed loss is 1 / n on Spark's mean loss
             return LogisticRegression(featuresCol="features", labelCol=o["labelCol"],
-                                      regParam=1.0 / max(df.count(), 1), elasticNetParam=0.0,
+                                      regParam=1.0 / max(rows, 1), elasticNetParam=0.0,
                                       standardization=False, maxIter=3000)
         sizes = [len(v) + 1 for m in fitted if isinstance(m, StringIndexerModel)
                  for v in m.labelsArray]

@@ -119,14 +119,11 @@ def q_validate(spark, d):
 def responses(spark, d):
     """Stored model answers: JSON of a specification, broken in a rule-made way."""
     sound = specs(spark, d).where(f"spec_id % {VARIANTS} IN (0, 1)")
-    value = F.transform("conditions", lambda c: F.to_variant_object(F.struct(
-        c["field"].alias("field"), c["operator"].alias("operator"))))
     text = F.to_json(F.struct(
         "name", "description", "evidence", "hypothesis", "rule_type", "protocol", "source_scope",
         "destination_scope", F.lit("@").alias("conditions"), "severity", "suricata_compatible",
         "requires_correlation", "correlation_entity", "window_seconds", "limitations",
         "test_plan"), {"ignoreNullFields": "false"})
-    del value
     c = F.element_at("conditions", 1)
     listed = F.concat(F.lit('[{"field":"'), c["field"], F.lit('","operator":"'), c["operator"],
                       F.lit('","value":'), F.coalesce(F.concat(F.lit('"'), c["value_str"], F.lit('"')),
@@ -313,7 +310,7 @@ def q_workflow(spark, d):
 
 def q_board(spark, d):
     out = WF.native_workflow(baseline(spark, d), period(spark, d), truth(spark, d).where(
-        F.col("ts") >= MIDDLE))
+        F.col("ts") >= MIDDLE), control=True)
     return rounded(G.leaderboard({"candidate": out["report"], "broad control": out["control"]}))
 
 

@@ -40,12 +40,14 @@ def judge(dns: DataFrame, truth: DataFrame, rules: DataFrame, text: str = "", **
 
 
 def native_workflow(baseline: DataFrame, period: DataFrame, truth: DataFrame,
-                    **limits) -> dict[str, DataFrame]:
-    """Candidate from novel names, its gate report and the broad control's report."""
+                    control: bool = False, **limits) -> dict[str, DataFrame]:
+    """Candidate from novel names and its gate report; with `control`, the broad rule's too."""
     names = settle(E.ioc_candidates(period, baseline))  # a dozen names, used by every step
     rule = R.render_rules(candidate_rule(names))
-    return {"names": names, "rule": rule, "report": judge(period, truth, rule, **limits),
-            "control": judge(period, truth, broad_rule(period.sparkSession), BROAD_TEXT, **limits)}
+    out = {"names": names, "rule": rule, "report": judge(period, truth, rule, **limits)}
+    if control:
+        out["control"] = judge(period, truth, broad_rule(period.sparkSession), BROAD_TEXT, **limits)
+    return out
 
 
 def behavioral_workflow(baseline: DataFrame, top: DataFrame, conditions) -> DataFrame:
