@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidewatch.functions import telemetry as T
-from tidewatch.operators.ranking import exact_quantiles, melt
+from tidewatch.operators.ranking import exact_quantiles, melt, one_row
 from tidewatch.schemas import DNS_WINDOW_FEATURES, HYPOTHESIS_FEATURES
 
 
@@ -117,12 +117,13 @@ def behavioral_review(conditions, baseline: DataFrame, top: DataFrame) -> DataFr
         "feature", F.round("p", 4).alias("baseline_p95"))
     peak = melt(top, [], fields).groupBy("feature").agg(
         F.round(F.max("value"), 4).alias("top_max"))
-    spec = baseline.sparkSession.createDataFrame(
-        [(f, o, float(v)) for f, o, v in conditions],
-        "feature string, operator string, threshold double")
-    out = spec.join(p95, "feature", "left").join(peak, "feature", "left")
-    return out.crossJoin(F.broadcast(base)).crossJoin(F.broadcast(tops)).withColumnRenamed(
-        "feature", "field")  # both sides are single rows
+    asked = F.explode(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.lit(o).alias("operator"),
+                 F.lit(float(v)).alias("threshold")) for f, o, v in conditions]))
+    counts = one_row(base, tops)
+    spec = counts.select(asked.alias("c"), *counts.columns).select("c.*", *counts.columns)
+    return spec.join(p95, "feature", "left").join(peak, "feature", "left").withColumnRenamed(
+        "feature", "field")
 
 
 def compare_window(top: DataFrame, stats: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions import telemetry as T
-from tidewatch.operators.ranking import null_safe_join
+from tidewatch.operators.ranking import null_safe_join, one_row
 from tidewatch.schemas import SID_MAX, SID_MIN
 from tidewatch.session import settle
 
@@ -106,7 +106,7 @@ def quality_report(truth: DataFrame, telemetry: DataFrame, eve: DataFrame, rule:
     alerts = attributed.agg(
         F.count("*").alias("alerts_total"),
         F.count_if(F.col("n_known") != 1).alias("unmatched_or_ambiguous_alerts"))
-    row = counts.crossJoin(F.broadcast(alerts))  # one row each
+    row = one_row(counts, alerts)
     total = F.col("expected_attack_events") + F.col("benign_events")
     recall = F.try_divide("detected_attack_events", "expected_attack_events")
     benign_rate = F.try_divide("benign_matches", "benign_events")

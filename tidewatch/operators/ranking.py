@@ -201,3 +201,11 @@ def quantile_grid(df: DataFrame, col: str, probs: Sequence[float]) -> list[float
         lo, hi = value[math.floor(s)], value[math.ceil(s)]
         out.append(lo + (hi - lo) * (s - math.floor(s)))
     return out
+
+
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Several one-row aggregates with different columns as one row, without a join."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out.agg(*[F.max(c).alias(c) for c in out.columns])
