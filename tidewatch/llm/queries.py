@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import bpe
+from tidewatch.llm import bpe, quality, simhash, token_files, toxicity
+from tidewatch.llm.training import held_out
+from tidewatch.session import scratch_path
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +31,33 @@ def bpe_round_trip(docs: DataFrame) -> DataFrame:
 @register
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"))
+
+
+@register
+def op4_quality_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    # only what the score reads leaves the scan
+    scored = quality.score_quality(docs.select("doc_id", "text", "n_chars"), model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@register
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as vocabulary:
+        path = scratch_path(spark, "tokens")
+        token_files.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary.read())
+    return token_files.with_crc32(token_files.read_tokens(spark, path))
+
+
+@register
+def op8_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op10_toxic_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lexicon = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text"), lexicon)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
