@@ -18,12 +18,12 @@ from __future__ import annotations
 
 import base64
 import zlib
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +36,7 @@ BLOCK_CHARS = 4_000_000
 REMEMBERED = 1_000_000
 #: A vocabulary above this size is refused, because it is broadcast.
 LARGEST_VOCABULARY = 2_000_000
-MOVED = "dest string, block string, part int, docs binary, data binary"
+MOVED = "block string, part int, data binary"
 CODES = -1
 
 
@@ -65,63 +65,64 @@ def _whole(batch: pa.RecordBatch) -> np.ndarray:
     return sum(batch.column(f"b{k}").to_numpy().astype(np.int32) << 8 * k for k in range(4))
 
 
-def _two(first: bytes, second: bytes) -> bytes:
-    return len(first).to_bytes(8, "little") + first + second
+def _join(*parts: bytes) -> bytes:
+    return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
 
 
-def _parts(data: bytes) -> tuple[pa.RecordBatch, pa.RecordBatch]:
-    cut = 8 + int.from_bytes(data[:8], "little")
-    return unpack(data[8:cut]), unpack(data[cut:])
+def _parts(data: bytes) -> list[pa.RecordBatch]:
+    out, at = [], 0
+    while at < len(data):
+        end = at + 8 + int.from_bytes(data[at:at + 8], "little")
+        out.append(unpack(data[at + 8:end]))
+        at = end
+    return out
 
 
-def _cut(batches: Iterable[pa.RecordBatch], text: str, keep: list[str], buckets: int):
-    """Rows for the word buckets and one row of codes per block."""
-    task = TaskContext.get().partitionId()
-    for number, (rows, texts) in enumerate(text_blocks(batches, text, BLOCK_CHARS)):
+class _Block:
+    """Rows of one block, its distinct words in order of use, and the bucket of each word."""
+
+    def __init__(self, rows: pa.RecordBatch, texts: list[str], keep: list[str], buckets: int):
         tokens, counts = split_block(texts)
         coded = tokens.dictionary_encode()
         codes, words = coded.indices.to_numpy(), coded.dictionary.cast(pa.large_binary())
         order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
-        place = np.empty(len(words), dtype=np.int64)
-        place[order] = np.arange(len(words))
-        words = words.take(pa.array(order))
-        listed = words.to_pylist()
-        bucket = np.fromiter(map(zlib.crc32, listed), dtype=np.int64, count=len(listed)) % buckets
-        # the text is part of the name: a block cut otherwise after a retry can never be mixed in
-        block = f"{task}-{number}-{zlib.crc32(''.join(texts).encode()):08x}-{len(words)}"
-        head = pack(pa.RecordBatch.from_arrays(
+        place = np.empty(len(words), dtype=np.int32)
+        place[order] = np.arange(len(words), dtype=np.int32)
+        self.codes, self.words = place[codes], words.take(pa.array(order))
+        self.bucket = np.fromiter(map(zlib.crc32, self.words.to_pylist()), dtype=np.int64,
+                                  count=len(words)) % buckets
+        self.head = pa.RecordBatch.from_arrays(
             [*[rows.column(rows.schema.get_field_index(c)) for c in keep], pa.array(counts)],
-            names=[*keep, "__n"]))
-        out = {"dest": [block], "block": [block], "part": [CODES],
-               "docs": [_two(head, pack_columns(bucket=bucket.astype(np.uint16)))],
-               "data": [pack_columns(**_planes(place[codes].astype(np.int32)))]}
-        by_bucket = np.argsort(bucket, kind="stable")
-        ends = np.cumsum(np.bincount(bucket, minlength=buckets))
-        for b in range(buckets):
-            own = by_bucket[ends[b - 1] if b else 0:ends[b]]
-            if len(own):
-                out["dest"].append(f"words-{b}")
-                out["block"].append(block)
-                out["part"].append(b)
-                out["docs"].append(None)
-                out["data"].append(pack_columns(word=words.take(pa.array(own)).cast(pa.binary())))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out["dest"]), pa.array(out["block"]), pa.array(out["part"], pa.int32()),
-             pa.array(out["docs"], pa.binary()), pa.array(out["data"], pa.binary())],
-            names=["dest", "block", "part", "docs", "data"])
+            names=[*keep, "__n"])
+        # named by content: however the rows are cut, a name always means the same words
+        name = xxhash.xxh3_128(pack(self.head))
+        name.update("".join(texts).encode("utf-8"))
+        self.name = name.hexdigest()
+
+
+def _words(block: _Block, buckets: int) -> Iterator[tuple[str, str, int, bytes]]:
+    by_bucket = np.argsort(block.bucket, kind="stable")
+    ends = np.cumsum(np.bincount(block.bucket, minlength=buckets))
+    for b in range(buckets):
+        own = by_bucket[ends[b - 1] if b else 0:ends[b]]
+        if len(own):
+            listed = block.words.take(pa.array(own)).cast(pa.binary())
+            yield f"{b}", block.name, b, pack_columns(word=listed)
+
+
+def _codes(block: _Block) -> tuple[str, int, bytes]:
+    return block.name, CODES, _join(
+        pack(block.head), pack_columns(bucket=block.bucket.astype(np.uint16)),
+        pack_columns(**_planes(block.codes)))
 
 
 def _encode_words(batches: Iterable[pa.RecordBatch], encode: Callable[[str], Sequence[int]]):
-    """Replaces words by their ids; rows of codes pass."""
+    """Replace lists of words by lists of ids."""
     known: dict[bytes, bytes] = {}
     for batch in batches:
-        parts, data = batch.column("part").to_pylist(), batch.column("data")
         out = []
-        for i, part in enumerate(parts):
-            if part == CODES:
-                out.append(data[i].as_py())
-                continue
-            words = unpack(data[i].as_py()).column("word").to_pylist()
+        for data in batch.column("data"):
+            words = unpack(data.as_py()).column("word").to_pylist()
             if len(known) > REMEMBERED:
                 known.clear()
             for w in words:
@@ -129,67 +130,86 @@ def _encode_words(batches: Iterable[pa.RecordBatch], encode: Callable[[str], Seq
                     known[w] = np.array(encode(w.decode("utf-8")), dtype="<i4").tobytes()
             ids = [known[w] for w in words]
             sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-            out.append(_two(pack_columns(n=sizes.astype(np.uint32)),
-                            pack_columns(**_planes(np.frombuffer(b"".join(ids), dtype="<i4")))))
+            out.append(_join(pack_columns(n=sizes.astype(np.uint32)),
+                             pack_columns(**_planes(np.frombuffer(b"".join(ids), dtype="<i4")))))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("block"), batch.column("part"), batch.column("docs"),
-             pa.array(out, pa.binary())], names=["block", "part", "docs", "data"])
+            [batch.column("block"), batch.column("part"), pa.array(out, pa.binary())],
+            names=["block", "part", "data"])
 
 
 def _assemble(group: pa.Table, keep: list[str], types: list[pa.DataType]) -> pa.Table:
-    """Rows of one block with their ids."""
-    parts = group.column("part").to_pylist()
-    data = dict(zip(parts, group.column("data").to_pylist(), strict=True))
-    head = group.column("docs").to_pylist()[parts.index(CODES)] if CODES in parts else None
-    if head is None:
-        raise RuntimeError("a block lost its codes: the input rows changed between two attempts")
-    docs, buckets = _parts(head)
+    """Rows of one block with their ids; blocks of equal content share a name."""
+    parts, data = group.column("part").to_pylist(), group.column("data").to_pylist()
+    blocks = [d for p, d in zip(parts, data, strict=True) if p == CODES]
+    lists = {p: d for p, d in zip(parts, data, strict=True) if p != CODES}
+    if not blocks:
+        raise RuntimeError("a block lost its rows: they changed between two readings")
+    head, buckets, _ = _parts(blocks[0])
     bucket = buckets.column("bucket").to_numpy()
-    codes = _whole(unpack(data.pop(CODES)))
-    if set(data) != set(np.unique(bucket).tolist()):
-        raise RuntimeError("a block lost words: the input rows changed between two attempts")
-    lists = [(n.column("n").to_numpy(), _whole(ids))
-             for n, ids in (_parts(data[b]) for b in sorted(data))]
+    if set(lists) != set(np.unique(bucket).tolist()):
+        raise RuntimeError("a block lost words: its rows changed between two readings")
+    found = [(n.column("n").to_numpy(), _whole(ids))
+             for n, ids in (_parts(lists[b]) for b in sorted(lists))]
     sizes = np.zeros(len(bucket), dtype=np.int64)
     begin = np.zeros(len(bucket), dtype=np.int64)
-    flat = np.concatenate([x[1] for x in lists]) if lists else np.array([], dtype=np.int32)
+    flat = np.concatenate([x[1] for x in found]) if found else np.array([], dtype=np.int32)
     by_bucket = np.argsort(bucket, kind="stable")
-    if lists:
-        sizes[by_bucket] = np.concatenate([x[0] for x in lists])
+    if found:
+        sizes[by_bucket] = np.concatenate([x[0] for x in found])
         begin[by_bucket] = np.cumsum(sizes[by_bucket]) - sizes[by_bucket]
-    # every occurrence's ids, one after another
-    n = sizes[codes]
-    ends = np.cumsum(n)
-    total = int(ends[-1]) if len(ends) else 0
-    at = np.repeat(begin[codes] - (ends - n), n) + np.arange(total)
-    ids = flat[at].astype(np.int32)
-    upto = np.concatenate([[0], np.cumsum(docs.column("__n").to_numpy())])
-    offsets = np.concatenate([[0], ends])[upto].astype(np.int32)
-    return pa.Table.from_arrays(
-        [*[docs.column(docs.schema.get_field_index(c)).cast(t)
-           for c, t in zip(keep, types, strict=True)],
-         pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], names=[*keep, "ids"])
+    out = []
+    for block in blocks:
+        head, _, planes = _parts(block)
+        codes = _whole(planes)
+        # every occurrence's ids, one after another
+        n = sizes[codes]
+        ends = np.cumsum(n)
+        at = np.repeat(begin[codes] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+        upto = np.concatenate([[0], np.cumsum(head.column("__n").to_numpy())])
+        offsets = np.concatenate([[0], ends])[upto].astype(np.int32)
+        out.append(pa.Table.from_arrays(
+            [*[head.column(head.schema.get_field_index(c)).cast(t)
+               for c, t in zip(keep, types, strict=True)],
+             pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat[at].astype(np.int32)))],
+            names=[*keep, "ids"]))
+    return pa.concat_tables(out)
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text",
            keep: Sequence[str] = ("doc_id",), buckets: int | None = None) -> DataFrame:
     """`keep` and `ids`, the token ids of every whole text.
 
-    `docs` should be a table or a settled result: rows that change between two attempts of a task
-    end the job with an error instead of a wrong result.
+    `docs` is read twice and should be a table or a settled result: rows that come in another order
+    the second time end the job with an error, never with a wrong result.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
     keep = list(keep)
-    n = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = min(buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions")), 65_536)
     schema = T.StructType([*[docs.schema[c] for c in keep],
                            T.StructField("ids", T.ArrayType(T.IntegerType()))])
     types = list(to_arrow_schema(T.StructType([docs.schema[c] for c in keep])).types)
     shared = spark.sparkContext.broadcast(ranks)
 
-    def cut(batches):
-        return _cut(batches, text, keep, min(n, 65_536))
+    def blocks(batches):
+        for rows, texts in text_blocks(batches, text, BLOCK_CHARS):
+            yield _Block(rows, texts, keep, n)
+
+    def words(batches):
+        for block in blocks(batches):
+            out = list(zip(*_words(block, n), strict=True)) or [[], [], [], []]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out[0], pa.string()), pa.array(out[1], pa.string()),
+                 pa.array(out[2], pa.int32()), pa.array(out[3], pa.binary())],
+                names=["bucket", "block", "part", "data"])
+
+    def codes(batches):
+        for block in blocks(batches):
+            name, part, data = _codes(block)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name]), pa.array([part], pa.int32()), pa.array([data], pa.binary())],
+                names=["block", "part", "data"])
 
     def encode_words(batches):
         return _encode_words(batches, word_encoder(shared.value, pattern))
@@ -197,10 +217,12 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     def assemble(group: pa.Table) -> pa.Table:
         return _assemble(group, keep, types)
 
-    moved = docs.select(*dict.fromkeys([*keep, text])).mapInArrow(cut, MOVED)
-    coded = moved.repartition("dest").mapInArrow(
-        encode_words, "block string, part int, docs binary, data binary")
-    return coded.groupBy("block").applyInArrow(assemble, schema)
+    # the texts are cut twice, which is cheaper than carrying the codes past the words' shuffle
+    rows = docs.select(*dict.fromkeys([*keep, text]))
+    coded = rows.mapInArrow(words, f"bucket string, {MOVED}").repartition("bucket").mapInArrow(
+        encode_words, MOVED)
+    return coded.unionByName(rows.mapInArrow(codes, MOVED)).groupBy("block").applyInArrow(
+        assemble, schema)
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str = "decoded",

@@ -21,13 +21,13 @@ CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 @cache
 def classes() -> np.ndarray:
     """Class of every code point."""
-    points = [p for p in range(0x110000) if not 0xD800 <= p < 0xE000]
-    every = "".join(map(chr, points))
-    table = np.zeros(0x110000, dtype=np.uint8)
+    points = np.arange(0x110000, dtype=np.uint32)
+    points[0xD800:0xE000] = 0  # surrogates are no characters
+    every = points.tobytes().decode("utf-32-le")
+    table = np.full(0x110000, OTHER, dtype=np.uint8)
     for code, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
         for m in regex.finditer(pattern, every):
-            table[points[m.start()]:points[m.end() - 1] + 1] = code
-    table[0xD800:0xE000] = OTHER
+            table[m.start():m.end()] = code
     return table
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import bpe, quality, simhash, token_files, toxicity
+from tidewatch.llm import (
+    bpe, credentials, line_templates, merkle, mixing, quality, simhash, token_files, toxicity)
 from tidewatch.llm.training import held_out
 from tidewatch.session import scratch_path
 
@@ -61,3 +62,25 @@ def op10_toxic_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score_toxicity(docs.select("doc_id", "text"), lexicon)
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@register
+def op6_block_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(table(spark, sf_dir, "documents")).drop("tie")
+
+
+@register
+def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_templates.drop_recurring(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), dropped="n_dropped")
+    return cleaned.select("doc_id", "n_dropped", "text")
+
+
+@register
+def op3_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@register
+def op7_owned_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.secrets(table(spark, sf_dir, "documents"))
