@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm import (
-    bpe, mixing, quality, simhash, token_files, toxicity)
+    bpe, line_templates, mixing, quality, simhash, token_files, toxicity)
 from tidewatch.llm.training import held_out
 from tidewatch.session import scratch_path
 
@@ -67,3 +67,10 @@ def op10_toxic_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op6_block_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents")).drop("tie")
+
+
+@register
+def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_templates.drop_recurring(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), dropped="n_dropped")
+    return cleaned.select("doc_id", "n_dropped", "text")
