@@ -28,8 +28,8 @@ SECTION_ENDS = "[0-3]$"
 NODE, LEAF = 16, 8
 
 
-def _node(text: Column, width: int = NODE) -> Column:
-    return F.substring(F.md5(text), 1, width)
+def _node(text: Column) -> Column:
+    return F.substring(F.md5(text), 1, NODE)
 
 
 def with_tree(df: DataFrame, text: str, out: str) -> DataFrame:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm import (
-    bpe, line_templates, mixing, quality, simhash, token_files, toxicity)
+    bpe, line_templates, merkle, mixing, quality, simhash, token_files, toxicity)
 from tidewatch.llm.training import held_out
 from tidewatch.session import scratch_path
 
@@ -74,3 +74,8 @@ def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_templates.drop_recurring(
         table(spark, sf_dir, "documents").select("doc_id", "text"), dropped="n_dropped")
     return cleaned.select("doc_id", "n_dropped", "text")
+
+
+@register
+def op3_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprints(table(spark, sf_dir, "documents"))
