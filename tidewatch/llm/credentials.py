@@ -87,6 +87,10 @@ def _joined(spans: Column) -> Column:
         ":", F.element_at(names, x["kind"] + 1), x["start"], x["end"])), ",")
 
 
+def _count(spans: str, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long")
+
+
 def secrets(docs: DataFrame) -> DataFrame:
     """Per row: counts and digest of base spans, all spans, and how many look live or copied."""
     found = settle(find_candidates(docs).withColumn("__row", F.monotonically_increasing_id()))
@@ -101,8 +105,7 @@ def secrets(docs: DataFrame) -> DataFrame:
     every = _joined(F.concat("base", F.coalesce("added", F.array().cast(SPAN))))
     return found.join(live, "__row", "left").select(
         "doc_id",
-        *[F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}")
-          for k, name in enumerate(KINDS)],
+        *[_count("base", k).alias(f"n_{name}") for k, name in enumerate(KINDS)],
         F.sha2(base, 256).alias("base_sha256"), every.alias("spans"),
         F.coalesce("n_live", F.lit(0)).alias("n_live"),
         F.coalesce("n_copied", F.lit(0)).alias("n_copied"))
