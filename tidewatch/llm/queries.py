@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewatch.llm import (
-    bpe, credentials, line_templates, merkle, mixing, quality, simhash, token_files, toxicity)
+    bpe, credentials, line_templates, merkle, mixing, neighbours, quality, simhash, token_files,
+    toxicity)
 from tidewatch.llm.training import held_out
 from tidewatch.session import scratch_path
 
@@ -84,3 +86,8 @@ def op3_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op7_owned_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.secrets(table(spark, sf_dir, "documents"))
+
+
+@register
+def op2_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
