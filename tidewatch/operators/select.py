@@ -6,14 +6,15 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.operators.profile import column_values
-from tidewatch.operators.ranking import quantiles_of, value_ranks
+from tidewatch.operators.ranking import prefix_sum, quantiles_of, value_ranks
+from tidewatch.session import settle
 
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
-BROADCAST_VALUES = 200_000  # distinct values of a column up to which its rank map is broadcast
+HEAVY = 1_000  # a value with at least this share (1 / HEAVY) of the rows is looked up, not joined
 
 
 def numeric_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -21,60 +22,109 @@ def numeric_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
     return [c for c in cols if kinds[c] in NUMERIC_TYPES or kinds[c].startswith("decimal")]
 
 
+def _tied_rank():
+    """Tie-averaged rank of a distinct value, centred and scaled, so that squares stay small."""
+    return (F.col("upto") - (F.col("n") - 1) / 2 - (F.col("size") + 1) / 2) / F.col("size")
+
+
 def _rank_matrix(df: DataFrame, cols: list[str],
                  ranked: DataFrame | None = None) -> dict[tuple[str, str], float | None]:
     """Pearson correlation of tie-averaged ranks for columns without missing values.
 
-    Distinct values get their rank once. Short rank lists go to the tasks as sorted arrays, a
-    longer one is joined; one pass then sums the products of all column pairs per partition.
+    A value that holds at least 1 / `HEAVY` of the rows is heavy: there are at most `HEAVY` of them
+    per column, so their ranks go to every task. The other cells get theirs by a join, in which no
+    value is hot, and return to their rows; one pass then sums the products of all column pairs.
     """
-    data = df.select(*[(F.col(f"`{c}`").cast("double") + F.lit(0.0)).alias(c) for c in cols])
-    if ranked is None:
-        ranked = value_ranks(data, cols)
-    # centred and scaled, so that squares of ranks stay small
-    ranks = ranked.where(F.col("feature").isin(cols)).select(
-        "feature", "value", "nth", "distinct",
-        ((F.col("upto") - (F.col("n") - 1) / 2 - (F.col("size") + 1) / 2)
-         / F.col("size")).alias("rank"))
-    fits = F.col("distinct") <= BROADCAST_VALUES
-    lists = ranks.where(fits | (F.col("nth") == 1)).toPandas().sort_values(["feature", "value"])
-    distinct = dict(zip(lists["feature"], lists["distinct"], strict=True))
+    data = settle(df.select(
+        F.monotonically_increasing_id().alias("__row"),
+        *[(F.col(f"`{c}`").cast("double") + F.lit(0.0)).alias(c) for c in cols]))
     names = list(cols)
-    for c in names:
-        if distinct.get(c, 0) > BROADCAST_VALUES:
-            table = ranks.where(F.col("feature") == c).select(
-                F.col("value").alias(c), F.col("rank").alias("__rank"))
-            data = data.join(table, c).drop(c).withColumnRenamed("__rank", c)
-    lists = lists[lists["distinct"] <= BROADCAST_VALUES]
-    lookup = {c: (g["value"].to_numpy(), g["rank"].to_numpy())
-              for c, g in lists.groupby("feature")}
-    shared = df.sparkSession.sparkContext.broadcast(lookup)
+    if ranked is None:
+        ranked = value_ranks(data, names)
+    ranks = ranked.where(F.col("feature").isin(names)).select(
+        "feature", "value", "n", "size", "distinct", _tied_rank().alias("rank"))
+    heavy = F.col("n") * HEAVY >= F.col("size")
+    listed = ranks.where(heavy).toPandas().sort_values(["feature", "value"])
+    varied = {r["feature"] for r in ranks.where("distinct > 1").select("feature").distinct().collect()}
+    shared = df.sparkSession.sparkContext.broadcast({
+        c: (g["value"].to_numpy(), g["rank"].to_numpy()) for c, g in listed.groupby("feature")})
+
+    def looked_up(batch) -> np.ndarray:
+        """Ranks of the heavy cells, one line per column; the others are missing."""
+        out = np.full((len(names), batch.num_rows), np.nan)
+        for i, c in enumerate(names):
+            if c in shared.value:
+                values, rank = shared.value[c]
+                x = batch.column(c).to_numpy()
+                at = np.minimum(np.searchsorted(values, x), len(values) - 1)
+                out[i] = np.where(values[at] == x, rank[at], np.nan)
+        return out
+
+    def light_cells(batches):
+        for batch in batches:
+            i, at = np.nonzero(np.isnan(looked_up(batch)))
+            cells = np.stack([batch.column(c).to_numpy() for c in names])[i, at]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("__row").take(pa.array(at)), pa.array(i.astype(np.int32)),
+                 pa.array(cells)], names=["__row", "i", "value"])
+
+    number = F.array_position(F.array(*map(F.lit, names)), F.col("feature")).cast("int") - 1
+    light = ranks.where(~heavy).select(number.alias("i"), "value", "rank")
+    found = data.mapInArrow(light_cells, "__row long, i int, value double").join(
+        light, ["i", "value"]).groupBy("__row").agg(
+        F.collect_list("i").alias("__i"), F.collect_list("rank").alias("__rank"))
     left, right = np.triu_indices(len(names))
 
     def products(batches):
-        known = shared.value
         total = np.zeros((len(names), len(names)))
         for batch in batches:
-            cells = [np.asarray(batch.column(c)) for c in names]
-            cells = [known[c][1][np.searchsorted(known[c][0], x)] if c in known else x
-                     for c, x in zip(names, cells, strict=True)]
-            ranked = np.stack(cells) if batch.num_rows else np.zeros((len(names), 0))
-            total += ranked @ ranked.T
+            cells = looked_up(batch)
+            at = batch.column("__i")
+            sizes = pc.fill_null(pc.list_value_length(at), 0).to_numpy()
+            cells[at.flatten().to_numpy(), np.repeat(np.arange(batch.num_rows), sizes)] = (
+                batch.column("__rank").flatten().to_numpy())
+            total += cells @ cells.T
         yield pa.RecordBatch.from_pydict({"i": pa.array(left, pa.int32()),
                                           "j": pa.array(right, pa.int32()),
                                           "s": pa.array(total[left, right])})
 
-    sums = data.select(*names).mapInArrow(products, "i int, j int, s double").groupBy(
-        "i", "j").agg(F.sum("s").alias("s")).collect()
+    sums = data.join(found, "__row", "left").mapInArrow(
+        products, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).collect()
     gram = {(r["i"], r["j"]): r["s"] for r in sums}
-    out = {}
-    for i, j in combinations(range(len(cols)), 2):
-        if distinct.get(names[i], 0) < 2 or distinct.get(names[j], 0) < 2:
-            out[cols[i], cols[j]] = None
-            continue
-        rho = gram[i, j] / math.sqrt(gram[i, i] * gram[j, j])
-        out[cols[i], cols[j]] = max(-1.0, min(1.0, rho))
-    return out
+    return {(cols[i], cols[j]): _bounded(gram[i, j], gram[i, i], gram[j, j])
+            if {cols[i], cols[j]} <= varied else None
+            for i, j in combinations(range(len(cols)), 2)}
+
+
+def _bounded(product: float, left: float, right: float) -> float:
+    return max(-1.0, min(1.0, product / math.sqrt(left * right)))
+
+
+def _gapped_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> dict:
+    """Correlations of pairs over the rows that have both values; all pairs in one plan."""
+    def number(c: str):
+        return F.nanvl(F.col(f"`{c}`").cast("double") + F.lit(0.0), F.lit(None))
+
+    cells = settle(df.select(F.explode(F.array(*[
+        F.struct(F.lit(k).alias("pair"), number(a).alias("x"), number(b).alias("y"))
+        for k, (a, b) in enumerate(pairs)])).alias("c")).select("c.*").where(
+        F.col("x").isNotNull() & F.col("y").isNotNull()).groupBy("pair", "x", "y").agg(
+        F.count("*").alias("times")))
+    sides = {}
+    for side in ("x", "y"):
+        # distinct values with counts, so the times of a combination stand for its rows
+        counted = cells.groupBy("pair", F.col(side).alias("value")).agg(F.sum("times").alias("n"))
+        sides[side] = settle(prefix_sum(
+            counted, ["value"], {"upto": F.col("n")}, group=["pair"], totals={"size": "upto"}).select(
+            "pair", F.col("value").alias(side), "n", _tied_rank().alias(f"r{side}")))
+    own = {side: {r["pair"]: r["s"] for r in t.groupBy("pair").agg(
+        F.sum(F.col("n") * F.pow(f"r{side}", 2)).alias("s")).collect()} for side, t in sides.items()}
+    both = cells.join(sides["x"].drop("n"), ["pair", "x"]).join(
+        sides["y"].drop("n"), ["pair", "y"]).groupBy("pair").agg(
+        F.sum(F.col("times") * F.col("rx") * F.col("ry")).alias("s")).collect()
+    found = {r["pair"]: r["s"] for r in both}
+    return {p: _bounded(found[k], own["x"][k], own["y"][k])
+            if own["x"].get(k) and own["y"].get(k) else None for k, p in enumerate(pairs)}
 
 
 def spearman(df: DataFrame, cols: Sequence[str],
@@ -90,12 +140,9 @@ def spearman(df: DataFrame, cols: Sequence[str],
     facts = facts or column_facts(df, cols)
     whole = [c for c in cols if facts[c]["gaps"] == 0]
     known = _rank_matrix(df, whole, ranked) if len(whole) > 1 else {}
-    for a, b in combinations(cols, 2):
-        if (a, b) not in known:
-            both = df.select(a, b).where(
-                F.col(a).isNotNull() & F.col(b).isNotNull()
-                & ~F.isnan(F.col(a).cast("double")) & ~F.isnan(F.col(b).cast("double")))
-            known[a, b] = _rank_matrix(both, [a, b])[a, b]
+    gapped = [p for p in combinations(cols, 2) if p not in known]
+    if gapped:
+        known |= _gapped_pairs(df, gapped)
     return {pair: known[pair] for pair in combinations(cols, 2)}
 
 
@@ -140,10 +187,6 @@ def column_facts(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
                 "hi": row[f"hi{i}"], "sum": row[f"sum{i}"]} for i, c in enumerate(cols)}
 
 
-def distinct_with_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return column_values(df, cols).groupBy("feature").agg(F.count("*").alias("values"))
-
-
 def constant_columns(df: DataFrame, cols: Sequence[str], facts: dict | None = None) -> list[str]:
     """Columns with at most one value, null counted as a value."""
     facts = facts or column_facts(df, cols)
@@ -168,31 +211,44 @@ def duplicate_columns(df: DataFrame, cols: Sequence[str],
     return [pair for i, pair in enumerate(pairs) if same[f"p{i}"]]
 
 
+REASONS = ("duplicate", "Spearman")
+
+
+def resolve(cols: Sequence[str], redundant: dict[tuple[str, str], str]) -> dict[str, tuple]:
+    """Which columns go, and for whose sake: {removed: (retained, reason)}.
+
+    `redundant` has the reason for each pair (earlier, later). Pairs are taken by the later column,
+    then by reason, then by the earlier column; a pair acts if both of its columns still stand. All
+    pairs that could remove the earlier one come before.
+    """
+    at = {c: i for i, c in enumerate(cols)}
+    gone: dict[str, tuple] = {}
+    for earlier, later in sorted(redundant, key=lambda p: (
+            at[p[1]], REASONS.index(redundant[p]), at[p[0]])):
+        if earlier not in gone and later not in gone:
+            gone[later] = (earlier, redundant[earlier, later])
+    return gone
+
+
 def select_columns(df: DataFrame, cols: Sequence[str], threshold: float = 0.90):
-    """Greedy pruning in column order; returns (kept, report rows, medians of kept numbers).
+    """(kept, report rows, medians of kept numbers); the earlier of two redundant columns stays.
 
-    The statistics come from Spark; the walk below only sees one entry per pair of columns.
+    The statistics come from Spark; the driver sees one entry per pair of columns.
     """
     cols = list(cols)
     facts = column_facts(df, cols)
     flat = set(constant_columns(df, cols, facts))
-    twins = set(duplicate_columns(df, [c for c in cols if c not in flat], facts))
-    varying = [c for c in numeric_columns(df, cols) if c not in flat]
+    rest = [c for c in cols if c not in flat]
+    varying = numeric_columns(df, rest)
     ranked = value_ranks(df, varying) if varying else None
     rho = spearman(df, varying, facts, ranked)
-    kept, report = [], []
-    for col in cols:
-        if col in flat:
-            report.append((col, None, None, "constant"))
-            continue
-        copies = [k for k in kept if (k, col) in twins]
-        close = [k for k in kept if abs(rho.get((k, col)) or 0.0) >= threshold]
-        if copies or close:
-            other = (copies or close)[0]
-            report.append((col, other, rho.get((other, col)),
-                           "duplicate" if copies else "Spearman"))
-        else:
-            kept.append(col)
+    redundant = {p: "Spearman" for p, r in rho.items() if r is not None and abs(r) >= threshold}
+    redundant |= dict.fromkeys(duplicate_columns(df, rest, facts), "duplicate")
+    gone = resolve(rest, redundant)
+    report = [(c, None, None, "constant") if c in flat else
+              (c, gone[c][0], rho.get((gone[c][0], c)), gone[c][1])
+              for c in cols if c in flat or c in gone]
+    kept = [c for c in rest if c not in gone]
     medians = {}
     if ranked is not None:
         wanted = ranked.where(F.col("feature").isin([c for c in kept if c in varying]))

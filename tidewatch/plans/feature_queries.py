@@ -129,9 +129,9 @@ def q_spearman_gaps(spark, d):
 
 
 def q_constant(spark, d):
-    rows = labelled(spark, d)
-    few = SEL.distinct_with_null(rows, VECTOR)
-    return few.select("feature", "values", (F.col("values") <= 1).alias("is_constant"))
+    flat = set(SEL.constant_columns(labelled(spark, d), VECTOR))
+    return spark.createDataFrame([(c, c in flat) for c in VECTOR],
+                                 "feature string, is_constant boolean")
 
 
 def q_duplicates(spark, d):
@@ -144,6 +144,13 @@ def q_selector(spark, d):
     return rounded(model.report_frame(spark))
 
 
+def q_selector_all(spark, d):
+    """All raw and derived columns."""
+    rows = network_features(view(spark, d, "conn41"), keep=[])
+    model = ST.CorrelationSelector(inputCols=rows.columns).fit(rows)
+    return rounded(model.report_frame(spark))
+
+
 def q_impute(spark, d):
     rows = with_gaps(spark, d)
     model = ST.MedianImputer(inputCols=["src_bytes", "duration"]).fit(rows.where("label = 0"))
@@ -201,6 +208,7 @@ QUERIES = {
     "constant_columns": q_constant,
     "duplicate_columns": q_duplicates,
     "correlation_selector": q_selector,
+    "correlation_selector_all": q_selector_all,
     "median_impute": q_impute,
     "standard_scale": q_standard,
     "robust_scale": q_robust,
@@ -326,8 +334,7 @@ ORACLES = {
          for b in ("src_bytes", "duration", "serror_rate")], "gaps"),
     "constant_columns": f"WITH {LABELLED} " + _union(
         f"""SELECT '{c}' AS feature, count(DISTINCT {c}) + CAST(count(*) > count({c}) AS BIGINT)
- AS "values", count(DISTINCT {c}) + CAST(count(*) > count({c}) AS BIGINT) <= 1 AS is_constant
- FROM labelled""" for c in VECTOR),
+ <= 1 AS is_constant FROM labelled""" for c in VECTOR),
     "duplicate_columns": f"WITH {LABELLED} SELECT * FROM (" + _union(
         f"""SELECT '{a}' AS "left", '{b}' AS "right" FROM labelled
  HAVING bool_and(CAST({a} AS VARCHAR) IS NOT DISTINCT FROM CAST({b} AS VARCHAR))"""

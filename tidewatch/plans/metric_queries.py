@@ -72,7 +72,7 @@ def q_ap(spark, d):
 
 def q_ks(spark, d):
     return rounded(M.evaluate(scored(spark, d), THRESHOLD).select(
-        F.col("ks"), (F.col("ks_pvalue") < 1e-6).alias("significant")))
+        "ks", "ks_pvalue"))
 
 
 def q_losses(spark, d):
@@ -80,7 +80,9 @@ def q_losses(spark, d):
 
 
 def q_roc(spark, d):
-    return rounded(M.roc_curve(by_split(spark, d), ["model", "split"]).where("score < 1e300"))
+    """All points, the origin with a null score included."""
+    return rounded(M.roc_curve(by_split(spark, d), ["model", "split"]).withColumn(
+        "score", F.when(F.col("score") < float("inf"), F.col("score"))))
 
 
 def q_pr(spark, d):
@@ -218,12 +220,15 @@ ORACLES = {
     "classification_metrics": f"WITH {SUITE} SELECT {COUNTS}, {RATES} FROM suite",
     "roc_auc": f"WITH {SUITE} SELECT {r6('roc_auc', 'roc_auc')}, {r6('2 * roc_auc - 1', 'gini')} FROM suite",
     "average_precision": f"WITH {SUITE} SELECT {r6('average_precision', 'average_precision')} FROM suite",
-    "ks_statistic": f"""WITH {SUITE} SELECT {r6('ks', 'ks')},
- 2 * exp(-2 * ks * ks * p * n / (p + n)) < 1e-6 AS significant FROM suite""",
+    "ks_statistic": f"""WITH {SUITE}, l AS (SELECT ks, ks * sqrt(p * n / (p + n)) AS lam FROM suite)
+ SELECT {r6('ks', 'ks')}, {r6("""CASE WHEN lam < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0,
+ list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END)::DOUBLE
+ * exp(-2.0 * k * k * lam * lam))))) END""", 'ks_pvalue')} FROM l""",
     "log_loss_brier": f"""WITH {ctes('scored')} SELECT {r6(LL, 'log_loss')}, {r6(BRIER, 'brier')}
  FROM scored""",
     "roc_curve": f"""WITH {BY_SPLIT}, {cum_sql('by_split', 'model, split')} SELECT model, split,
- {r6('score', 'score')}, {r6('fp / n', 'fpr')}, {r6('tp / p', 'tpr')} FROM cum""",
+ {r6('score', 'score')}, {r6('fp / n', 'fpr')}, {r6('tp / p', 'tpr')} FROM cum
+ UNION ALL SELECT DISTINCT model, split, NULL::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM by_split""",
     "pr_curve": f"""WITH {BY_SPLIT}, {cum_sql('by_split', 'model, split')} SELECT model, split,
  {r6('score', 'score')}, {r6('tp / (tp + fp)', 'precision')}, {r6('tp / p', 'recall')} FROM cum
  UNION ALL SELECT DISTINCT model, split, NULL::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE FROM by_split""",

@@ -118,7 +118,7 @@ def q_validate(spark, d):
 
 def responses(spark, d):
     """Stored model answers: JSON of a specification, broken in a rule-made way."""
-    sound = specs(spark, d).where(f"spec_id % {VARIANTS} IN (0, 1)")
+    sound = specs(spark, d)
     text = F.to_json(F.struct(
         "name", "description", "evidence", "hypothesis", "rule_type", "protocol", "source_scope",
         "destination_scope", F.lit("@").alias("conditions"), "severity", "suricata_compatible",
@@ -155,7 +155,7 @@ def q_parse(spark, d):
 
 
 def rendered(spark, d):
-    return R.render_rules(specs(spark, d).where(f"spec_id % {VARIANTS} IN (0, 1, 17, 18)").withColumn(
+    return R.render_rules(specs(spark, d).withColumn(
         "sid", F.lit(9900000) + F.col("spec_id") % 400))
 
 
@@ -235,8 +235,16 @@ def q_allowed(spark, d):
 
 
 def q_grounded(spark, d):
-    allowed = R.allowed_conditions(names(spark, d))
-    return R.check_grounded(specs(spark, d).where(f"spec_id % {VARIANTS} IN (0, 1, 7)"), allowed)
+    allowed = R.allowed_conditions(names(spark, d), E.candidate_conditions(
+        stats(spark, d), top(spark, d)), window=WINDOW)
+    # half of the sound behavioural specifications take all supplied window conditions
+    supplied = E.candidate_conditions(stats(spark, d), top(spark, d)).agg(F.array_sort(
+        F.collect_list(F.struct("field", "operator", F.lit(None).cast("string").alias("value_str"),
+                                F.col("value").alias("value_num")))).alias("supplied"))
+    takes = (F.col("spec_id") % VARIANTS == 1) & (F.floor(F.col("spec_id") / VARIANTS) % 2 == 0)
+    rows = specs(spark, d).crossJoin(F.broadcast(supplied)).withColumn(  # one row
+        "conditions", F.when(takes, F.col("supplied")).otherwise(F.col("conditions")))
+    return R.check_grounded(rows, allowed)
 
 
 def literal_rules(spark):
@@ -376,6 +384,17 @@ cand AS (SELECT feature AS field, 'gt' AS operator, round((p95 + peak) / 2, 4) A
 VCASE = "CASE spec_id % 20 " + " ".join(f"WHEN {v} THEN '{c}'" for v, c in VIOLATION.items()) \
     + " ELSE '' END"
 SPEC_ROWS = f"""{PERIODS}, specs AS (SELECT seq AS spec_id, name AS host, orig_p FROM named)"""
+SPEC_V = f"""{SPEC_ROWS}, v AS (SELECT *, spec_id % 20 AS v, (spec_id // 20) % 8 AS k,
+ spec_id % 20 IN (1, 10, 11, 12, 13) AS numeric, 9900000 + spec_id % 400 AS sid FROM specs),
+one AS (SELECT *, CASE WHEN numeric THEN 'unique_subdomains' WHEN v = 14 THEN 'http.host'
+  WHEN v = 15 THEN 'dns.made_up' ELSE 'dns.query' END AS field,
+ CASE WHEN numeric THEN 'gt' WHEN v = 16 THEN 'startswith' WHEN v % 2 = 0 THEN 'endswith'
+  ELSE 'contains' END AS operator,
+ CASE WHEN v = 17 THEN repeat('x', 257) WHEN v = 18 THEN '' WHEN NOT numeric THEN '.' || host END
+  AS value_str,
+ CASE WHEN v = 13 THEN -1.0::DOUBLE WHEN numeric THEN CAST(orig_p AS DOUBLE) / 1000 END AS value_num
+ FROM v)"""
+RENDERED = "(0, 2, 3, 6, 7, 8, 19)"  # variants without a fault that rendering looks at
 RULE_HEAD = 'any any -> any any (msg:"LOCAL GENERATED candidate"; '
 
 
@@ -468,13 +487,13 @@ ORACLES = {
     "candidate_suffix_rules": f"""WITH {IOC} SELECT 'dns.query' AS field, 'endswith' AS operator,
  '.' || query AS value FROM ioc""",
     "validate_specs": f"WITH {SPEC_ROWS} SELECT spec_id, {VCASE} AS violations FROM specs",
-    "parse_spec_responses": f"""WITH {SPEC_ROWS}, k AS (SELECT *, (spec_id // 20) % 8 AS k,
- spec_id % 20 AS v FROM specs WHERE spec_id % 20 IN (0, 1))
-SELECT spec_id, CASE k {' '.join(f"WHEN {i} THEN '{s}'" for i, s in PARSED.items())} ELSE 'parsed'
- END AS status, CASE WHEN k = 0 THEN 'candidate ' || host END AS name,
- CASE WHEN k = 0 THEN CASE v WHEN 0 THEN 'endswith' ELSE 'gt' END END AS operator,
- CASE WHEN k = 0 AND v = 0 THEN '.' || host END AS value_str,
- CASE WHEN k = 0 AND v = 1 THEN CAST(orig_p AS DOUBLE) / 1000 END AS value_num FROM k""",
+    "parse_spec_responses": f"""WITH {SPEC_V}, st AS (SELECT *, CASE
+ {' '.join(f"WHEN k = {i}{' AND v <> 8' if i == 5 else ''} THEN '{s}'" for i, s in PARSED.items())}
+ ELSE 'parsed' END AS status FROM one)
+SELECT spec_id, status, CASE WHEN status = 'parsed' THEN CASE WHEN v = 2 THEN '' ELSE
+ 'candidate ' || host END END AS name, CASE WHEN status = 'parsed' THEN operator END AS operator,
+ CASE WHEN status = 'parsed' THEN value_str END AS value_str,
+ CASE WHEN status = 'parsed' THEN value_num END AS value_num FROM st""",
     "allowed_conditions": f"""WITH {WINS}, longest AS (SELECT name AS query FROM named
   WHERE ts >= {MIDDLE} GROUP BY 1 ORDER BY length(name) DESC, name LIMIT 12)
 SELECT 'dns_ioc' AS evidence_type, 'dns.query' AS field, 'endswith' AS operator,
@@ -484,20 +503,31 @@ SELECT 'dns_ioc' AS evidence_type, 'dns.query' AS field, 'endswith' AS operator,
 UNION ALL SELECT 'dns_windows', field, operator, NULL, value, 2,
  CAST(least(3, (SELECT count(*) FROM cand)) AS INT), 'source IP and persistent UDP source port',
  {WINDOW}::DOUBLE FROM cand""",
-    "grounded_conditions_check": f"""WITH {IOC} SELECT seq AS spec_id, seq % 20 = 0 AND
- name IN (SELECT query FROM ioc) AS grounded FROM named WHERE seq % 20 IN (0, 1, 7)""",
-    "render_rules": f"""WITH {SPEC_ROWS}, v AS (SELECT *, spec_id % 20 AS v,
- 9900000 + spec_id % 400 AS sid FROM specs WHERE spec_id % 20 IN (0, 1, 17, 18))
-SELECT spec_id, sid, CASE v WHEN 0 THEN 'alert dns {RULE_HEAD}dns.query; content:".' || host ||
- '"; nocase; endswith; sid:' || sid || '; rev:1;)' END AS rule,
- CASE v WHEN 0 THEN NULL WHEN 1 THEN 'needs_correlation' ELSE 'value' END AS render_error FROM v""",
+    "grounded_conditions_check": f"""WITH {WINS}, longest AS (SELECT name AS query FROM named
+  WHERE ts >= {MIDDLE} GROUP BY 1 ORDER BY length(name) DESC, name LIMIT 12),
+ novel AS (SELECT query FROM longest WHERE query NOT IN
+  (SELECT name FROM named WHERE ts < {MIDDLE} AND query NOT LIKE '%{NOVEL}%'))
+SELECT seq AS spec_id, CASE
+ WHEN seq % 20 = 1 AND (seq // 20) % 2 = 0 THEN
+  (SELECT count(*) > 0 AND count(*) = count(DISTINCT field) FROM cand)
+ WHEN seq % 20 IN (1, 11, 12, 13) THEN EXISTS (SELECT 1 FROM cand WHERE field = 'unique_subdomains'
+  AND operator = 'gt' AND value = CASE WHEN seq % 20 = 13 THEN -1.0 ELSE orig_p / 1000.0 END)
+ ELSE seq % 2 = 0 AND seq % 20 NOT IN (10, 14, 16, 18) AND name IN (SELECT query FROM novel)
+ END AS grounded FROM named""",
+    "render_rules": f"""WITH {SPEC_V} SELECT spec_id, sid, CASE WHEN v IN {RENDERED} THEN
+ 'alert dns {RULE_HEAD}' || rtrim(repeat('dns.query; content:".' || host || '"; nocase; ' ||
+ CASE operator WHEN 'endswith' THEN 'endswith; ' ELSE '' END, CASE v WHEN 7 THEN 9 ELSE 1 END)) ||
+ ' sid:' || sid || '; rev:1;)' END AS rule,
+ CASE WHEN v IN {RENDERED} THEN NULL WHEN numeric OR v = 9 THEN 'needs_correlation'
+  WHEN v IN (4, 5) THEN 'protocol' WHEN v IN (14, 15) THEN 'field' WHEN v = 16 THEN 'operator'
+  ELSE 'value' END AS render_error FROM one""",
     "render_rules_hex": f"""WITH {ctes('http_log')} SELECT seq AS spec_id, 9900000 + seq % 99999 AS sid,
  'alert http {RULE_HEAD}http.user_agent; content:"|' ||
  rtrim(regexp_replace(hex(user_agent || ' "é";'), '(..)', '\\1 ', 'g')) || '|"; bsize:' ||
  strlen(user_agent || ' "é";') || '; http.host; content:"' || host ||
  '"; nocase; sid:' || (9900000 + seq % 99999) || '; rev:1;)' AS rule FROM http_log""",
-    "duplicate_sid_check": f"""WITH {SPEC_ROWS} SELECT 9900000 + spec_id % 400 AS sid,
- count(*) AS copies FROM specs WHERE spec_id % 20 = 0 GROUP BY 1 HAVING count(*) > 1""",
+    "duplicate_sid_check": f"""WITH {SPEC_V} SELECT sid, count(*) AS copies FROM one
+ WHERE v IN {RENDERED} GROUP BY 1 HAVING count(*) > 1""",
     "match_native_rules": f"""WITH {ctes('dns_log', 'http_log')}
 SELECT seq, 9900001::BIGINT AS sid FROM dns_log WHERE ends_with(lower(query), '.bad-example.test')
 UNION ALL SELECT seq, 9900002 FROM dns_log WHERE contains(lower(query), 'missing')

@@ -29,6 +29,17 @@ def q_csv(spark, d):
     return rounded(TB.read_connections(spark, path))
 
 
+def q_first(spark, d):
+    """The first row of every service in input order, over gz files in path order."""
+    path = scratch_path(spark, "ordered")
+    ordered = view(spark, d, "conn41").repartitionByRange(3, "row_id").sortWithinPartitions("row_id")
+    TB.write_connections(ordered.select(*CONN), path)
+    rows = TB.read_connections(spark, path, row_id="row_id")
+    return rows.groupBy("service").agg(
+        F.min("row_id").alias("row_id"), F.min_by("src_bytes", "row_id").alias("src_bytes"),
+        F.count("*").alias("rows"))
+
+
 def q_auto(spark, d):
     rows = view(spark, d, "conn").select("row_id", "service", "src_bytes", "serror_rate")
     base = scratch_path(spark, "features")
@@ -90,6 +101,8 @@ def q_merge(spark, d):
     base = scratch_path(spark, "rotated")
     J.write_jsonl(rows.where("seq % 3 <> 0"), f"{base}/dns.1.log")
     J.write_jsonl(rows.where("seq % 3 <> 1"), f"{base}/dns.log")
+    # records that differ only in a key outside of the schema are records of their own
+    J.write_jsonl(rows.where("seq % 5 = 0").withColumn("sensor", F.lit("b")), f"{base}/dns.log")
     return rounded(J.merge_logs(spark, [f"{base}/dns.1.log", f"{base}/dns.log"],
                                 S.DNS_LOG_SCHEMA).drop("answers"))
 
@@ -182,6 +195,7 @@ def q_detect(spark, d):
 
 QUERIES = {
     "scan_connections_csv": q_csv,
+    "first_per_key": q_first,
     "scan_features_auto": q_auto,
     "scan_jsonl": q_jsonl,
     "scan_jsonl_tolerant": q_tolerant,
@@ -213,7 +227,12 @@ ORACLES = {
     "stream_jsonl": f"{LOG}, 'dns' AS source FROM dns_log",
     "append_jsonl": f"""WITH {ctes('predictions')} SELECT seq, {r6('ts', 'ts')}, event_id, prediction,
  {r6('score', 'score')}, source FROM predictions""",
-    "merge_rotated_logs": f"{LOG} FROM dns_log",
+    "merge_rotated_logs": f"""WITH {ctes('dns_log')}, twice AS (SELECT * FROM dns_log UNION ALL
+ SELECT * FROM dns_log WHERE seq % 5 = 0) SELECT seq, {r6('ts', 'ts')}, orig_h, orig_p, qtype_name,
+ query, rcode_name, {r6('rtt', 'rtt')} FROM twice""",
+    "first_per_key": f"""WITH {ctes('conn41')}, placed AS (SELECT *, row_number() OVER (
+ ORDER BY row_id) - 1 AS place FROM conn41) SELECT service, min(place) AS row_id,
+ arg_min(src_bytes, place) AS src_bytes, count(*) AS rows FROM placed GROUP BY service""",
     "write_report": f"""WITH {SPLIT}, s AS ({SUMMARY_SQL}, {r6('avg(label)', 'attack_rate')}
  FROM split_rows GROUP BY split) SELECT *, 'json' AS format FROM s
  UNION ALL SELECT *, 'csv' FROM s""",

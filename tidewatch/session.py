@@ -1,6 +1,6 @@
 """Session settings the operators rely on, and shared scratch space."""
 
-import tempfile
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +14,17 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is named."""
+    """The cluster's shared checkpoint folder, `spark.checkpoint.dir`.
+
+    Without it only a local session goes on, below its working folder: executors on other machines
+    could not read what one of them or the driver has written.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tidewatch-")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = os.path.join(os.path.abspath(spark.conf.get("spark.sql.warehouse.dir").removeprefix(
+            "file:")), "scratch")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)

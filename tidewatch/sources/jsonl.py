@@ -68,6 +68,13 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def merge_logs(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
-    """Rotated parts of one log as one: exact repeats removed, ordered by time."""
-    rows = read_jsonl(spark, path, schema).distinct()
-    return rows.orderBy(F.coalesce("ts", F.lit(0.0)))
+    """Rotated parts of one log as one: repeated records removed, ordered by time.
+
+    A record is its whole JSON object with sorted keys, so keys outside of `schema` tell records
+    apart as well.
+    """
+    whole = F.to_json(F.try_parse_json(F.make_valid_utf8("value")))
+    rows = parse_lines(spark.read.text(path).withColumn("__record", whole), schema,
+                       keep=("__record",))
+    return rows.dropDuplicates(["__record"]).drop("__record").orderBy(
+        F.coalesce("ts", F.lit(0.0)))

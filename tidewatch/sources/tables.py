@@ -5,24 +5,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from tidewatch.schemas import CONNECTION_SCHEMA
 
 
-def read_connections(spark: SparkSession, path: str,
-                     schema: T.StructType = CONNECTION_SCHEMA) -> DataFrame:
+def read_connections(spark: SparkSession, path: str, schema: T.StructType = CONNECTION_SCHEMA,
+                     row_id: str | None = None) -> DataFrame:
     """Headerless CSV (plain or gz) with fixed names.
 
-    A gz file is one split, so a few large files are spread out again after the scan.
+    `row_id` names a column for the input ordinal: 0, 1, 2, ... through the files by path. It is
+    given at the scan; a second pass over the input counts the rows of its splits.
     """
     df = spark.read.schema(schema).option("header", False).option("mode", "FAILFAST").csv(path)
-    wanted = spark.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted // 4 else df
-
-
-def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """Input ordinal; apply directly after the scan."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    if row_id is None:
+        return df
+    split = ["__file", "__block"]
+    placed = df.select(
+        "*", F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__at"))
+    # one row per split of the input
+    sizes = placed.groupBy(*split).agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    before = W.orderBy(*split).rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select(*split, (F.coalesce(F.sum("__n").over(before), F.lit(0))
+                                    - F.col("__first")).alias("__shift"))
+    return placed.join(offsets, split).select(
+        *[F.col(f"`{f.name}`") for f in schema.fields],
+        (F.col("__at") + F.col("__shift")).alias(row_id))
 
 
 def write_connections(df: DataFrame, path: str) -> None:
@@ -83,7 +93,7 @@ def verify_digest(spark: SparkSession, glob: str, expected: DataFrame) -> DataFr
 def require_digest(spark: SparkSession, glob: str, expected: DataFrame) -> None:
     bad = verify_digest(spark, glob, expected).where(~F.col("matches"))
     if not bad.isEmpty():
-        raise ValueError("Source checksum mismatch; refusing to build from unverified input")
+        raise ValueError("checksum of the source differs from the expected one; nothing was built")
 
 
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
@@ -101,7 +111,7 @@ def require_columns(df: DataFrame, required: Sequence[str], what: str = "Missing
 def require_exact(actual: Sequence[str], expected: Sequence[str]) -> None:
     """The ordered feature list must be equal, not only the set."""
     if list(actual) != list(expected):
-        raise ValueError("Model artifact feature schema does not match the online feature schema")
+        raise ValueError("the model's ordered features are not the features given")
 
 
 def contract_report(df: DataFrame, required: Sequence[str]) -> DataFrame:
