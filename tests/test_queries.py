@@ -1,5 +1,6 @@
 """Every registered query against its SQL twin (smallest data)."""
 
+import bisect
 import os
 
 import pytest
@@ -31,7 +32,78 @@ def test_oracle(spark, con, name):
     assert not problems
 
 
-@pytest.mark.parametrize("name", ["file_digest", "schema_contract_check", "pca_projection",
-                                  "column_routing", "iforest_score", "window_anomaly_rank"])
+def rows_of(spark, name):
+    return entry.queries()[name](spark, SF).collect()
+
+
+@pytest.mark.parametrize("name", ["file_digest", "pca_projection", "column_routing",
+                                  "iforest_score", "window_anomaly_rank"])
 def test_rows_only(spark, name):
     assert not entry.queries()[name](spark, SF).isEmpty()
+
+
+def test_forest_has_all_trees(spark):
+    nodes = rows_of(spark, "iforest_fit")
+    assert {r["tree"] for r in nodes} == set(range(300))
+
+
+@pytest.mark.parametrize("name", ["logreg_fit", "gbt_fit"])
+def test_fitted_scores_rank_attacks_first(spark, name):
+    rows = rows_of(spark, name)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+    positive = [r["score"] for r in rows if r["label"] == 1]
+    negative = sorted(r["score"] for r in rows if r["label"] == 0)
+    wins = sum(bisect.bisect_left(negative, s) for s in positive)
+    assert wins / (len(positive) * len(negative)) > 0.7
+
+
+def test_selector_over_all_columns(spark):
+    report = rows_of(spark, "correlation_selector_all")
+    removed = {r["removed"] for r in report}
+    assert all(r["retained"] not in removed for r in report)
+    assert all(abs(r["correlation"]) >= 0.9 for r in report if r["reason"] == "Spearman")
+
+
+def test_pipeline_slots(spark):
+    rows = rows_of(spark, "feature_pipeline")
+    assert [r["slot"] for r in rows] == list(range(len(rows))) and any(r["selected"] for r in rows)
+
+
+def test_saved_models_score_alike(spark):
+    (row,) = rows_of(spark, "save_load_model")
+    assert row["rows"] > 0 and row["max_diff"] < 1e-12 and row["changed_predictions"] == 0
+    scored = rows_of(spark, "predict_bundle")
+    assert scored and all(r["prediction"] == int(r["score"] >= 0.05) for r in scored)
+
+
+def test_folds_and_report(spark):
+    assert [r["fold"] for r in rows_of(spark, "cross_validate")] == [1, 2, 3, 4, 5]
+    parts = {}
+    for r in rows_of(spark, "train_report"):
+        parts.setdefault(r["part"], {})[r["item"], r["metric"]] = r["value"]
+    assert set(parts) == {"splits", "report", "intervals", "folds", "cv", "importance"}
+    for (item, metric), value in parts["intervals"].items():
+        if metric == "low_95":
+            assert value <= parts["intervals"][item, "high_95"]
+
+
+def test_attributions_add_up(spark):
+    sums, length = {}, {}
+    for r in rows_of(spark, "tree_attribution"):
+        sums[r["row_id"]] = sums.get(r["row_id"], r["base"]) + r["attribution"]
+        length[r["row_id"]] = r["path_length"]
+    assert len(sums) == min(200, len(sums)) and sums == pytest.approx(length)
+
+
+def test_detection_stream_equals_batch(spark):
+    from tidewatch.operators import windows as WN
+    from tidewatch.plans.telemetry_queries import LIVE
+    from tidewatch.plans.views import view
+    from tidewatch.schemas import LIVE_FEATURES
+    logs = WN.merge_sources(view(spark, SF, "dns_log"), view(spark, SF, "http_log"), ["orig_p"])
+    batch = WN.live_features(logs, LIVE, ["orig_p"]).where("event_id IS NOT NULL").collect()
+    rows = rows_of(spark, "detect_stream")
+    plain = lambda r: (r["event_id"], *[v if isinstance(v, str) else round(float(v), 9)
+                                        for v in (r[c] for c in LIVE_FEATURES)])
+    assert sorted(map(plain, rows)) == sorted(map(plain, batch))
+    assert all(r["prediction"] == int(r["score"] >= r["threshold"]) for r in rows)

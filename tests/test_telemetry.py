@@ -20,7 +20,7 @@ HTTP = "seq long, ts double, uri string, host string, status_code int, " \
 
 def test_event_id(spark):
     rows = spark.createDataFrame([
-        (f"evt-{ID}.www.lab.internal", None), (None, f"/event/EVT-{ID.upper()}"),
+        (f"evt-{ID}.host.invalid", None), (None, f"/event/EVT-{ID.upper()}"),
         ("www.example.org", None)], "query string, uri string")
     got = [r[0] for r in rows.select(T.event_id("query", "uri")).collect()]
     assert got == [ID, ID, None]

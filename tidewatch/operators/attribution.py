@@ -78,26 +78,31 @@ class PathAttribution:
         self.weight = [math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d)
                        for k in range(d)]
 
-    def explain(self, x: np.ndarray) -> np.ndarray:
-        """Attribution per feature of one row."""
-        xf = x[self.feature]
-        inside = ((xf > self.lo) & (xf <= self.hi)).astype(float)
+    def explain(self, x: np.ndarray, chunk: int = 16) -> np.ndarray:
+        """Attribution per row and feature; `chunk` rows times all leaves are held at once."""
         d = self.feature.shape[1]
-        poly = np.zeros((len(self.value), d + 1))
-        poly[:, 0] = 1.0
-        for j in range(d):
-            z, o = self.share[:, j], inside[:, j]
-            poly[:, 1:] = poly[:, 1:] * z[:, None] + poly[:, :-1] * o[:, None]
-            poly[:, 0] *= z
-        out = np.zeros(self.width)
-        for j in range(d):
-            z, o = self.share[:, j], inside[:, j]
-            # divide the factor of slot j out again
-            total, q = np.zeros(len(z)), np.zeros(len(z))
-            for k in range(d - 1, -1, -1):
-                q = np.where(o > 0, poly[:, k + 1] - z * q, poly[:, k] / z)
-                total += self.weight[k] * q
-            np.add.at(out, self.feature[:, j], self.value * (o - z) * total)
+        out = np.zeros((len(x), self.width))
+        for start in range(0, len(x), chunk):
+            rows = x[start:start + chunk]
+            value = rows[:, self.feature]
+            inside = (value > self.lo) & (value <= self.hi)
+            poly = np.zeros((d + 1, *inside.shape[:2]))
+            poly[0] = 1.0
+            for j in range(d):
+                z, o = self.share[:, j], inside[:, :, j]
+                poly[1:] = poly[1:] * z + poly[:-1] * o
+                poly[0] *= z
+            for j in range(d):
+                z, o = self.share[:, j], inside[:, :, j]
+                # divide the factor of slot j out again
+                total, q = np.zeros(o.shape), np.zeros(o.shape)
+                for k in range(d - 1, -1, -1):
+                    q = np.where(o, poly[k + 1] - z * q, poly[k] / z)
+                    total += self.weight[k] * q
+                part = self.value * (o - z) * total
+                for r in range(len(rows)):
+                    out[start + r] += np.bincount(self.feature[:, j], part[r],
+                                                  minlength=self.width)
         return out
 
 
@@ -116,7 +121,7 @@ def tree_attribution(model: IsolationForestModel, df: DataFrame, names: Sequence
             if not len(pdf):
                 continue
             x = np.stack(pdf["x"].to_numpy())
-            values = np.stack([attribution.explain(row) for row in x])
+            values = attribution.explain(x)
             yield pd.DataFrame({
                 key: np.repeat(pdf[key].to_numpy(), len(names)),
                 "feature": np.tile(names, len(pdf)), "attribution": values.ravel(),

@@ -1,11 +1,13 @@
 """Labelling, deduplication, contradiction removal, sampling and splitting."""
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.operators.ranking import hash_rank, null_safe_join
+from tidewatch.operators.ranking import hash_cuts, null_safe_join, up_to_cut
 
 
 def label_connections(df: DataFrame) -> DataFrame:
@@ -71,11 +73,12 @@ def balanced_sample(df: DataFrame, rows: int, key: Sequence[str] | str, seed=42,
     have = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
     for value, need in quota.items():
         if have.get(value, 0) < need:
-            raise ValueError(f"Requested {need} rows with {label}={value}, "
-                             f"but only {have.get(value, 0)} are available")
-    ranked = hash_rank(df, key, seed, [label])
-    limit = F.when(F.col(label) == 0, quota[0]).otherwise(quota[1])
-    return ranked.where(F.col("draw_rank") <= limit).drop("draw_rank")
+            raise ValueError(f"{label}={value}: {have.get(value, 0)} rows, {need} wanted")
+    kinds = dict(df.dtypes)
+    cuts = hash_cuts(df, key, seed, {v: [lambda _, q=q: q] for v, q in quota.items()}, label)
+    inside = [(F.col(label) == v) & up_to_cut(key, seed, cuts[v][1][0], kinds)
+              for v in quota if v in cuts]
+    return df.where(reduce(lambda a, b: a | b, inside))
 
 
 def stratified_split(df: DataFrame, key: Sequence[str] | str,
@@ -84,35 +87,46 @@ def stratified_split(df: DataFrame, key: Sequence[str] | str,
     """Add `split`, 60/20/20 inside every label by default."""
     fractions = fractions or {"train": 0.6, "validation": 0.2, "test": 0.2}
     if abs(sum(fractions.values()) - 1) > 1e-9:
-        raise ValueError("Split fractions must sum to 1")
-    ranked = hash_rank(df, key, seed, [label], total="__size")
-    upto, names = 0.0, list(fractions)
-    split = None
+        raise ValueError("the shares of the splits do not add up to 1")
+    names, steps, upto = list(fractions), [], 0.0
     for name in names[:-1]:
         upto += fractions[name]
-        inside = F.col("draw_rank") <= F.floor(F.col("__size") * F.lit(upto) + F.lit(1e-9))
-        split = F.when(inside, name) if split is None else split.when(inside, name)
-    split = split.otherwise(names[-1]) if split is not None else F.lit(names[-1])
-    return ranked.withColumn("split", split).drop("draw_rank", "__size")
+        steps.append(lambda n, u=upto: math.floor(n * u + 1e-9))
+    return _parts_of(df, key, seed, label, "split", names, steps)
+
+
+def _parts_of(df: DataFrame, key, seed, label: str, out: str, names: list, steps: list) -> DataFrame:
+    """Add `out`: the first of `names` whose rank in the label's seeded shuffle is not passed yet."""
+    kinds = dict(df.dtypes)
+    cuts = hash_cuts(df, key, seed, {"*": steps}, label)
+    part = F.lit(names[-1])
+    for value, (_, places) in cuts.items():
+        own = F.lit(names[-1])
+        for name, cut in reversed(list(zip(names[:-1], places, strict=True))):
+            own = F.when(up_to_cut(key, seed, cut, kinds), name).otherwise(own)
+        part = F.when(F.col(label).eqNullSafe(F.lit(value)), own).otherwise(part)
+    return df.withColumn(out, part)
 
 
 def stratified_kfold(df: DataFrame, key: Sequence[str] | str, k: int = 5, seed=42,
                      label: str = "label") -> DataFrame:
-    """Add `fold` in 1..k, balanced inside every label."""
-    ranked = hash_rank(df, key, seed, [label])
-    return ranked.withColumn("fold", (F.pmod(F.col("draw_rank") - 1, F.lit(k)) + 1).cast("int")
-                             ).drop("draw_rank")
+    """Add `fold` in 1..k: equal cuts of the seeded shuffle inside every label."""
+    steps = [lambda n, i=i: n * i // k for i in range(1, k)]
+    return _parts_of(df, key, seed, label, "fold", list(range(1, k + 1)), steps)
 
 
 def seeded_sample(df: DataFrame, n: int, key: Sequence[str] | str, seed=42) -> DataFrame:
     """`n` rows without replacement, the same ones for the same seed."""
-    return hash_rank(df, key, seed).where(F.col("draw_rank") <= n).drop("draw_rank")
+    cuts = hash_cuts(df, key, seed, {"*": [lambda _: n]})
+    if not cuts:
+        return df
+    return df.where(up_to_cut(key, seed, cuts[0][1][0], dict(df.dtypes)))
 
 
 def normal_rows(df: DataFrame, label: str = "label", check: bool = True) -> DataFrame:
     normal = df.where(F.col(label) == 0)
     if check and normal.isEmpty():
-        raise ValueError("Training split contains no normal rows")
+        raise ValueError("no normal row to learn from")
     return normal
 
 

@@ -9,7 +9,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -64,19 +64,18 @@ def draw_samples(df: DataFrame, key: str, trees: int, max_samples: int,
                  seed: int) -> tuple[DataFrame, int]:
     """(tree, …) rows: every tree gets `psi` rows without replacement; returns also `psi`.
 
-    A large input is first thinned by hash to little more than trees * psi rows. The rest is
-    shuffled once per round by hash and dealt out in blocks of psi.
+    The input is thinned by hash to little more than trees * psi rows (to all rows, if it has
+    fewer); these are shuffled once per round by hash and dealt out in blocks of psi. `df` is read
+    three times; the caller keeps it.
     """
     n = df.count()
     if n == 0:
-        raise ValueError("Training split contains no normal rows")
+        raise ValueError("no normal row to learn from")
     psi = min(max_samples, n)
     need = trees * psi
     share = (need * 1.05 + 10 * math.sqrt(need) + 100) / n
-    pool, size = df, n
-    if share < 1:
-        pool = df.where(hash_u32(f"{seed}-pool", key) < int(share * 2**32))
-        size = pool.count()
+    pool = df.where(hash_u32(f"{seed}-pool", key) < int(min(1.0, share) * 2**32))
+    size = pool.count()
     per_round = max(size // psi, 1)
     rounds = math.ceil(trees / per_round)
     dealt = pool.withColumn("__r", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
@@ -162,7 +161,8 @@ class IsolationForest(Estimator, _ForestParams, DefaultParamsReadable, DefaultPa
         seed, trees = g(self.seed), g(self.numTrees)
         rows = df.select(F.col(g(self.keyCol)).alias("k"),
                          vector_to_array(g(self.featuresCol)).alias("x"))
-        samples, psi = draw_samples(rows, "k", trees, g(self.maxSamples), seed)
+        held = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        samples, psi = draw_samples(held, "k", trees, g(self.maxSamples), seed)
         depth = math.ceil(math.log2(max(psi, 2)))
 
         def build(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -180,6 +180,7 @@ class IsolationForest(Estimator, _ForestParams, DefaultParamsReadable, DefaultPa
         slots = max(1, min(trees, 4 * df.sparkSession.sparkContext.defaultParallelism))
         nodes = samples.repartition(slots, "tree").groupBy("tree").applyInPandas(
             build, NODE_SCHEMA).toPandas()
+        held.unpersist()
         model = IsolationForestModel(nodes, psi)
         return self._copyValues(model)
 

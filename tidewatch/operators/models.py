@@ -24,7 +24,6 @@ from tidewatch.schemas import CATEGORICAL, LIVE_FEATURES, RAW_FEATURES
 from tidewatch.sources.tables import require_columns
 
 KINDS = ("iforest", "logreg", "gbt")
-ROWS_PER_TASK = 50_000  # least rows per task of iterative training
 
 
 def one_hot_stages(cols: Sequence[str]) -> list:
@@ -97,11 +96,14 @@ class DetectionPipeline(Estimator, ST._Columns):
         suffix = "_idx" if kind == "gbt" else "_vec"
         current = step(VectorAssembler(inputCols=[*nums, *[f"{c}{suffix}" for c in cats]],
                                        outputCol="features", handleInvalid="keep"), current)
-        size = current.count()
-        if kind != "iforest":
-            # iterative training: a round trip per iteration, so small data gets few tasks
-            current = current.coalesce(max(1, math.ceil(size / ROWS_PER_TASK)))
-        step(self._estimator(size, cats, fitted), current)
+        # iterative training reads the vectors again and again, but nothing else of a row
+        vectors = current.select(*dict.fromkeys(
+            ["features", o["keyCol"] if kind == "iforest" else o["labelCol"]])).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        size = vectors.count() if kind == "logreg" else 0
+        model = self._estimator(size, cats, fitted).fit(vectors)
+        fitted.append(model)
+        vectors.unpersist()
         if o["select"]:
             held.unpersist()
         return PipelineModel(stages=fitted)
@@ -161,7 +163,7 @@ class ModelBundle:
 
     def __post_init__(self):
         if not math.isfinite(self.threshold):
-            raise ValueError("Model threshold must be finite")
+            raise ValueError(f"threshold {self.threshold} is no finite number")
 
     def predict(self, df: DataFrame) -> DataFrame:
         require_columns(df, self.raw_features)
@@ -201,7 +203,7 @@ def cross_validate(df: DataFrame, kind: str = "iforest", k: int = 5, seed: int =
     out = None
     for fold in range(1, k + 1):
         train, held = folds.where(F.col("fold") != fold), folds.where(F.col("fold") == fold)
-        model = DetectionPipeline(kind=kind, keyCol=key, seed=seed, **options).fit(train)
+        model = DetectionPipeline(kind=kind, keyCol=key, seed=seed + fold, **options).fit(train)
         line = evaluate(score_with(model, held, kind), 0.0, pvalue=False).select(
             F.lit(fold).alias("fold"), "roc_auc", "average_precision",
             F.lit(len(selected_features(model))).alias("n_features"))

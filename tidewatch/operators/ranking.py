@@ -127,6 +127,58 @@ def hash_rank(df: DataFrame, key: Sequence[str] | str, seed, group: Sequence[str
         "__h", "__range", "__rn", "__o")
 
 
+PREFIX_BITS = 16
+
+
+def hash_cuts(df: DataFrame, key: Sequence[str] | str, seed, ranks: dict, group: str | None = None
+              ) -> dict:
+    """Places in a seeded shuffle without moving the rows.
+
+    `ranks` has, per value of `group`, functions of the group's size that give wanted 1-based ranks.
+    Returns {group: (size, [cut, ...])}; a cut is the literal (hash, key, ...) of the row at that
+    rank, or None for a rank below 1. Rows are counted by hash prefix (2^16 per group); only the
+    rows of a prefix that holds a cut are put in order.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    name = F.col(f"`{group}`") if group else F.lit(0)
+    staged = df.select(name.alias("__g"), hash_u32(seed, *keys).alias("__h"), *keys).withColumn(
+        "__p", F.shiftright("__h", HASH_BITS - PREFIX_BITS))
+    counts: dict = {}
+    for r in staged.groupBy("__g", "__p").agg(F.count("*").alias("n")).collect():
+        counts.setdefault(r["__g"], {})[r["__p"]] = r["n"]
+    wanted, out = [], {}
+    for g, per in counts.items():
+        size = sum(per.values())
+        cuts = [min(size, int(f(size))) for f in ranks.get(g, ranks.get("*", []))]
+        out[g] = (size, [None] * len(cuts))
+        for i, rank in enumerate(cuts):
+            before = 0
+            for p in sorted(per):
+                if before < rank <= before + per[p]:
+                    wanted.append((g, p, rank - before, i))
+                    break
+                before += per[p]
+    if wanted:
+        kind = staged.schema["__g"].dataType.simpleString()
+        spots = df.sparkSession.createDataFrame(wanted, f"__g {kind}, __p long, __n int, __i int")
+        order = W.partitionBy("__g", "__p").orderBy("__h", *keys)
+        held = null_safe_join(staged, F.broadcast(spots.select("__g", "__p").distinct()),
+                              ["__g", "__p"]).withColumn("__n", F.row_number().over(order))
+        for r in null_safe_join(held, F.broadcast(spots), ["__g", "__p", "__n"]).collect():
+            out[r["__g"]][1][r["__i"]] = (r["__h"], *[r[k] for k in keys])
+    return out
+
+
+def up_to_cut(key: Sequence[str] | str, seed, cut: tuple | None, kinds: dict[str, str]) -> Column:
+    """Whether a row stands at or before a cut of `hash_cuts`: a comparison with literals."""
+    keys = [key] if isinstance(key, str) else list(key)
+    if cut is None:
+        return F.lit(False)
+    own = F.struct(hash_u32(seed, *keys), *[F.col(k) for k in keys])
+    return own <= F.struct(F.lit(cut[0]).cast("bigint"), *[
+        F.lit(v).cast(kinds[k]) for k, v in zip(keys, cut[1:], strict=True)])
+
+
 def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str],
          variable: str = "feature", value: str = "value", cast: str | None = "double") -> DataFrame:
     """Wide to long; one projection, no shuffle."""

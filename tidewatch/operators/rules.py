@@ -216,7 +216,7 @@ def allowed_conditions(names: DataFrame | None = None, candidates: DataFrame | N
             F.lit(entity).alias("entity"),
             F.lit(None if window is None else float(window)).cast("double").alias("window")))
     if not parts:
-        raise ValueError("No evidence given")
+        raise ValueError("neither names nor window conditions to allow")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -288,7 +288,7 @@ def duplicate_sids(rules: DataFrame) -> DataFrame:
 def require_unique_sids(rules: DataFrame) -> DataFrame:
     twice = duplicate_sids(rules).orderBy("sid").first()
     if twice is not None:
-        raise ValueError(f"Duplicate local SID {twice['sid']}")
+        raise ValueError(f"SID {twice['sid']} is given to several rules")
     return rules
 
 
@@ -308,31 +308,30 @@ def rule_conditions(rules: DataFrame) -> DataFrame:
                          F.explode("c").alias("c")).select("sid", "n_conditions", "c.*")
 
 
-# sizes of a rule book up to which it is sent to every task, and its substrings tried one by one
-BROADCAST_CONDITIONS = 100_000
-SCANNED_SUBSTRINGS = 500
+GRAM = 3
 
 
 def match_rules(events: DataFrame, rules: DataFrame, key: str = "seq") -> DataFrame:
     """(key, sid) of every event that fulfils all conditions of a rule.
 
-    `events` has a column per native field. Text tests become equalities: an event offers its
-    whole value, its endings at the lengths some rule asks for, and the substrings it contains,
-    and these join the conditions by hash. No event is compared with every rule.
+    `events` has a column per native field. Text tests become equalities: an event offers its whole
+    value, its endings at the lengths some rule asks for, and its distinct three-letter grams. A
+    `contains` condition waits under its needle's first gram (a shorter needle under its own text,
+    offered at its length) and is verified on the value. No event is compared with every rule, and
+    an event's offers grow with the length of its values, whatever the size of the rule book.
     """
-    # read more than once below, and it decides how the join is done
-    cond = settle(rule_conditions(rules))
-    book = cond.agg(F.count("*").alias("n"), F.count_distinct(
-        F.when(F.col("operator") == "contains", F.struct("field", "needle"))).alias("subs")).first()
+    # read more than once below
+    cond = settle(rule_conditions(rules).withColumn("probe", F.when(
+        (F.col("operator") == "contains") & (F.length("needle") >= GRAM),
+        F.substring("needle", 1, GRAM)).otherwise(F.col("needle"))))
 
-    def texts(op: str, value: Column) -> Column:
-        return F.collect_set(F.when(F.col("operator") == op, value))
+    def lengths(op: str) -> Column:
+        return F.collect_set(F.when(F.col("operator") == op, F.length("probe")))
 
-    scan = book["subs"] <= SCANNED_SUBSTRINGS
     wanted = cond.groupBy("field").agg(  # one row per field
         F.bool_or(F.col("operator") == "equals").alias("eq"),
-        texts("endswith", F.length("needle")).alias("ends"),  # at most 256 lengths
-        texts("contains", F.col("needle") if scan else F.length("needle")).alias("subs"))
+        lengths("endswith").alias("ends"),  # at most 256 lengths
+        lengths("contains").alias("grams"))  # at most three
     fields = [f for f in NATIVE_FIELDS if f in events.columns]
     long = melt(events, [key], fields, "field", "value", cast="string").where(
         F.col("value").isNotNull())
@@ -341,25 +340,21 @@ def match_rules(events: DataFrame, rules: DataFrame, key: str = "seq") -> DataFr
     size = F.length("value")
 
     def probe(op, text):
-        return F.struct(F.lit(op).alias("operator"), text.alias("needle"))
+        return F.struct(F.lit(op).alias("operator"), text.alias("probe"))
 
-    none = F.array().cast("array<struct<operator:string,needle:string>>")
+    none = F.array().cast("array<struct<operator:string,probe:string>>")
     fits = lambda lens: F.filter(lens, lambda n: n <= size)
-    if scan:
-        inside = F.transform(F.filter("subs", lambda s: F.contains(F.col("value"), s)),
-                             lambda s: probe("contains", s))
-    else:
-        inside = F.array_distinct(F.flatten(F.transform(fits("subs"), lambda n: F.transform(
-            F.sequence(F.lit(1), size - n + 1),
-            lambda i: probe("contains", F.substring(F.col("value"), i, n))))))
+    inside = F.array_distinct(F.flatten(F.transform(fits("grams"), lambda n: F.transform(
+        F.sequence(F.lit(1), size - n + 1),
+        lambda i: probe("contains", F.substring(F.col("value"), i, n))))))
     probes = F.concat(
         F.when(F.col("eq"), F.array(probe("equals", F.col("value")))).otherwise(none),
         F.transform(fits("ends"), lambda n: probe("endswith", F.right(F.col("value"), n))),
         inside)
-    offered = asked.select(key, "field", F.explode(probes).alias("p")).select(key, "field", "p.*")
-    if book["n"] <= BROADCAST_CONDITIONS:
-        cond = F.broadcast(cond)
-    hits = offered.join(cond, ["field", "operator", "needle"])
+    offered = asked.select(key, "field", "value", F.explode(probes).alias("p")).select(
+        key, "field", "value", "p.*")
+    hits = offered.join(cond, ["field", "operator", "probe"]).where(
+        (F.col("operator") != "contains") | F.contains("value", F.col("needle")))
     single = hits.where("n_conditions = 1").select(key, "sid")
     several = hits.where("n_conditions > 1").groupBy(key, "sid", "n_conditions").agg(
         F.count("*").alias("met")).where("met = n_conditions").select(key, "sid")
@@ -380,15 +375,24 @@ def native_events(dns: DataFrame, http: DataFrame | None = None, key: str = "seq
 
 
 def match_windows(windows: DataFrame, rules: DataFrame) -> DataFrame:
-    """(window_start, client, sid) of windows that fulfil all numeric conditions of a rule."""
-    cond = rules.select("sid", F.size("conditions").alias("n_conditions"),
-                        F.posexplode("conditions").alias("no", "c")).select(
-        "sid", "n_conditions", "no", F.col("c.field").alias("feature"),
-        F.col("c.operator").alias("operator"), F.col("c.value_num").alias("bound"))
+    """(window_start, client, sid) of windows that fulfil all numeric conditions of a rule.
+
+    The conditions on a feature are one array, filtered inside the window's row, so only fulfilled
+    ones are exploded and no feature name is a shuffle key. The arrays are broadcast: local SIDs
+    bound a rule book to SID_MAX - SID_MIN + 1 rules of at most eight conditions.
+    """
+    cond = rules.where(F.col("sid").between(SID_MIN, SID_MAX)).select(
+        "sid", F.size("conditions").alias("n_conditions"),
+        F.posexplode("conditions").alias("no", "c")).groupBy(
+        F.col("c.field").alias("feature")).agg(F.collect_list(F.struct(
+            "sid", "n_conditions", "no", F.col("c.operator").alias("operator"),
+            F.col("c.value_num").alias("bound"))).alias("conditions"))
     long = melt(windows, ["window_start", "client"], DNS_WINDOW_FEATURES)
-    met = long.join(cond, "feature").where(
-        ((F.col("operator") == "gt") & (F.col("value") > F.col("bound")))
-        | ((F.col("operator") == "gte") & (F.col("value") >= F.col("bound"))))
+    met = long.join(F.broadcast(cond), "feature").select(
+        "window_start", "client", F.explode(F.filter("conditions", lambda c: (
+            (c["operator"] == "gt") & (F.col("value") > c["bound"]))
+            | ((c["operator"] == "gte") & (F.col("value") >= c["bound"])))).alias("c")).select(
+        "window_start", "client", "c.sid", "c.n_conditions")
     return met.groupBy("window_start", "client", "sid", "n_conditions").agg(
         F.count("*").alias("met")).where("met = n_conditions").select(
         "window_start", "client", "sid")

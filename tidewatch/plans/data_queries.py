@@ -165,7 +165,7 @@ SELECT count(*) FILTER (lo <> hi) AS leaking_vectors, CAST(sum(n) AS BIGINT) AS
   CAST(sum(inn) AS BIGINT) AS assigned_rows FROM v""",
     "split_summary": f"""WITH {SPLIT} {SUMMARY_SQL}, {r6('avg(label)', 'attack_rate')}
   FROM split_rows GROUP BY split""",
-    "stratified_kfold": f"""WITH {CLEAN} SELECT row_id, label, CAST((rk - 1) % 5 + 1 AS INT) AS fold
+    "stratified_kfold": f"""WITH {CLEAN} SELECT row_id, label, CAST((rk * 5 + size - 1) // size AS INT) AS fold
   FROM ({ranked_sql('clean', 42)}) q""",
     "seeded_sample": f"""WITH {CLEAN} SELECT row_id, attack_type
   FROM ({ranked_sql('clean', 42, False)}) q WHERE rk <= 200""",

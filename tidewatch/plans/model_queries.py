@@ -1,5 +1,7 @@
 """Models, scoring, cross-validation, persistence and attribution."""
 
+from functools import reduce
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
@@ -22,9 +24,10 @@ RAW = ["duration", "protocol_type", "service", "flag", "src_bytes", "dst_bytes",
        "srv_count", "serror_rate", "same_srv_rate", "num_outbound_cmds"]
 NUMERIC = ["duration", "src_bytes", "dst_bytes", "count", "serror_rate"]
 THRESHOLD = 0.35
+EXPLAINED = 200  # rows explained
+REPORT_REPLICATES = 500
 # a fixed linear scorer, exact in both engines
 WEIGHTS = {"src_bytes": 0.0003, "duration": 0.05, "serror_rate": 0.16, "dst_bytes": -0.0002}
-ROUNDS = 20  # boosting rounds of the registered query; the estimator's default is 250
 
 
 def rows(spark, d):
@@ -84,13 +87,13 @@ def q_logreg(spark, d):
 
 
 def q_gbt(spark, d):
-    data, model = fitted(spark, d, "gbt", iterations=ROUNDS)
+    data, model = fitted(spark, d, "gbt")
     return M.score_with(model, data, "gbt").select("row_id", "label", "score")
 
 
 def q_pipeline(spark, d):
     data = rows41(spark, d)
-    model = M.DetectionPipeline(kind="iforest", trees=50).fit(data)
+    model = M.DetectionPipeline(kind="iforest").fit(data)
     out = model.transform(data)
     names = M.output_names(out)
     kept = set(M.selected_features(model))
@@ -110,12 +113,21 @@ def q_predict(spark, d):
         "row_id", "label", "attack_type", "score", "prediction"))
 
 
+def q_predict_bundle(spark, d):
+    """A saved bundle over the whole contract of 41 columns, loaded again and used to score."""
+    data = rows41(spark, d)
+    model = M.DetectionPipeline(kind="iforest", inputCols=S.RAW_FEATURES).fit(data)
+    path = scratch_path(spark, "bundle")
+    M.ModelBundle(model, "iforest", 0.05, list(S.RAW_FEATURES)).save(path)
+    return rounded(M.ModelBundle.load(spark, path).predict(data))
+
+
 def q_summary(spark, d):
     return M.inference_summary(M.add_prediction(linear(rows(spark, d)), THRESHOLD), "linear")
 
 
 def q_cv(spark, d):
-    return rounded(M.cross_validate(rows(spark, d), "iforest", 3, inputCols=RAW, trees=50))
+    return rounded(M.cross_validate(rows(spark, d), "iforest", 5, inputCols=RAW))
 
 
 def q_cv_summary(spark, d):
@@ -126,7 +138,7 @@ def q_cv_summary(spark, d):
 
 def q_save_load(spark, d):
     """Largest score difference and differing predictions between a model and its reload."""
-    data, model = fitted(spark, d, "iforest", trees=50)
+    data, model = fitted(spark, d, "iforest")
     bundle = M.ModelBundle(model, "iforest", 0.05, RAW, {"rows": "normal only"})
     path = scratch_path(spark, "bundle")
     bundle.save(path)
@@ -140,7 +152,21 @@ def q_save_load(spark, d):
 
 
 def q_train(spark, d):
-    return rounded(train(rows(spark, d), RAW, trees=50, iterations=10, folds=2)["report"])
+    """All tables of a report in long form: (part, item, metric, value)."""
+    result = train(rows(spark, d), RAW, iterations=REPORT_REPLICATES, rows_explained=EXPLAINED)
+    parts = []
+    for part, item, frame in (
+            ("splits", F.col("split"), result["splits"]), ("report", F.col("split"), result["report"]),
+            ("intervals", F.col("metric"), result["intervals"].withColumnRenamed("replicates", "n")),
+            ("folds", F.col("fold").cast("string"), result["folds"]),
+            ("cv", F.col("metric"), result["cv"]),
+            ("importance", F.col("feature"), result["importance"])):
+        named = frame.withColumn("__item", item)
+        values = [c for c, t in frame.dtypes if t not in ("string",) and c != "fold"]
+        parts.append(named.select(F.lit(part).alias("part"), F.col("__item").alias("item"),
+                                  *[F.col(c).cast("double") for c in values]).unpivot(
+            ["part", "item"], values, "metric", "value"))
+    return rounded(reduce(lambda a, b: a.unionByName(b), parts))
 
 
 def q_rank_windows(spark, d):
@@ -159,8 +185,8 @@ def q_linear(spark, d):
 
 def q_tree(spark, d):
     data = vectors(rows(spark, d))
-    sample = seeded_sample(data, 40, "row_id").repartition(8)
-    return A.tree_attribution(forest(spark, d, 100), sample, NUMERIC)
+    sample = seeded_sample(data, EXPLAINED, "row_id").repartition(8)
+    return A.tree_attribution(forest(spark, d, 300), sample, NUMERIC)
 
 
 def q_importance(spark, d):
@@ -175,6 +201,7 @@ QUERIES = {
     "gbt_fit": q_gbt,
     "feature_pipeline": q_pipeline,
     "predict_table": q_predict,
+    "predict_bundle": q_predict_bundle,
     "inference_summary": q_summary,
     "cross_validate": q_cv,
     "cross_validate_summary": q_cv_summary,
@@ -231,7 +258,7 @@ ORACLES = {
  CAST({LINEAR} >= {THRESHOLD} AS INT) AS prediction FROM rws""",
     "inference_summary": f"""WITH {ROWS} SELECT 'linear' AS kind, count(*) AS rows,
  count(*) FILTER ({LINEAR} >= {THRESHOLD}) AS alerts FROM rws""",
-    "cross_validate_summary": f"""WITH {ctes('conn_scored')}, folds AS (SELECT *, (rk - 1) % 5 + 1 AS fold
+    "cross_validate_summary": f"""WITH {ctes('conn_scored')}, folds AS (SELECT *, (rk * 5 + size - 1) // size AS fold
   FROM ({ranked_sql('conn_scored', 42)}) q), {cum_sql('folds', 'fold')},
 per AS ({suite_sql('cum', str(THRESHOLD), 'fold')}) """ + " UNION ALL ".join(
         f"""SELECT '{m}' AS metric, {r6(f'avg({m})', 'mean')}, {r6(f'stddev_samp({m})', 'std')},

@@ -118,8 +118,15 @@ def q_digest(spark, d):
     return TB.verify_digest(spark, f"{path}/*.parquet", manifest)
 
 
+CONTRACT = ["service", "src_bytes", "protocol_type", "dst_host_count", "duration"]
+
+
 def q_contract(spark, d):
-    return TB.contract_report(view(spark, d, "conn"), S.LIVE_FEATURES)
+    """Live columns in a table where one is missing and one has gaps."""
+    rows = view(spark, d, "conn").select(
+        "protocol_type", "service", "duration",
+        F.when(F.col("row_id") % 7 != 0, F.col("src_bytes")).alias("src_bytes"))
+    return TB.contract_report(rows, CONTRACT)
 
 
 def q_report(spark, d):
@@ -180,17 +187,18 @@ def q_detect(spark, d):
     logs = WN.merge_sources(view(spark, d, "dns_log"), view(spark, d, "http_log"), ["orig_p"])
     batch = WN.live_features(logs, LIVE, ["orig_p"]).withColumn(
         "label", F.when(F.col("flag") == "REJ", 1).otherwise(0))
-    model = M.DetectionPipeline(kind="iforest", select=False, trees=50, keyCol="seq").fit(batch)
+    first = batch.where(F.col("ts") <= batch.agg(F.percentile_approx("ts", 0.5)).scalar())
+    model = M.DetectionPipeline(kind="iforest", select=False, keyCol="seq").fit(first)
     dns, http = log_streams(spark, d)
     out = scratch_path(spark, "detected")
     stream = ST.detect_stream(dns, http, lambda df: M.score_with(model, df, "iforest"), 0.05, LIVE)
     ST.run_available(stream.drop("made_at_us"), f"{out}/data", f"{out}/checkpoint", "json")
+    kinds = ",".join(f"`{c}`:{'string' if c in S.CATEGORICAL else 'double'}"
+                     for c in S.LIVE_FEATURES)
     return spark.read.schema(
         "event_id string, zeek_ts double, source string, score double, threshold double, "
-        "prediction int, features struct<service:string,count:long,serror_rate:double>").json(
-        f"{out}/data").select("event_id", "zeek_ts", "source", "score", "prediction",
-                              F.col("features.service").alias("service"),
-                              F.col("features.count").alias("window_count"))
+        f"prediction int, features struct<{kinds}>").json(f"{out}/data").select(
+        "event_id", "zeek_ts", "source", "score", "threshold", "prediction", "features.*")
 
 
 QUERIES = {
@@ -233,6 +241,15 @@ ORACLES = {
     "first_per_key": f"""WITH {ctes('conn41')}, placed AS (SELECT *, row_number() OVER (
  ORDER BY row_id) - 1 AS place FROM conn41) SELECT service, min(place) AS row_id,
  arg_min(src_bytes, place) AS src_bytes, count(*) AS rows FROM placed GROUP BY service""",
+    "schema_contract_check": f"WITH {ctes('conn')} " + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", {i} AS required_position, {a} AS actual_position,
+ {a} IS NOT NULL AS present, count(*) AS rows, {m} AS missing_values FROM conn"""
+        for i, (c, a, m) in enumerate((
+            ("service", 1, "count(*) - count(service)"),
+            ("src_bytes", 3, "count(*) FILTER (row_id % 7 = 0 OR src_bytes IS NULL)"),
+            ("protocol_type", 0, "count(*) - count(protocol_type)"),
+            ("dst_host_count", "NULL::INT", "NULL::BIGINT"),
+            ("duration", 2, "count(*) - count(duration)")))),
     "write_report": f"""WITH {SPLIT}, s AS ({SUMMARY_SQL}, {r6('avg(label)', 'attack_rate')}
  FROM split_rows GROUP BY split) SELECT *, 'json' AS format FROM s
  UNION ALL SELECT *, 'csv' FROM s""",

@@ -19,7 +19,7 @@ def train(df: DataFrame, raw: list[str], kind: str = "iforest", key: str = "row_
 
     The threshold sees validation rows only; test rows are touched once it is fixed.
     """
-    require_columns(df, [*raw, "label", "attack_type"], "train split is missing required columns")
+    require_columns(df, [*raw, "label", "attack_type"], "no training without")
     rows = stratified_split(df, key, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
     part = {s: rows.where(F.col("split") == s) for s in ("train", "validation", "test")}
     normal_rows(part["train"])
@@ -33,8 +33,8 @@ def train(df: DataFrame, raw: list[str], kind: str = "iforest", key: str = "row_
         choice = MT.choose_threshold(MT.threshold_table(scored["validation"]), max_fpr)
     threshold = float(choice.first()["threshold"])
     bundle = M.ModelBundle(model, kind, threshold, raw, {
-        "trained_on": "normal rows only" if kind == "iforest" else "all labelled rows",
-        "random_seed": seed, "selection": f"maximum validation F1 with FPR <= {max_fpr}"})
+        "rows_learned": "label 0" if kind == "iforest" else "all",
+        "seed": seed, "threshold_rule": f"best F1 on validation, FPR at most {max_fpr}"})
     both = scored["validation"].withColumn("split", F.lit("validation")).unionByName(
         scored["test"].withColumn("split", F.lit("test")))
     result = {

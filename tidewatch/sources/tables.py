@@ -115,12 +115,18 @@ def require_exact(actual: Sequence[str], expected: Sequence[str]) -> None:
 
 
 def contract_report(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    """One row per required column with its position in `df`, null when missing."""
+    """One row per required column: its position in `df`, null when missing, and the rows and null
+    values found in it."""
     where = {c: i for i, c in enumerate(df.columns)}
-    return df.sparkSession.createDataFrame(
-        [(c, i, where.get(c)) for i, c in enumerate(required)],
-        "column string, required_position int, actual_position int").withColumn(
-        "present", F.col("actual_position").isNotNull())
+    none = F.lit(None).cast("bigint")
+    seen = df.agg(F.count("*").alias("rows"), F.array(*[
+        F.count_if(F.col(f"`{c}`").isNull()) if c in where else none for c in required]).alias("n"))
+    contract = F.array(*[F.struct(
+        F.lit(c).alias("column"), F.lit(i).alias("required_position"),
+        F.lit(where.get(c)).cast("int").alias("actual_position")) for i, c in enumerate(required)])
+    return seen.select("rows", "n", F.posexplode(contract).alias("at", "c")).select(
+        "c.*", F.col("c.actual_position").isNotNull().alias("present"), "rows",
+        F.get("n", F.col("at")).alias("missing_values"))
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:
