@@ -126,10 +126,11 @@ def test_registered_queries_against_the_libraries(spark, ranks, vocabulary):
 
 def test_memory_of_words_is_bounded(vocabulary, monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 5)
-    tokenizer = token_files.load_tokenizer(vocabulary)
+    tokenizer = Tokenizer.from_str(vocabulary)
+    encoder = token_files.WordEncoder(vocabulary)
     rng = random.Random(1)
     texts = ["".join(rng.choice("abc de") for _ in range(40)) for _ in range(20)]
     for t in texts:
-        ids, n = token_files.encode_block(tokenizer, [t, "", t], 2)
+        ids, n = token_files.encode_block(encoder, [t, "", t], 2)
         want = tokenizer.encode(t, add_special_tokens=False).ids + [2]
         assert ids.tolist() == [*want, 2, *want] and n.tolist() == [len(want), 1, len(want)]

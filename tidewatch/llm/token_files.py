@@ -13,7 +13,9 @@ columns of the input are not stored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Sequence
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,36 +25,73 @@ from pyspark.sql import Window as W
 
 from tidewatch.llm.pretokens import split_block, text_blocks
 
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 1_000_000
 STRIPE_BYTES = 16 << 20
 INDEX_STRIDE = 1_000
 #: Words whose ids a worker remembers; beyond it they are encoded again, with the same ids.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 SCHEMA = "doc_id long, file_start long, n_tokens long, ids array<int>"
-_known: dict[str, np.ndarray] = {}
 
 
-def load_tokenizer(vocabulary: str):
-    """A tokenizer that reads special tokens' strings in a text as ordinary text."""
-    from tokenizers import Tokenizer
+def byte_letters() -> np.ndarray:
+    """The letter that byte-level vocabularies write for each byte: printable bytes stand for
+    themselves, the others for the letters from 256 on, in order."""
+    letters = np.arange(256, dtype="<u2")
+    shown = np.zeros(256, dtype=bool)
+    for a, b in ((0x21, 0x7F), (0xA1, 0xAD), (0xAE, 0x100)):
+        shown[a:b] = True
+    letters[~shown] = 256 + np.arange((~shown).sum())
+    return letters
 
-    tokenizer = Tokenizer.from_str(vocabulary)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
 
+class WordEncoder:
+    """Ids of pre-tokens by the library's BPE model, so special tokens' strings are plain text.
 
-def encode_words(tokenizer, words: list[str]) -> list[np.ndarray]:
-    """Ids of pre-tokens; a word is encoded once as long as the worker remembers it."""
-    if len(_known) > REMEMBERED:
-        _known.clear()
-    missing = [w for w in words if w not in _known]
-    for w, e in zip(missing, tokenizer.encode_batch_fast(missing, add_special_tokens=False),
-                    strict=True):
-        _known[w] = np.array(e.ids, dtype=np.int32)
-    return [_known[w] for w in words]
-
+    Recent words are remembered in two generations: a word that is met again moves to the younger
+    one, and the older one is forgotten when the younger is full.
+    """
 
-def encode_block(tokenizer, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    def __init__(self, vocabulary: str):
+        from tokenizers import Tokenizer
+
+        self.model = Tokenizer.from_str(vocabulary).model
+        self.letters = byte_letters()
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, four bytes an id."""
+        young, old, tokenize = self.young, self.old, self.model.tokenize
+        missing = []
+        for w in words:
+            if w not in young:
+                if w in old:
+                    young[w] = old[w]
+                else:
+                    missing.append(w)
+        # one letter per byte, for all missing words at once
+        data = [w.encode("utf-8") for w in missing]
+        written = self.letters[np.frombuffer(b"".join(data), dtype=np.uint8)].tobytes().decode(
+            "utf-16-le")
+        begin = 0
+        for w, d in zip(missing, data, strict=True):
+            end = begin + len(d)
+            young[w] = array("i", [t.id for t in tokenize(written[begin:end])]).tobytes()
+            begin = end
+        out = [young[w] for w in words]
+        if len(young) > REMEMBERED:
+            self.young, self.old = {}, young
+        return out
+
+
+@cache
+def encoder_of(vocabulary: str) -> WordEncoder:
+    """One encoder for all tasks of a Python worker."""
+    return WordEncoder(vocabulary)
+
+
+def encode_block(encoder: WordEncoder, texts: list[str],
+                 end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts one after another, each with the end id, and their counts.
 
     The pre-tokens are those of the tokenizer's own byte-level pre-tokenizer, so distinct ones are
@@ -60,18 +99,19 @@ def encode_block(tokenizer, texts: list[str], end_id: int) -> tuple[np.ndarray,
     """
     tokens, counts = split_block(texts)
     coded = tokens.dictionary_encode()
-    lists = encode_words(tokenizer, coded.dictionary.to_pylist())
-    size = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-    flat = np.concatenate(lists) if lists else np.array([], dtype=np.int32)
-    begin = np.cumsum(size) - size
-    codes = coded.indices.to_numpy()
+    lists = encoder.encode(coded.dictionary.to_pylist())
+    lists.append(np.array([end_id], dtype=np.int32).tobytes())
+    size = np.fromiter(map(len, lists), dtype=np.int32, count=len(lists)) // 4
+    flat = np.frombuffer(b"".join(lists), dtype=np.int32)
+    # the end id is one more word, after each text's own
+    codes = np.insert(coded.indices.to_numpy(), np.cumsum(counts), len(lists) - 1)
     n = size[codes]
-    upto = np.concatenate([[0], np.cumsum(n)])
-    doc_ends = np.cumsum(counts)
-    ends = upto[doc_ends]
-    at = np.repeat(begin[codes] - upto[:-1], n) + np.arange(upto[-1])
-    ids = np.insert(flat[at], ends, end_id)
-    return ids, np.diff(np.concatenate([[0], ends])) + 1
+    upto = np.cumsum(n, dtype=np.int64)
+    shift = (np.cumsum(size) - size)[codes] - (upto - n)
+    at = np.repeat(shift.astype(np.int32), n)
+    at += np.arange(len(at), dtype=np.int32)
+    doc_ends = upto[np.cumsum(counts + 1) - 1]
+    return flat[at], np.diff(np.concatenate([[0], doc_ends]))
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2) -> None:
@@ -82,10 +122,10 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2) -
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def encode(batches):
-        tokenizer = load_tokenizer(shared.value)
+        encoder = encoder_of(shared.value)
         before = 0
         for rows, texts in text_blocks(batches, "text", BLOCK_CHARS):
-            ids, n = encode_block(tokenizer, texts, end_id)
+            ids, n = encode_block(encoder, texts, end_id)
             offsets = np.concatenate([[0], np.cumsum(n)])
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), pa.array(before + offsets[:-1]), pa.array(n),
@@ -108,13 +148,14 @@ def read_tokens(spark: SparkSession, path: str, doc_ids: Sequence[int] | None =
     rows = spark.read.schema(SCHEMA).orc(path)
     if doc_ids is not None:
         rows = rows.where(F.col("doc_id").isin([int(i) for i in doc_ids]))
-    # one row per file; the files' names follow the order of document ids
+    # one row per file, as many as the writing session had shuffle partitions; the files' names
+    # follow the order of document ids
     totals = (spark.read.schema(SCHEMA).orc(path)
               .groupBy(F.col("_metadata.file_name").alias("file"))
               .agg(F.sum("n_tokens").alias("n")))
     before = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return rows.withColumn("file", F.col("_metadata.file_name")).join(offsets, "file").select(
+    return rows.withColumn("file", F.col("_metadata.file_name")).join(F.broadcast(offsets), "file").select(
         "doc_id", (F.col("file_start") + F.col("offset")).alias("start"), "n_tokens", "ids")
 
 
