@@ -22,7 +22,8 @@ from pyspark.sql import Window as W
 
 from tidewatch.operators.ranking import order_bucket
 
-PIECE = r"\s*+(?:\S++\s*+){1,8}+|\s++"
+SPACE, WORD = r"[\t-\r ]", r"[^\t-\r ]"
+PIECE = f"{SPACE}*(?:{WORD}+{SPACE}*){{1,8}}|{SPACE}+"
 #: A paragraph ends its section if its hash ends with one of these digits: one in four.
 SECTION_ENDS = "[0-3]$"
 NODE, LEAF = 16, 8
@@ -121,3 +122,52 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         likeness("own", "new").alias("near_edited"), likeness("own", "next").alias("near_next"),
         first_difference("own", "new", "sections").alias("edited_section"),
         first_difference("own", "new", "leaves").alias("edited_leaf"))
+
+
+def _tree_sql(text: str) -> str:
+    """Expressions of a tree's levels over `text`, as nested select lists."""
+    return f"""SELECT doc_id, which, t, leaves, sections, md5(array_to_string(sections, ',')) AS root FROM (
+ SELECT *, list_transform(string_split(array_to_string(list_transform(paragraphs, lambda h:
+   h || CASE WHEN regexp_matches(h, '{SECTION_ENDS}') THEN '|' ELSE ',' END), ''), '|'),
+   lambda x: md5(x)[1:{NODE}]) AS sections FROM (
+  SELECT *, list_transform(nested, lambda p: md5(array_to_string(p, ','))[1:{NODE}]) AS paragraphs,
+   list_transform(flatten(nested), lambda h: h[1:{LEAF}]) AS leaves FROM (
+   SELECT doc_id, which, t, list_transform(string_split(t, chr(10)), lambda p: list_transform(
+    regexp_extract_all(p, '{PIECE}'), lambda x: md5(x)[1:{NODE}])) AS nested FROM {text}) a) b) c"""
+
+
+def _likeness_sql(a: str, b: str) -> str:
+    return f"""CASE WHEN {a}.root = {b}.root THEN 1.0::DOUBLE
+ WHEN len({a}.leaves) + len({b}.leaves) = 0 THEN 0.0 ELSE 2.0::DOUBLE *
+ len(list_distinct(list_intersect({a}.leaves, {b}.leaves)))
+ / (len(list_distinct({a}.leaves)) + len(list_distinct({b}.leaves))) END"""
+
+
+def _difference_sql(a: str, b: str, level: str) -> str:
+    return f"""CASE WHEN {a}.root <> {b}.root THEN list_position(list_transform(
+ range(1, greatest(len({a}.{level}), len({b}.{level})) + 1),
+ lambda i: {a}.{level}[i] IS NOT DISTINCT FROM {b}.{level}[i]), false) - 1 END"""
+
+
+def _print_sql(a: str) -> str:
+    return (f"{a}.root || ':' || array_to_string({a}.sections, '') || ':' || "
+            f"array_to_string({a}.leaves, '')")
+
+
+#: `fingerprints(documents)` for tables whose ids identify rows.
+ORACLE_SQL = f"""WITH pairs AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(
+  lead(coalesce(text, '')) OVER (ORDER BY doc_id DESC),
+  first_value(coalesce(text, '')) OVER (ORDER BY doc_id DESC)) AS nxt FROM documents),
+edits AS (SELECT *, left(text, length(text) - length(text) // 3) || left(nxt, length(text) // 3)
+  AS edited FROM pairs),
+texts AS (SELECT doc_id, 'own' AS which, text AS t FROM edits UNION ALL
+  SELECT doc_id, 'new', edited FROM edits UNION ALL SELECT doc_id, 'next', nxt FROM edits),
+trees AS MATERIALIZED ({_tree_sql('texts')}),
+o AS (SELECT * FROM trees WHERE which = 'own'), e AS (SELECT * FROM trees WHERE which = 'new'),
+n AS (SELECT * FROM trees WHERE which = 'next')
+SELECT o.doc_id, CAST(length(o.t) AS BIGINT) AS n_chars, sha256(e.t) AS edited_sha256,
+ {_print_sql('o')} AS fingerprint, {_print_sql('e')} AS edited_fingerprint,
+ {_likeness_sql('o', 'e')} AS near_edited, {_likeness_sql('o', 'n')} AS near_next,
+ {_difference_sql('o', 'e', 'sections')} AS edited_section,
+ {_difference_sql('o', 'e', 'leaves')} AS edited_leaf
+FROM o JOIN e USING (doc_id) JOIN n USING (doc_id)"""

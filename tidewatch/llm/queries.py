@@ -13,7 +13,7 @@ from tidewatch.llm.training import held_out
 from tidewatch.session import scratch_path
 
 QUERIES = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_merkle_fingerprints": merkle.ORACLE_SQL}
 
 
 def register(function):
