@@ -53,9 +53,14 @@ def attribute_alerts(eve: DataFrame, truth: DataFrame) -> DataFrame:
         F.count("*").alias("n_known"), F.min("event_id").alias("event_id")).where(
         F.col("tx").isNotNull())
     bare = alerts.where(F.size("ids") == 0).select("seq", "sid", "flow_id", "tx")
-    lent = null_safe_join(bare, per_tx, ["flow_id", "tx"], "left").select(
+    lent = null_safe_join(bare.where(F.col("tx").isNotNull()), per_tx, ["flow_id", "tx"],
+                          "left").select(
         "seq", "sid", F.coalesce("n_known", F.lit(0)).cast("bigint").alias("n_known"), "event_id")
-    return own.unionByName(lent).withColumn(
+    # alerts without a transaction share no key and are not joined
+    alone = bare.where(F.col("tx").isNull()).select(
+        "seq", "sid", F.lit(0).cast("bigint").alias("n_known"),
+        F.lit(None).cast("string").alias("event_id"))
+    return own.unionByName(lent).unionByName(alone).withColumn(
         "event_id", F.when(F.col("n_known") == 1, F.col("event_id")))
 
 

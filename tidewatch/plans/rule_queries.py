@@ -214,6 +214,10 @@ def q_review(spark, d):
     return rounded(E.behavioral_review(REVIEW, windows_of(baseline(spark, d)), top(spark, d)))
 
 
+def q_behavioral(spark, d):
+    return rounded(WF.behavioral_workflow(windows_of(baseline(spark, d)), top(spark, d), REVIEW))
+
+
 def q_compare(spark, d):
     return rounded(E.compare_window(top(spark, d), stats(spark, d)))
 
@@ -330,6 +334,7 @@ QUERIES = {
     "behavioral_candidates": q_candidates,
     "window_examples": q_examples,
     "behavioral_review": q_review,
+    "behavioral_workflow": q_behavioral,
     "window_vs_baseline": q_compare,
     "period_summary": q_period,
     "candidate_suffix_rules": q_suffix,
@@ -558,6 +563,9 @@ UNION ALL SELECT {r6('window_start', 'window_start')}, client, 9900102 FROM wins
     "rule_workflow": f"""WITH {CANDIDATE}, {gate_sql('cand_eve', 'ptruth', f'ts >= {MIDDLE}')}
  SELECT {GATE_COLS} FROM gate""",
 }
+ORACLES["behavioral_workflow"] = f"""SELECT *, 'REQUIRES_REVIEW' AS decision,
+ 'manual_review' AS status, 'Window aggregation needs a correlation detector' AS reason
+ FROM ({ORACLES["behavioral_review"]}) q"""
 ORACLES["rule_leaderboard"] = f"""WITH {CANDIDATE},
  {gate_sql('cand_eve', 'ptruth', f'ts >= {MIDDLE}')},
  broad AS (SELECT count(*) FILTER (label = 1) AS tp, count(*) FILTER (label <> 1) AS fp,

@@ -35,15 +35,33 @@ def candidate_rule(names: DataFrame, sid: int = 9900001) -> DataFrame:
 def judge(dns: DataFrame, truth: DataFrame, rules: DataFrame, text: str = "", **limits) -> DataFrame:
     """Replay rules over telemetry and gate the resulting alerts."""
     events = dns.withColumn("event_id", T.event_id("query")).withColumn("flow_id", F.col("orig_p"))
-    eve = G.replay(events, R.match_rules(R.native_events(dns), rules))
+    # read by the attribution and twice by the event flags
+    eve = settle(G.replay(events, R.match_rules(R.native_events(dns), rules)))
     return G.quality_report(truth, events, eve, text, **limits)
 
 
 def native_workflow(baseline: DataFrame, period: DataFrame, truth: DataFrame,
                     control: bool = False, **limits) -> dict[str, DataFrame]:
-    """Candidate from novel names and its gate report; with `control`, the broad rule's too."""
+    """Candidate from novel names and its gate report; with `control`, the broad rule's too.
+
+    Without a novel name there is no evidence and no rule. A rule that can't be rendered, takes a
+    used SID or goes beyond the observed names ends the workflow.
+    """
     names = settle(E.ioc_candidates(period, baseline))  # a dozen names, used by every step
-    rule = R.render_rules(candidate_rule(names))
+    rule = settle(R.render_rules(candidate_rule(names)))
+    faults = rule.where("render_error IS NOT NULL").select("sid", "render_error").first()
+    if rule.isEmpty():
+        raise ValueError("no name of the period is new; nothing to write a rule from")
+    if faults is not None:
+        raise ValueError(f"rule {faults['sid']} can't be written: {faults['render_error']}")
+    R.require_unique_sids(rule)
+    spec = rule.select(F.col("sid").alias("spec_id"), F.lit("ioc").alias("rule_type"), F.transform(
+        "conditions", lambda c: F.struct(
+            c["field"].alias("field"), c["operator"].alias("operator"),
+            c["value_str"].alias("value_str"),
+            F.lit(None).cast("double").alias("value_num"))).alias("conditions"))
+    if not R.check_grounded(spec, R.allowed_conditions(names)).where("NOT grounded").isEmpty():
+        raise ValueError("a rule asks for something that was not observed")
     out = {"names": names, "rule": rule, "report": judge(period, truth, rule, **limits)}
     if control:
         out["control"] = judge(period, truth, broad_rule(period.sparkSession), BROAD_TEXT, **limits)

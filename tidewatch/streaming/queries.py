@@ -4,7 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -36,8 +36,9 @@ def dns_windows_stream(stream: DataFrame, width: float, delay: float,
                        origin: float = 0.0) -> DataFrame:
     """Tumbling DNS windows with a bound on late events; a window appears once it is closed.
 
-    Seconds are combined first, then windows: streams offer no distinct count, so the names of
-    a window are carried as a set.
+    Streams offer no distinct count, so a record becomes facts (name, base domain, subdomain,
+    second); equal facts are counted first, and a window then counts and sums its facts. The state
+    is one row per fact, never a set in one row.
     """
     if width <= 0:
         raise ValueError("window_seconds must be positive")
@@ -48,25 +49,37 @@ def dns_windows_stream(stream: DataFrame, width: float, delay: float,
         "at", TM.client_key().alias("client"), TM.clean_qname("query").alias("name"),
         F.coalesce(F.col("rcode_name") == "NXDOMAIN", F.lit(False)).cast("long").alias("nx"))
     rows = rows.withColumn("entropy", TM.label_entropy(TM.first_label("name")))
-    per_sec = rows.groupBy(F.window("at", span, span, start), "client",
-                           F.date_trunc("second", "at").alias("sec")).agg(
-        F.count("*").alias("c"), F.collect_set("name").alias("names"),
-        F.sum(F.length("name")).alias("len"), F.max(F.length("name")).alias("longest"),
-        F.sum("nx").alias("nx"), F.sum("entropy").alias("entropy"))
-    per = per_sec.groupBy(F.window(F.window_time("window"), span, span, start), "client").agg(
-        F.sum("c").alias("dns_requests"),
-        F.array_distinct(F.flatten(F.collect_list("names"))).alias("names"),
-        F.sum("len").alias("len"), F.max("longest").alias("max_qname_length"),
-        F.sum("nx").alias("nx"), F.sum("entropy").alias("entropy"),
-        F.max("c").alias("peak_requests_per_second"))
-    n = F.col("dns_requests")
-
-    def unique(part):
-        return F.size(F.array_distinct(F.transform("names", part))).cast("bigint")
 
+    def fact(kind: str, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"))
+
+    facts = rows.withColumn("fact", F.explode(F.array(
+        fact("name", F.col("name")), fact("base", TM.base_domain(F.col("name"))),
+        fact("sub", TM.subdomain(F.col("name"))),
+        fact("second", F.date_trunc("second", "at")))))
+    counted = facts.groupBy(F.window("at", span, span, start), "client",
+                            F.col("fact.kind").alias("kind"), F.col("fact.value").alias("value")).agg(
+        F.count("*").alias("c"), F.sum(F.length("name")).alias("len"),
+        F.max(F.length("name")).alias("longest"), F.sum("nx").alias("nx"),
+        F.sum("entropy").alias("entropy"))
+
+    def of(kind: str, column: str) -> Column:
+        return F.when(F.col("kind") == kind, F.col(column))
+
+    def distinct(kind: str) -> Column:
+        return F.count_if(F.col("kind") == kind)
+
+    per = counted.groupBy(F.window(F.window_time("window"), span, span, start), "client").agg(
+        F.sum(of("name", "c")).alias("dns_requests"), distinct("name").alias("unique_qnames"),
+        distinct("base").alias("unique_base_domains"), distinct("sub").alias("unique_subdomains"),
+        F.sum(of("name", "len")).alias("len"), F.max(of("name", "longest")).alias("max_qname_length"),
+        F.sum(of("name", "nx")).alias("nx"), F.sum(of("name", "entropy")).alias("entropy"),
+        F.max(of("second", "c")).alias("peak_requests_per_second"))
+    n = F.col("dns_requests")
     values = {
-        "dns_requests": n, "unique_qnames": F.size("names").cast("bigint"),
-        "unique_base_domains": unique(TM.base_domain), "unique_subdomains": unique(TM.subdomain),
+        "dns_requests": n, "unique_qnames": F.col("unique_qnames"),
+        "unique_base_domains": F.col("unique_base_domains"),
+        "unique_subdomains": F.col("unique_subdomains"),
         "avg_qname_length": F.col("len") / n, "max_qname_length": F.col("max_qname_length"),
         "nxdomain_ratio": F.col("nx") / n, "avg_label_entropy": F.col("entropy") / n,
         "peak_requests_per_second": F.col("peak_requests_per_second")}
