@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,9 +51,19 @@ def chi_square(x: np.ndarray) -> np.ndarray:
     return 1 - np.exp(-half) * total
 
 
+@cache
+def reach() -> float:
+    """The chi-square value at which the search stops: the quantile of `CERTAINTY`."""
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi_square(middle) < CERTAINTY else (low, middle)
+    return high
+
+
 def unmet(squared: np.ndarray, bound: float | np.ndarray) -> np.ndarray:
     """Where a vector within the bound may still lie at this squared projected distance."""
-    return chi_square(squared / np.maximum(bound, 1e-12)) < CERTAINTY
+    return squared < reach() * np.maximum(bound, 1e-12)
 
 
 def matrix(lists: pa.Array, kind=np.float64) -> np.ndarray:
@@ -121,22 +132,28 @@ class Shard:
                bound: float, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and cosines of the k nearest found; `away` are the leaves' box distances."""
         ids, scores = np.array([], dtype=np.int64), np.array([])
-        norm = np.sqrt((vector * vector).sum())
-        for leaf in np.argsort(away, kind="stable"):
-            if not unmet(away[leaf], bound):
+        norm, stop = float(np.sqrt(vector @ vector)), reach() * max(bound, 1e-12)
+        near = np.flatnonzero(away < stop)
+        for leaf in near[np.argsort(away[near], kind="stable")].tolist():
+            if away[leaf] >= stop:
                 break
             rows = self.leaves[leaf]
             gap = self.places[rows] - place
-            rows = rows[unmet((gap * gap).sum(axis=1), bound) & (self.ids[rows] != query_id)]
+            rows = rows[(np.einsum("ij,ij->i", gap, gap) < stop) & (self.ids[rows] != query_id)]
             if not len(rows):
                 continue
             # summed row by row, so equal vectors get equal scores wherever they lie
             cosine = (self.vectors[rows] * vector).sum(axis=1) / (self.norms[rows] * norm)
+            if len(ids) == k:
+                better = cosine >= scores[-1]
+                if not better.any():
+                    continue
+                rows, cosine = rows[better], cosine[better]
             ids, scores = np.append(ids, self.ids[rows]), np.append(scores, cosine)
             best = np.lexsort((ids, -scores))[:k]
             ids, scores = ids[best], scores[best]
             if len(ids) == k:
-                bound = min(bound, max(0.0, 2 - 2 * scores[-1]))
+                stop = min(stop, reach() * max(2 - 2 * scores[-1], 1e-12))
         return ids, scores
 
 
