@@ -164,7 +164,9 @@ def taken_words(docs: DataFrame, seed: int = SEED) -> DataFrame:
     # an empty document keeps its row, with a block that no slot has
     pieces = placed.withColumn("block", F.explode(F.when(
         F.col("size") > 0, F.sequence(first, last)).otherwise(F.array(F.lit(-1).cast("long")))))
-    used = slots_of(planned, seed).groupBy("number", "block").agg(F.count("*").alias("times"))
+    # Spark can't know how many slots a group row makes, so it is told not to broadcast them
+    used = slots_of(planned, seed).groupBy("number", "block").agg(
+        F.count("*").alias("times")).hint("merge")
     overlap = F.least("upto", (F.col("block") + 1) * F.col("words")) - F.greatest(
         start, F.col("block") * F.col("words"))
     row = ["doc_id", "tie", "number", "upto", "size", "source_size", "target"]
