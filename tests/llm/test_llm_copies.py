@@ -98,6 +98,18 @@ def test_keep_first_keeps_columns_and_one_row(odd_documents):
     assert kept.where("doc_id = 4").count() == 1
 
 
+def test_keep_first_keeps_classes_without_or_with_equal_ids(spark):
+    texts = ["the quick brown fox jumps over the lazy dog near the river bank",
+             "seven large boats sailed slowly past an old stone harbour at dawn",
+             "nobody expected that winter would end before the second week of march",
+             "copper prices fell again while traders waited for news from abroad"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]),
+            (8, texts[3])]
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [
+        (None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3])]))
+
+
 @pytest.mark.parametrize("tight", [True, False])
 def test_tree_equals_brute_force(tight):
     rng = random.Random(3)

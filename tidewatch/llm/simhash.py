@@ -222,26 +222,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def classes_of(printed: DataFrame) -> DataFrame:
-    """Add `component_id`, the smallest `doc_id` of a class, to rows with `fp`."""
+    """Add to rows with `fp` the class `c`, named by one of its fingerprints, and `component_id`, the
+    smallest `doc_id` of the class. Classes without an id, or that share one, differ by `c` only."""
     distinct = settle(printed.groupBy("fp").agg(F.min("doc_id").alias("first")))
     joined = distinct.join(components(links(distinct.select("fp"))), F.col("fp") == F.col("node"),
                            "left").select("fp", "first", F.coalesce("component", "fp").alias("c"))
     lowest = joined.groupBy("c").agg(F.min("first").alias("component_id"))
-    by_print = joined.join(lowest, "c").select(F.col("fp").alias("__fp"), "component_id")
+    by_print = joined.join(lowest, "c").select(F.col("fp").alias("__fp"), "c", "component_id")
     return printed.join(by_print, F.col("fp") == F.col("__fp")).drop("__fp")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of each class, with its columns: the one with the smallest id, null ids last.
 
+    A class is what its links make it; ids choose its row, so classes may share an id or have none.
     Classes are found on ids, text hashes and fingerprints alone; texts are read again at the end.
     """
     key = {"__i": F.coalesce("doc_id", F.lit(0)), "__n": F.col("doc_id").isNull(),
            "__h": F.xxhash64("text")}
     printed = settle(with_fingerprint(docs.select(
         "doc_id", "text", *[c.alias(k) for k, c in key.items()])))
-    chosen = classes_of(printed).groupBy(F.coalesce("component_id", F.lit(0)),
-                                         F.col("component_id").isNull()).agg(
+    chosen = classes_of(printed).groupBy("c").agg(
         F.min(F.struct("__n", "__i", "__h")).alias("k")).select("k.*")
     # the join leaves equal keys together, so repeated rows fall without another shuffle
     return docs.withColumns(key).join(chosen, list(key), "left_semi").dropDuplicates(
