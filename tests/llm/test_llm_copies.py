@@ -377,6 +377,22 @@ def test_owned_and_copied_values(spark):
         [], "doc_id long, text string, source string")).count() == 0
 
 
+def test_value_in_many_documents_of_one_source_is_copied(spark):
+    many = credentials.MOST_REPOSITORIES + 1
+    rows = [(i, "see Pasted0Value1Pasted2Value3 here", "hot") for i in range(many)]
+    rows += [(100, "mine Live0Value1Repeated2Rows3 y", "hot")] * (2 * many)
+    rows += [(None, f"an Unnamed0Value1Unnamed2Value3 {i}", "b") for i in range(many)]
+    got = credentials.secrets(spark.createDataFrame(
+        rows, "doc_id long, text string, source string")).collect()
+    for r in got:
+        if r.doc_id == 100:
+            assert r.spans == "owned:5:30" and r.n_live == 1 and r.counts == "5:30:1:1"
+        else:
+            assert r.spans == "" and (r.n_live, r.n_copied) == (0, 1)
+            assert r.counts.endswith(f":1:{many}")
+    assert len(got) == len(rows)
+
+
 # neighbours
 
 def test_recall_and_scores(spark):

@@ -2,12 +2,16 @@
 
 Base patterns give spans of three kinds. A fourth pattern gives further candidates: long tokens of
 mixed letters and digits. The hash of every candidate's value is counted over the corpus by distinct
-repositories (documents) and owners (sources): a value of many owners is a copied example, one of
-one or two owners looks live. Candidates of the fourth pattern become spans of kind `owned` if they
+repositories (documents) and owners (sources): a value of many owners or of many repositories is a
+copied example, one of one or two owners and of few repositories looks live. Candidates of the fourth pattern become spans of kind `owned` if they
 look live and meet no base span; base spans always stay.
 
-Only SQL functions are used. The texts are read once; hashes, not values, are shuffled, and counted
-by partial aggregates, so a value in a third of the documents is no hot key.
+A repository is a source and a `doc_id`, so repeated rows count once; rows without an id are told
+apart by their texts.
+
+Only SQL functions are used. The texts are read once; hashes, not values, are shuffled, first by
+value and repository and then counted by partial aggregates, so a value in a third of the documents
+is no hot key.
 
 Defined results: null text counts as empty and has no spans; a null source is one owner; rows are
 kept one to one, repeated rows and null ids included; an empty table gives no rows; other columns
@@ -31,9 +35,12 @@ HINTS = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{16}", "hex": r"[0-9a-f]{24}"
 LONG_TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 OWNED = "owned"
 NAMES = [*KINDS, OWNED]
-#: A value of more owners is a copied example.
+#: A value of more owners, or in more documents, is a copied example.
 MOST_OWNERS = 2
+MOST_REPOSITORIES = 8
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
+HELD_FIELDS = ("start", "end", "owners", "repositories")
+HELD = "array<struct<start:int,end:int,owners:bigint,repositories:bigint>>"
 
 
 def _spans(text: Column, pattern: str, group: int, kind: int, keep) -> Column:
@@ -57,10 +64,12 @@ def _spans(text: Column, pattern: str, group: int, kind: int, keep) -> Column:
 
 
 def find_candidates(docs: DataFrame) -> DataFrame:
-    """`doc_id`, `source`, `base` and `long`: the spans of one pass over the texts."""
+    """`doc_id`, `source`, `unnamed` (text hash if there is no id), `base` and `long`: the spans of
+    one pass over the texts."""
     text = F.coalesce("text", F.lit(""))
     nothing = F.array().cast(SPAN)
-    rows = docs.select("doc_id", "source", text.alias("text"))
+    rows = docs.select("doc_id", "source", F.when(F.col("doc_id").isNull(), F.xxhash64(
+        "text")).alias("unnamed"), text.alias("text"))
     for k, (name, (pattern, group, least)) in enumerate(KINDS.items()):
         rows = rows.withColumn(name, F.when(F.col("text").rlike(HINTS[name]), _spans(
             F.col("text"), pattern if name != "hex" else r"[0-9a-f]{24,}+", group, k,
@@ -69,16 +78,16 @@ def find_candidates(docs: DataFrame) -> DataFrame:
         F.col("text"), LONG_TOKEN, 0, len(KINDS),
         lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]"))).otherwise(nothing)).drop("text")
     rows = rows.withColumn("base", F.concat(*KINDS))
-    return rows.select("doc_id", "source", "base", F.filter(OWNED, lambda x: ~F.exists(
+    return rows.select("doc_id", "source", "unnamed", "base", F.filter(OWNED, lambda x: ~F.exists(
         "base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))).alias("long"))
 
 
 def ownership(found: DataFrame) -> DataFrame:
     """(value, owners, repositories): distinct sources and documents that hold a value."""
-    each = found.select("source", F.explode(F.array_distinct(F.transform(
+    each = found.select("source", "doc_id", "unnamed", F.explode(F.array_distinct(F.transform(
         F.concat("base", "long"), lambda x: x["value"]))).alias("value"))
-    return each.groupBy("value", "source").agg(F.count("*").alias("n")).groupBy("value").agg(
-        F.count("*").alias("owners"), F.sum("n").alias("repositories"))
+    return each.distinct().groupBy("value", "source").agg(F.count("*").alias("n")).groupBy(
+        "value").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories"))
 
 
 def _joined(spans: Column) -> Column:
@@ -92,15 +101,16 @@ def _count(spans: str, kind: int) -> Column:
 
 
 def secrets(docs: DataFrame) -> DataFrame:
-    """Per row: counts and digest of base spans, all spans, and how many look live or copied."""
+    """Per row: counts and digest of base spans, all spans, how many look live or copied, and the
+    owners and repositories of every candidate, as start:end:owners:repositories."""
     found = settle(find_candidates(docs).withColumn("__row", F.monotonically_increasing_id()))
     owners = ownership(found)
     spans = found.select("__row", F.explode(F.concat("base", "long")).alias("span"))
+    few = (F.col("owners") <= MOST_OWNERS) & (F.col("repositories") <= MOST_REPOSITORIES)
     live = spans.join(owners, F.col("span.value") == F.col("value")).groupBy("__row").agg(
-        F.collect_list(F.when((F.col("span.kind") == len(KINDS)) & (
-            F.col("owners") <= MOST_OWNERS), F.col("span"))).alias("added"),
-        F.count_if(F.col("owners") <= MOST_OWNERS).alias("n_live"),
-        F.count_if(F.col("owners") > MOST_OWNERS).alias("n_copied"))
+        F.collect_list(F.when((F.col("span.kind") == len(KINDS)) & few, F.col("span"))).alias("added"),
+        F.count_if(few).alias("n_live"), F.count_if(~few).alias("n_copied"),
+        F.collect_list(F.struct("span.start", "span.end", "owners", "repositories")).alias("held"))
     base = _joined(F.col("base"))
     every = _joined(F.concat("base", F.coalesce("added", F.array().cast(SPAN))))
     return found.join(live, "__row", "left").select(
@@ -108,4 +118,7 @@ def secrets(docs: DataFrame) -> DataFrame:
         *[_count("base", k).alias(f"n_{name}") for k, name in enumerate(KINDS)],
         F.sha2(base, 256).alias("base_sha256"), every.alias("spans"),
         F.coalesce("n_live", F.lit(0)).alias("n_live"),
-        F.coalesce("n_copied", F.lit(0)).alias("n_copied"))
+        F.coalesce("n_copied", F.lit(0)).alias("n_copied"),
+        F.array_join(F.transform(F.array_sort(F.coalesce("held", F.array().cast(HELD))),
+                                 lambda x: F.concat_ws(":", *[x[c] for c in HELD_FIELDS])),
+                     ",").alias("counts"))
