@@ -169,6 +169,16 @@ def test_recurring_lines(spark):
     assert line_templates.drop_recurring(docs.limit(0), "n").count() == 0
 
 
+def texts_of(spark, texts, **how):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in line_templates.drop_recurring(docs, **how).orderBy("doc_id").collect()]
+
+
+def test_rows_of_different_numbers_stay(spark):
+    assert texts_of(spark, ["12 34 56\n| 1 | 2 |", "7 80 9\n| 3 | 4 |", "12 34 56\nown words 3"]) == [
+        "12 34 56\n| 1 | 2 |", "7 80 9\n| 3 | 4 |", "own words 3"]
+
+
 def brute_lines(rows):
     """One list of templates for all lines, each compared with every one."""
     leaves = collections.defaultdict(dict)

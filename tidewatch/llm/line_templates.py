@@ -6,12 +6,20 @@ its first three tokens; in a leaf a line joins the first template whose leading
 share. A template found in several documents is a recurring one: only the first document, by id,
 keeps its lines, so no content is lost, and all others drop them.
 
+A line in which fewer than half of the tokens are words (a letter, no digit) has no template: it is
+compared by its unmasked text, so rows of different numbers stay. With `least` 1, as the query and
+the pipeline ask, lines of one or two tokens are compared too; so few tokens must be equal.
+
+With `cut`, as the query and the pipeline ask, lines fall into pieces, each parsed like a line:
+sentences, joined until a piece has eight tokens. An edit then spoils one piece only.
+
 Leaves are spread by a shuffle of distinct lines: each batch combines equal lines first, so a line
 that a third of all documents hold is a few rows. In a leaf, candidates are found by segments: with
-at most k differing tokens one of k + 1 segments is equal.
+at most k differing tokens one of k + 1 segments is equal. Lines that must be equal are leaves of
+their own. Any other leaf is grown in one task, however many distinct lines it has.
 
-Defined results: null text has no lines and stays null; lines of fewer than three tokens are never
-dropped; null ids come after all others; rows of equal id and text count as one document and are
+Defined results: null text has no lines and stays null; without `least` lines of fewer than three
+tokens are never dropped; null ids come after all others; rows of equal id and text count as one document and are
 treated alike; other columns pass unchanged; an empty table stays empty.
 """
 
@@ -20,19 +28,27 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WILDCARD = "<*>"
 LEADING = 3
 LEAST_TOKENS = 3
 SIMILARITY = 0.8
 CHUNK_LINES = 20_000
+#: Share of the tokens of a masked line that must be words.
+WORDS = 0.5
+#: Least tokens of a piece, unless its line has fewer.
+PIECE_TOKENS = 8
 VARIABLE = re.compile(r"\S*\d\S*")
+LETTER = re.compile(r"[^\W\d_]")
+SENTENCE = re.compile(r"(?<=[.!?][ \t])(?=[^ \t])")
 DIGIT = re.compile(r"\d")
 
 Key = tuple[bool, int, int]
@@ -43,14 +59,43 @@ def signed(data: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def parse(line: str) -> tuple[int, str] | None:
-    """The leaf and the masked line; none for a short line."""
-    if DIGIT.search(line):
-        line = VARIABLE.sub(WILDCARD, line)
-    tokens = line.split()
-    if len(tokens) < LEAST_TOKENS:
+def few_words(tokens: list[str]) -> bool:
+    words, wanted = 0, WORDS * len(tokens)
+    for t in tokens:
+        if t != WILDCARD and (t.isalpha() or LETTER.search(t)):
+            words += 1
+            if words >= wanted:
+                return False
+    return True
+
+
+def parse(line: str, least: int = LEAST_TOKENS) -> tuple[int, str] | None:
+    """The leaf and the masked line; none for a line of fewer tokens."""
+    masked = VARIABLE.sub(WILDCARD, line) if DIGIT.search(line) else line
+    tokens = masked.split()
+    if len(tokens) < max(least, 1):
         return None
-    return signed("\0".join([str(len(tokens)), *tokens[:LEADING]])), " ".join(tokens)
+    if few_words(tokens):
+        tokens = line.split()
+        return signed("\0".join(["=", *tokens])), " ".join(tokens)
+    # few tokens allow no difference, so a leaf of their own spreads better
+    leading = tokens if int(len(tokens) * (1 - SIMILARITY) + 1e-9) == 0 else tokens[:LEADING]
+    return signed("\0".join([str(len(tokens)), *leading])), " ".join(tokens)
+
+
+def pieces(line: str, cut: bool) -> list[str]:
+    """The line, or its sentences in runs of at least eight tokens; joined, they are the line."""
+    if not cut:
+        return [line]
+    out, held = [], ""
+    for part in SENTENCE.split(line):
+        held += part
+        if len(held.split()) >= PIECE_TOKENS:
+            out.append(held)
+            held = ""
+    if held and out:
+        out[-1] += held
+    return out or [line]
 
 
 @dataclass
@@ -104,7 +149,12 @@ def document_keys(docs: DataFrame) -> dict:
             "__h": F.xxhash64("text")}
 
 
-def distinct_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def all_pieces(text: str | None, cut: bool) -> list[str]:
+    return [piece for line in (text or "").split("\n") for piece in pieces(line, cut)]
+
+
+def distinct_lines(batches: Iterable[pa.RecordBatch], least: int = LEAST_TOKENS,
+                   cut: bool = False) -> Iterator[pa.RecordBatch]:
     """(leaf, masked, first and last document) of the distinct lines of a batch."""
     def rows(met: dict) -> pa.RecordBatch:
         flat = [(leaf, masked, *low, *high) for (leaf, masked), (low, high) in met.items()]
@@ -119,8 +169,8 @@ def distinct_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for n, i, h, text in zip(*[batch.column(c).to_pylist() for c in
                                    ("__n", "__i", "__h", "text")], strict=True):
             key = (n, i, h)
-            for line in (text or "").split("\n"):
-                parsed = parse(line)
+            for line in all_pieces(text, cut):
+                parsed = parse(line, least)
                 if parsed is None:
                     continue
                 span = met.setdefault(parsed, [key, key])
@@ -170,14 +220,15 @@ def grow_leaves(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows(close())
 
 
-def line_numbers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def line_numbers(batches: Iterable[pa.RecordBatch], least: int = LEAST_TOKENS,
+                 cut: bool = False) -> Iterator[pa.RecordBatch]:
     """(document, position, leaf, line) of every line that the tree takes."""
     for batch in batches:
         out: list[tuple] = []
         for n, i, h, text in zip(*[batch.column(c).to_pylist() for c in
                                    ("__n", "__i", "__h", "text")], strict=True):
-            for at, line in enumerate((text or "").split("\n")):
-                parsed = parse(line)
+            for at, line in enumerate(all_pieces(text, cut)):
+                parsed = parse(line, least)
                 if parsed is not None:
                     out.append((n, i, h, at, parsed[0], signed(parsed[1])))
         columns = list(zip(*out, strict=True)) or [[]] * 6
@@ -187,33 +238,63 @@ def line_numbers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["__n", "__i", "__h", "at", "leaf", "line"])
 
 
-def recurring_lines(docs: DataFrame) -> DataFrame:
+def without(text: str, at: set[int], cut: bool) -> str:
+    """The text without the pieces of these numbers; lines left with none go as a whole."""
+    kept, n = [], 0
+    for line in text.split("\n"):
+        own = pieces(line, cut)
+        left = [x for k, x in enumerate(own, n) if k not in at]
+        n += len(own)
+        if len(left) == len(own):
+            kept.append(line)
+        elif left:
+            kept.append("".join(left).rstrip())
+    return "\n".join(kept)
+
+
+def shortened(batches: Iterable[pa.RecordBatch], cut: bool) -> Iterator[pa.RecordBatch]:
+    """(number of dropped pieces, text): `__at` comes last, before it the text."""
+    for batch in batches:
+        texts = [without(t, set(at), cut) if at and t is not None else t for t, at in zip(
+            batch.column("__text").to_pylist(), batch.column("__at").to_pylist(), strict=True)]
+        sizes = [len(at) if at else 0 for at in batch.column("__at").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-2], pa.array(texts, pa.string()), pa.array(sizes, pa.int64())],
+            names=batch.schema.names)
+
+
+def recurring_lines(docs: DataFrame, least: int = LEAST_TOKENS, cut: bool = False) -> DataFrame:
     """(leaf, line, first_n, first_i, first_h, template): distinct masked lines, by hash, of the
     templates found in several documents, and the first of these documents."""
     rows = docs.select(*[c.alias(k) for k, c in document_keys(docs).items()], "text")
     lines = rows.mapInArrow(
-        distinct_lines, "leaf long, masked string, low_n boolean, low_i long, low_h long, "
+        partial(distinct_lines, least=least, cut=cut),
+        "leaf long, masked string, low_n boolean, low_i long, low_h long, "
         "high_n boolean, high_i long, high_h long")
     return lines.repartition("leaf").sortWithinPartitions("leaf", "masked").mapInArrow(
         grow_leaves, "leaf long, line long, first_n boolean, first_i long, first_h long, "
         "template string")
 
 
-def drop_recurring(docs: DataFrame, dropped: str | None = None) -> DataFrame:
-    """All columns of `docs`, `text` without recurring lines; `dropped` names a count of them."""
+def drop_recurring(docs: DataFrame, dropped: str | None = None, least: int = LEAST_TOKENS,
+                   cut: bool = False) -> DataFrame:
+    """All columns of `docs`, `text` without recurring lines of at least `least` tokens, or with
+    `cut` without recurring pieces of lines; `dropped` names a count of them."""
     keys = document_keys(docs)
     rows = docs.select(*[c.alias(k) for k, c in keys.items()], "text")
-    known = recurring_lines(docs).drop("template")
-    lines = rows.mapInArrow(line_numbers, "__n boolean, __i long, __h long, at int, leaf long, "
-                                          "line long")
+    known = recurring_lines(docs, least, cut).drop("template")
+    lines = rows.mapInArrow(partial(line_numbers, least=least, cut=cut),
+                            "__n boolean, __i long, __h long, at int, leaf long, line long")
     later = (F.col("__n") != F.col("first_n")) | (F.col("__i") != F.col("first_i")) | (
         F.col("__h") != F.col("first_h"))
     marked = lines.join(known, ["leaf", "line"]).where(later).groupBy("__n", "__i", "__h").agg(
         F.collect_set("at").alias("__at"))
     out = docs.withColumns(keys).join(marked, list(keys), "left")
-    at = F.coalesce("__at", F.array().cast("array<int>"))
-    kept = F.when(F.size(at) == 0, F.col("text")).otherwise(F.array_join(F.filter(
-        F.split("text", "\n", -1), lambda x, i: ~F.array_contains(F.col("__at"), i)), "\n"))
-    return out.select(*[kept.alias("text") if c == "text" else F.col(f"`{c}`")
-                        for c in docs.columns],
-                      *([F.size(at).cast("long").alias(dropped)] if dropped else []))
+    others = [f for f in docs.schema.fields if f.name != "text"]
+    short = out.select(*[f"`{f.name}`" for f in others], F.col("text").alias("__text"),
+                       "__at").mapInArrow(partial(shortened, cut=cut), T.StructType([
+                           *others, T.StructField("__text", T.StringType()),
+                           T.StructField("__at", T.LongType())]))
+    return short.select(*[F.col("__text" if c == "text" else f"`{c}`").alias(c)
+                          for c in docs.columns],
+                        *([F.col("__at").alias(dropped)] if dropped else []))
