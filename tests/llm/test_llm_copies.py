@@ -179,6 +179,13 @@ def test_rows_of_different_numbers_stay(spark):
         "12 34 56\n| 1 | 2 |", "7 80 9\n| 3 | 4 |", "own words 3"]
 
 
+def test_recurring_short_lines(spark):
+    texts = ["Read more\nfirst text here", "second text there\nRead more\n7", "Read less\nThanks\n8"]
+    assert texts_of(spark, texts) == texts
+    assert texts_of(spark, [*texts, "Thanks"], least=1) == [
+        texts[0], "second text there\n7", texts[2], ""]
+
+
 def brute_lines(rows):
     """One list of templates for all lines, each compared with every one."""
     leaves = collections.defaultdict(dict)
