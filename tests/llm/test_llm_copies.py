@@ -186,6 +186,18 @@ def test_recurring_short_lines(spark):
         texts[0], "second text there\n7", texts[2], ""]
 
 
+def test_edit_spoils_one_piece_only(spark):
+    one = "The river rose for three days before anyone saw it. "
+    two = "No boat could leave the harbour until the storm was over. "
+    three = "In the end the old bridge held and trade went on."
+    texts = [one + two + three, "Only here: " + one + two.replace("boat", "small boat") + three + " More."]
+    assert texts_of(spark, texts) == texts
+    assert texts_of(spark, [one + two + three, one + two.replace("boat", "small boat") + three],
+                    cut=True) == [one + two + three, two.replace("boat", "small boat").rstrip()]
+    for line in [*texts, "", "a. b. c", " . .  x", "word " * 40]:
+        assert "".join(line_templates.pieces(line, True)) == line
+
+
 def brute_lines(rows):
     """One list of templates for all lines, each compared with every one."""
     leaves = collections.defaultdict(dict)

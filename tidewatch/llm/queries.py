@@ -75,7 +75,7 @@ def op6_block_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_templates.drop_recurring(
         table(spark, sf_dir, "documents").select("doc_id", "text"), dropped="n_dropped",
-        least=1)
+        least=1, cut=True)
     return cleaned.select("doc_id", "n_dropped", "text")
 
 
