@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import (
-    bpe, credentials, line_templates, merkle, mixing, neighbours, quality, simhash, token_files,
+    bpe, context_tree, credentials, line_templates, merkle, mixing, neighbours, quality, simhash, token_files,
     toxicity)
 from tidewatch.llm.training import held_out
 from tidewatch.session import scratch_path
@@ -92,3 +92,8 @@ def op7_owned_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op2_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@register
+def op11_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
