@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import (
-    bpe, context_tree, credentials, line_templates, merkle, mixing, neighbours, quality, simhash, token_files,
-    toxicity)
+    bpe, context_tree, credentials, line_templates, merkle, mixing, neighbours, periodic_runs, quality,
+    simhash, token_files, toxicity)
 from tidewatch.llm.training import held_out
 from tidewatch.session import scratch_path
 
@@ -97,3 +97,9 @@ def op2_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op11_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic_runs.run_digests(periodic_runs.repeat_words(docs))
