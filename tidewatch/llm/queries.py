@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import (
-    bpe, context_tree, credentials, line_templates, merkle, mixing, neighbours, periodic_runs, quality,
-    simhash, token_files, toxicity)
+    bpe, context_tree, credentials, hard_negatives, line_templates, merkle, mixing, neighbours,
+    periodic_runs, quality, simhash, token_files, toxicity)
 from tidewatch.llm.training import held_out
 from tidewatch.session import scratch_path
 
 QUERIES = {}
-ORACLES: dict[str, str] = {"op3_merkle_fingerprints": merkle.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op3_merkle_fingerprints": merkle.ORACLE_SQL,
+                           "op13_hard_negatives": hard_negatives.ORACLE_SQL}
 
 
 def register(function):
@@ -103,3 +104,9 @@ def op11_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return periodic_runs.run_digests(periodic_runs.repeat_words(docs))
+
+
+@register
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.integer_rows(table(spark, sf_dir, "embeddings"))
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
