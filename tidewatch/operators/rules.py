@@ -1,8 +1,10 @@
 """Detection specifications: validation, parsing, rendering and matching."""
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from tidewatch.operators.ranking import melt
 from tidewatch.session import settle
@@ -309,52 +311,118 @@ def rule_conditions(rules: DataFrame) -> DataFrame:
 
 
 GRAM = 3
+#: Characters of a value that are cut into grams together: finding a place in a text takes time in
+#: proportion to the place.
+PIECE = 512
+#: Values that the frequency of grams is estimated on; they decide where a needle waits, no result.
+SAMPLED = 4096
+#: Slots of the probe filter, by the number of probes: one byte each.
+LEAST_SLOTS, MOST_SLOTS = 1 << 10, 1 << 22
+#: Text of a rule book up to which its conditions are broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
+def _grams(value: Column, n: int) -> Column:
+    """All texts of n neighbouring characters."""
+    size = F.length(value)
+    pieces = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), size), F.lit(PIECE)),
+                         lambda p: F.substring(value, p, PIECE + n - 1))
+    return F.flatten(F.transform(F.filter(pieces, lambda p: F.length(p) >= n), lambda p: F.transform(
+        F.sequence(F.lit(1), F.length(p) - n + 1), lambda i: F.substring(p, i, n))))
+
+
+def _ending(length: Column) -> Column:
+    """The largest power of two up to a length: the endings that a value offers have such lengths."""
+    return F.greatest(F.lit(0), *[F.when(length >= 1 << k, 1 << k) for k in range(31)])
+
+
+def _slot(field: Column, operator: Column, probe: Column, slots: int) -> Column:
+    return F.pmod(F.xxhash64(field, operator, probe), F.lit(slots)).cast("int")
+
+
+def rule_index(events: DataFrame, cond: DataFrame) -> DataFrame:
+    """`cond` with `probe`, the text under which a condition waits.
+
+    An `equals` needle waits under itself, an `endswith` needle under its ending of a power of two of
+    characters, a `contains` needle under that of its grams which fewest sampled values hold; one
+    shorter than a gram under itself.
+    """
+    inside = (F.col("operator") == "contains") & (F.length("needle") >= GRAM)
+    direct = cond.where(~inside).withColumn("probe", F.when(
+        F.col("operator") == "endswith", F.right(F.col("needle"), _ending(F.length("needle")))
+    ).otherwise(F.col("needle")))
+    filed = cond.where(inside).withColumn("gram", F.explode(F.array_distinct(
+        _grams(F.col("needle"), GRAM))))
+    fields = [f for f in NATIVE_FIELDS if f in events.columns]
+    # at most SAMPLED rows, read from the first partitions
+    sampled = melt(events.select(*[F.col(f"`{f}`") for f in fields]).limit(SAMPLED), [], fields,
+                   "field", "value", cast="string").where(F.col("value").isNotNull())
+    seen = sampled.select("field", F.explode(F.array_distinct(_grams(
+        folded(F.col("field"), F.col("value")), GRAM))).alias("gram")).join(
+        F.broadcast(filed.select("field", "gram").distinct()), ["field", "gram"]).groupBy(
+        "field", "gram").agg(F.count("*").alias("seen"))
+    rarest = filed.join(F.broadcast(seen), ["field", "gram"], "left").groupBy(*cond.columns).agg(
+        F.min_by("gram", F.struct(F.coalesce("seen", F.lit(0)), "gram")).alias("probe"))
+    return direct.unionByName(rarest)
 
 
 def match_rules(events: DataFrame, rules: DataFrame, key: str = "seq") -> DataFrame:
     """(key, sid) of every event that fulfils all conditions of a rule.
 
-    `events` has a column per native field. Text tests become equalities: an event offers its whole
-    value, its endings at the lengths some rule asks for, and its distinct three-letter grams. A
-    `contains` condition waits under its needle's first gram (a shorter needle under its own text,
-    offered at its length) and is verified on the value. No event is compared with every rule, and
-    an event's offers grow with the length of its values, whatever the size of the rule book.
+    `events` has a column per native field. Text tests become equalities: an event has its whole
+    value, its endings of a power of two of characters and its three-letter grams as probes, and a
+    condition waits under one of them (`rule_index`). The probes of the rule book are a filter of
+    fixed size inside the row's own expression, so what no rule waits for is dropped before anything
+    is exploded; what is left looks the conditions up and is verified on the value. The rule book is
+    small beside the events: local SIDs bound it, and its text is measured before it is broadcast.
     """
     # read more than once below
-    cond = settle(rule_conditions(rules).withColumn("probe", F.when(
-        (F.col("operator") == "contains") & (F.length("needle") >= GRAM),
-        F.substring("needle", 1, GRAM)).otherwise(F.col("needle"))))
-
-    def lengths(op: str) -> Column:
-        return F.collect_set(F.when(F.col("operator") == op, F.length("probe")))
-
-    wanted = cond.groupBy("field").agg(  # one row per field
+    cond = settle(rule_index(events, rule_conditions(rules)))
+    wanted = {r["field"]: r for r in cond.groupBy("field").agg(  # one row per field
         F.bool_or(F.col("operator") == "equals").alias("eq"),
-        lengths("endswith").alias("ends"),  # at most 256 lengths
-        lengths("contains").alias("grams"))  # at most three
-    fields = [f for f in NATIVE_FIELDS if f in events.columns]
-    long = melt(events, [key], fields, "field", "value", cast="string").where(
-        F.col("value").isNotNull())
-    asked = long.join(F.broadcast(wanted), "field").withColumn(
-        "value", folded(F.col("field"), F.col("value")))
-    size = F.length("value")
-
-    def probe(op, text):
-        return F.struct(F.lit(op).alias("operator"), text.alias("probe"))
-
-    none = F.array().cast("array<struct<operator:string,probe:string>>")
-    fits = lambda lens: F.filter(lens, lambda n: n <= size)
-    inside = F.array_distinct(F.flatten(F.transform(fits("grams"), lambda n: F.transform(
-        F.sequence(F.lit(1), size - n + 1),
-        lambda i: probe("contains", F.substring(F.col("value"), i, n))))))
-    probes = F.concat(
-        F.when(F.col("eq"), F.array(probe("equals", F.col("value")))).otherwise(none),
-        F.transform(fits("ends"), lambda n: probe("endswith", F.right(F.col("value"), n))),
-        inside)
-    offered = asked.select(key, "field", "value", F.explode(probes).alias("p")).select(
-        key, "field", "value", "p.*")
-    hits = offered.join(cond, ["field", "operator", "probe"]).where(
-        (F.col("operator") != "contains") | F.contains("value", F.col("needle")))
+        F.collect_set(F.when(F.col("operator") == "endswith", F.length("probe"))).alias("ends"),
+        F.collect_set(F.when(F.col("operator") == "contains", F.length("probe"))).alias("grams")
+    ).collect() if r["field"] in events.columns}
+    total = cond.agg(F.count("*"), F.sum(F.octet_length("needle") + F.octet_length("probe"))).first()
+    slots = LEAST_SLOTS
+    while slots < min(16 * total[0], MOST_SLOTS):
+        slots *= 2
+    # a rule book's probes, at most MOST_SLOTS numbers
+    taken = bytearray(slots)
+    for r in cond.select(_slot(F.col("field"), F.col("operator"), F.col("probe"), slots).alias(
+            "slot")).distinct().collect():
+        taken[r["slot"]] = 1
+    if not wanted:
+        return events.select(key).join(cond.select("sid"), F.lit(False))
+    asked_for = F.lit(bytes(taken))
+
+    def offers(field: str, want) -> Column:
+        value = folded(F.lit(field), F.col(f"`{field}`").cast("string"))
+
+        def probes(op: str, texts: Column) -> Column:
+            held = F.filter(texts, lambda t: F.substring(asked_for, _slot(
+                F.lit(field), F.lit(op), t, slots) + 1, 1) == F.lit(b"\x01"))
+            return F.transform(F.array_distinct(held), lambda t: F.struct(
+                F.lit(field).alias("field"), F.lit(op).alias("operator"), t.alias("probe"),
+                value.alias("value")))
+
+        parts = [probes("contains", _grams(value, n)) for n in sorted(want["grams"])]
+        if want["eq"]:
+            parts.append(probes("equals", F.array(value)))
+        if want["ends"]:
+            ends = F.array(*[F.lit(n) for n in sorted(want["ends"])])
+            parts.append(probes("endswith", F.transform(
+                F.filter(ends, lambda n: n <= F.length(value)), lambda n: F.right(value, n))))
+        return F.when(value.isNotNull(), F.concat(*parts))
+
+    none = F.array().cast("array<struct<field:string,operator:string,probe:string,value:string>>")
+    offered = events.select(key, F.concat(*[F.coalesce(offers(f, w), none) for f, w in sorted(
+        wanted.items())]).alias("p")).select(key, F.explode("p").alias("p")).select(key, "p.*")
+    held = F.broadcast(cond) if (total[1] or 0) <= BROADCAST_BYTES else cond
+    value, needle = F.col("value"), F.col("needle")
+    hits = offered.join(held, ["field", "operator", "probe"]).where(
+        F.when(F.col("operator") == "contains", F.contains(value, needle)).when(
+            F.col("operator") == "endswith", F.endswith(value, needle)).otherwise(value == needle))
     single = hits.where("n_conditions = 1").select(key, "sid")
     several = hits.where("n_conditions > 1").groupBy(key, "sid", "n_conditions").agg(
         F.count("*").alias("met")).where("met = n_conditions").select(key, "sid")
@@ -374,25 +442,67 @@ def native_events(dns: DataFrame, http: DataFrame | None = None, key: str = "seq
     return out.select(key, *names)
 
 
+def _bounds(cond: DataFrame) -> dict[str, list[float]]:
+    """The distinct bounds of every feature, rising; a rule book's, so few beside the windows."""
+    listed = cond.groupBy("feature").agg(F.array_sort(F.collect_set("bound")).alias("bounds"))
+    return {r["feature"]: r["bounds"] for r in listed.collect()}
+
+
 def match_windows(windows: DataFrame, rules: DataFrame) -> DataFrame:
     """(window_start, client, sid) of windows that fulfil all numeric conditions of a rule.
 
-    The conditions on a feature are one array, filtered inside the window's row, so only fulfilled
-    ones are exploded and no feature name is a shuffle key. The arrays are broadcast: local SIDs
-    bound a rule book to SID_MAX - SID_MIN + 1 rules of at most eight conditions.
+    Every feature has its distinct bounds in rising order, and a window's value finds its place among
+    them by binary search, so the bounds it reaches are the first ones. A rule waits at one bound
+    only, that of its condition which fewest windows reach; a window takes up the rules at the bounds
+    it reaches and tests their other conditions on its own row. Work follows those rules, not the
+    rule book, and no window is shuffled. Local SIDs bound the rule book to SID_MAX - SID_MIN + 1
+    rules of at most eight conditions, which is what is broadcast. Missing values and NaN reach no
+    bound.
     """
-    cond = rules.where(F.col("sid").between(SID_MIN, SID_MAX)).select(
-        "sid", F.size("conditions").alias("n_conditions"),
-        F.posexplode("conditions").alias("no", "c")).groupBy(
-        F.col("c.field").alias("feature")).agg(F.collect_list(F.struct(
-            "sid", "n_conditions", "no", F.col("c.operator").alias("operator"),
-            F.col("c.value_num").alias("bound"))).alias("conditions"))
-    long = melt(windows, ["window_start", "client"], DNS_WINDOW_FEATURES)
-    met = long.join(F.broadcast(cond), "feature").select(
-        "window_start", "client", F.explode(F.filter("conditions", lambda c: (
-            (c["operator"] == "gt") & (F.col("value") > c["bound"]))
-            | ((c["operator"] == "gte") & (F.col("value") >= c["bound"])))).alias("c")).select(
-        "window_start", "client", "c.sid", "c.n_conditions")
-    return met.groupBy("window_start", "client", "sid", "n_conditions").agg(
-        F.count("*").alias("met")).where("met = n_conditions").select(
-        "window_start", "client", "sid")
+    sound = F.col("sid").between(SID_MIN, SID_MAX)
+    test = F.transform("conditions", lambda c: F.struct(
+        c["field"].alias("feature"), (c["operator"] == "gt").alias("strict"),
+        c["value_num"].cast("double").alias("bound")))
+    known = F.forall("conditions", lambda c: c["operator"].isin(*NUMBER_OPERATORS)
+                     & c["field"].isin(*DNS_WINDOW_FEATURES) & c["value_num"].isNotNull())
+    book = settle(rules.where(sound & known & (F.size("conditions") > 0)).select(
+        F.monotonically_increasing_id().alias("rule"), "sid", test.alias("tests")))
+    cond = book.select("rule", "sid", "tests", F.explode("tests").alias("c")).select(
+        "rule", "sid", "tests", "c.feature", "c.bound")
+    bounds = _bounds(cond)
+    value = lambda f: F.when(F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double")),
+                             F.col(f).cast("double")).otherwise(float("-inf"))
+    placed = windows.select("window_start", "client", *[value(f).alias(f) for f in bounds])
+    for f, listed in bounds.items():
+        splits = sorted({float("-inf"), *listed, float("inf")})
+        placed = Bucketizer(splits=splits, inputCol=f, outputCol=f"{f}__at").transform(placed)
+    if not bounds:
+        return windows.select("window_start", "client").join(rules.select("sid"), F.lit(False))
+    reached = placed.select(F.explode(F.array(*[F.struct(
+        F.lit(f).alias("feature"), F.col(f"{f}__at").cast("int").alias("at")) for f in bounds])
+    ).alias("r")).groupBy("r.feature", "r.at").agg(F.count("*").alias("n"))
+    # all bounds of a rule book: how many windows end at or beyond each
+    at_least = F.sum("n").over(W.partitionBy("feature").orderBy(F.desc("at")))
+    order = cond.select("feature", "bound").distinct().withColumn(
+        "at", F.row_number().over(W.partitionBy("feature").orderBy("bound")))
+    counted = order.select("feature", "bound", "at", F.lit(0).cast("long").alias("n")).unionByName(
+        reached.select("feature", F.lit(None).cast("double").alias("bound"), "at", "n")).withColumn(
+        "windows", at_least).where(F.col("bound").isNotNull())
+    waiting = cond.join(counted.select("feature", "bound", "at", "windows"), ["feature", "bound"]
+                        ).groupBy("rule", "sid").agg(
+        F.min_by(F.struct("feature", "at", "tests"), F.struct("windows", "feature", "at")).alias(
+            "w")).select("sid", "w.*")
+
+    def offers(f: str) -> Column:
+        at = F.col(f"{f}__at").cast("int")
+        return F.when(at >= 1, F.transform(F.sequence(F.lit(1), at), lambda i: F.struct(
+            F.lit(f).alias("feature"), i.alias("at")))).otherwise(
+            F.array().cast("array<struct<feature:string,at:int>>"))
+
+    taken = placed.select("window_start", "client", *bounds, F.explode(F.flatten(F.array(
+        *[offers(f) for f in bounds]))).alias("o"))
+    own = F.create_map(*[x for f in bounds for x in (F.lit(f), F.col(f))])
+    met = F.forall("tests", lambda c: F.when(c["strict"], own[c["feature"]] > c["bound"]).otherwise(
+        own[c["feature"]] >= c["bound"]))
+    return taken.select("window_start", "client", *bounds, "o.*").join(
+        F.broadcast(waiting), ["feature", "at"]).where(met).select("window_start", "client", "sid")
