@@ -56,11 +56,48 @@ def test_bootstrap_is_seeded_and_brackets_the_estimate(spark):
     rng = np.random.default_rng(7)
     y = rng.integers(0, 2, 200)
     df = frame(spark, y, rng.random(200) + 0.5 * y)
-    a = B.bootstrap_ci(df, "row_id", 0.7, 30, metrics=["roc_auc"]).first()
-    b = B.bootstrap_ci(df, "row_id", 0.7, 30, metrics=["roc_auc"]).first()
+    a = B.bootstrap_ci(df, 0.7, 30, metrics=["roc_auc"]).first()
+    b = B.bootstrap_ci(df.repartition(5), 0.7, 30, metrics=["roc_auc"]).first()
     assert a == b and a["low_95"] < a["estimate"] < a["high_95"] and a["replicates"] == 30
-    weights = B.resample(df, "row_id", 3).groupBy("rep").agg(F.sum("w").alias("n")).collect()
+    weights = B.resample(df, 3).groupBy("rep").agg(F.sum("w").alias("n")).collect()
     assert [r["n"] for r in weights] == [200] * 3
+    with pytest.raises(ValueError, match="Nothing to resample"):
+        B.resample(df.limit(0), 3)
+
+
+def test_cell_counts_are_multinomial(spark):
+    """Means, deviations and dependence of the drawn counts, for cells of very different size."""
+    sizes = [3000, 500, 40, 8, 1, 1]
+    rows = [(i % 2, float(i)) for i, n in enumerate(sizes) for _ in range(n)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    reps, n = 1500, sum(sizes)
+    w = np.zeros((reps, len(sizes)))
+    for r in B.resample(df, reps).collect():
+        w[r["rep"], int(r["score"])] = r["w"]
+    assert (w.sum(axis=1) == n).all()
+    p = np.array(sizes) / n
+    deviation = np.sqrt(n * p * (1 - p))
+    assert (np.abs(w.mean(axis=0) - n * p) < 4 * deviation / np.sqrt(reps)).all()
+    assert w.std(axis=0) == pytest.approx(deviation, rel=0.1)
+    assert np.corrcoef(w[:, 0], w[:, 1])[0, 1] == pytest.approx(
+        -np.sqrt(p[0] * p[1] / ((1 - p[0]) * (1 - p[1]))), abs=0.1)
+
+
+def test_intervals_equal_those_of_resampled_rows(spark):
+    rng = np.random.default_rng(3)
+    y = rng.integers(0, 2, 600)
+    s = np.round(rng.normal(size=600) + y, 1)
+    draws = []
+    for _ in range(2000):
+        pick = rng.integers(0, 600, 600)
+        hit = s[pick] >= 0.5
+        draws.append([hit[y[pick] == 1].mean(), hit[y[pick] == 0].mean()])
+    low, high = np.quantile(draws, [0.025, 0.975], axis=0)
+    got = {r["metric"]: r for r in B.bootstrap_ci(frame(spark, y, s), 0.5, 800,
+                                                  metrics=["recall", "fpr"]).collect()}
+    for i, m in enumerate(("recall", "fpr")):
+        assert got[m]["low_95"] == pytest.approx(low[i], abs=0.01)
+        assert got[m]["high_95"] == pytest.approx(high[i], abs=0.01)
 
 
 def test_prefix_sum_with_a_hot_value(spark):

@@ -1,44 +1,82 @@
-"""Paired bootstrap intervals as one plan over `iterations * n` draws."""
+"""Paired bootstrap intervals over cell counts."""
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.hashing import hash_u60
 from tidewatch.operators.metrics import METRICS, evaluate
-from tidewatch.operators.ranking import cut_points, hash_rank
+from tidewatch.operators.ranking import cut_points
+from tidewatch.session import settle
 
+#: Groups of cells; a replicate first shares its draws out among them.
+GROUPS = 1024
+#: Rows of draws that a task hands on at once.
+ROWS_AT_ONCE = 1_000_000
 
-def resample(scored: DataFrame, key: Sequence[str] | str, iterations: int, seed=42,
-             label: str = "label", score: str = "score") -> DataFrame:
-    """(rep, label, score, w): multiplicity of each distinct pair in each replicate.
 
-    Rows get a dense index from a seeded shuffle; draws are generated on the executors and
-    joined by index, then collapsed before the metrics see them.
+def resample(scored: DataFrame, iterations: int, seed: int = 42, label: str = "label",
+             score: str = "score") -> DataFrame:
+    """(rep, label, score, w): how often each distinct pair is drawn in each replicate.
+
+    Drawing n of n rows with replacement draws a multinomial count for every distinct pair, so a
+    replicate costs as many numbers as there are pairs, however many rows stand behind them. The
+    counts are conditioned: a replicate's draws are shared out among `GROUPS` groups of pairs
+    (iterations x GROUPS numbers), then each group's among its pairs, where the group lies. Pairs
+    that are not drawn have no row.
     """
-    n = scored.count()
+    cells = settle(scored.groupBy(F.col(label).alias("label"), F.col(score).cast("double").alias(
+        "score")).agg(F.count("*").alias("c")).withColumn(
+        "g", F.pmod(F.xxhash64("label", "score"), F.lit(GROUPS)).cast("int")))
+    sizes = np.zeros(GROUPS, dtype=np.int64)
+    for r in cells.groupBy("g").agg(F.sum("c").alias("c")).collect():  # at most GROUPS rows
+        sizes[r["g"]] = r["c"]
+    n = int(sizes.sum())
     if n == 0:
         raise ValueError("Nothing to resample")
-    rows = hash_rank(scored, key, seed, name="__i").select(
-        (F.col("__i") - 1).alias("idx"), F.col(label).alias("label"),
-        F.col(score).cast("double").alias("score"))
-    draws = scored.sparkSession.range(iterations * n).select(
-        F.floor(F.col("id") / n).cast("int").alias("rep"),
-        F.pmod(hash_u60(seed, F.floor(F.col("id") / n), F.col("id") % n),
-               F.lit(n)).alias("idx"))
-    return draws.join(rows, "idx").groupBy("rep", "label", "score").agg(
-        F.count("*").alias("w"))
-
-
-def bootstrap_ci(scored: DataFrame, key: Sequence[str] | str, threshold: float,
-                 iterations: int = 300, seed=42, probabilities: bool = False,
-                 metrics: Sequence[str] | None = None, low: float = 0.025, high: float = 0.975,
-                 label: str = "label", score: str = "score") -> DataFrame:
+    shares = np.stack([np.random.default_rng([seed, rep]).multinomial(n, sizes / n)
+                       for rep in range(iterations)])
+    shared = scored.sparkSession.sparkContext.broadcast(shares)
+
+    def draws(group: int, pairs: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        odds = pairs["c"].to_numpy() / pairs["c"].sum()
+        at_once = max(1, ROWS_AT_ONCE // len(pairs))
+        for first in range(0, iterations, at_once):
+            reps = range(first, min(first + at_once, iterations))
+            w = np.stack([np.random.default_rng([seed, rep, group]).multinomial(
+                shared.value[rep, group], odds) for rep in reps])
+            rep, pair = np.nonzero(w)
+            drawn = pairs.iloc[pair]
+            yield pd.DataFrame({"rep": rep.astype(np.int32) + first, "label": drawn["label"].values,
+                                "score": drawn["score"].values, "w": w[rep, pair]})
+
+    def by_group(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, group = [], None
+        for batch in batches:
+            for g, part in batch.groupby("g", sort=False):
+                if g != group and held:
+                    yield from draws(group, pd.concat(held))
+                    held = []
+                group = g
+                held.append(part)
+        if held:
+            yield from draws(group, pd.concat(held))
+
+    kind = cells.schema["label"].dataType.simpleString()
+    return cells.repartition("g").sortWithinPartitions("g", "label", "score").mapInPandas(
+        by_group, f"rep int, label {kind}, score double, w long")
+
+
+def bootstrap_ci(scored: DataFrame, threshold: float, iterations: int = 300, seed: int = 42,
+                 probabilities: bool = False, metrics: Sequence[str] | None = None,
+                 low: float = 0.025, high: float = 0.975, label: str = "label",
+                 score: str = "score") -> DataFrame:
     """metric, estimate, low_95, high_95, replicates; one-class replicates are skipped."""
     names = list(metrics or METRICS + (["log_loss", "brier"] if probabilities else []))
     cuts = cut_points(scored.select((-F.col(score).cast("double")).alias("k")), "k")
-    reps = evaluate(resample(scored, key, iterations, seed, label, score), threshold, ["rep"],
+    reps = evaluate(resample(scored, iterations, seed, label, score), threshold, ["rep"],
                     probabilities, weight=F.col("w"), cuts=cuts, pvalue=False
                     ).where("p > 0 AND n > 0")
     # at most `iterations` rows reach the percentiles

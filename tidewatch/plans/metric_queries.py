@@ -2,16 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from tidewatch.functions.hashing import hash_u32_sql, hash_u60_sql
 from tidewatch.operators import bootstrap as B
 from tidewatch.operators import metrics as M
 from tidewatch.plans.common import RATES_SQL, cum_sql, r6, rounded, suite_sql
-from tidewatch.plans.data_queries import ranked_sql
 from tidewatch.plans.views import ctes, view
 
 THRESHOLD = 0.62  # for `scored`
 CONN_THRESHOLD = 0.35  # for `conn_scored`
-REPLICATES = 20
+REPLICATES = 500
 EDGES = [-0.5, -0.25, -0.1, 0, 0.05, 0.1, 0.2, 0.4, 0.8, 2.0]  # fixed values: bucket bounds
 
 
@@ -102,8 +100,7 @@ BOOT = ["roc_auc", "average_precision", "precision", "recall", "f1", "fpr", "ks"
 
 
 def q_bootstrap(spark, d):
-    return rounded(B.bootstrap_ci(conn(spark, d), "row_id", CONN_THRESHOLD, REPLICATES,
-                                  metrics=BOOT))
+    return rounded(B.bootstrap_ci(conn(spark, d), CONN_THRESHOLD, REPLICATES, metrics=BOOT))
 
 
 def q_attack_recall(spark, d):
@@ -197,18 +194,6 @@ judged AS (SELECT threshold, sum(label) FILTER (score >= threshold) AS tp,
 best AS (SELECT threshold FROM judged WHERE fp / greatest(n, 1) <= 0.05
   ORDER BY 2.0::DOUBLE * tp / (tp + fp + p) DESC, threshold LIMIT 1)"""
 
-BOOT_SQL = f"""{CONN}, idx AS (SELECT rk - 1 AS idx, label, score
-  FROM ({ranked_sql('conn_scored', 42, False)}) q),
-draws AS (SELECT CAST(id // size AS INT) AS rep,
-  {hash_u60_sql(42, 'id // size', 'id % size')} % size AS idx
-  FROM (SELECT unnest(range({REPLICATES} * (SELECT count(*) FROM conn_scored))) AS id,
-    (SELECT count(*) FROM conn_scored) AS size) q),
-drawn AS (SELECT rep, label, score FROM draws JOIN idx USING (idx)),
-{cum_sql('drawn', 'rep', 'bc')}, reps AS ({suite_sql('bc', str(CONN_THRESHOLD), 'rep')}),
-{cum_sql('conn_scored', '', 'ec')}, est AS ({suite_sql('ec', str(CONN_THRESHOLD))})"""
-BOOT_EXPR = {"roc_auc": "roc_auc", "average_precision": "average_precision", "ks": "ks",
-             **{k: RATES_SQL[k] for k in ("precision", "recall", "f1", "fpr")}}
-
 ORACLES = {
     "threshold_table": f"WITH {TABLE} SELECT {R5} FROM tt",
     "choose_threshold": f"""WITH {TABLE} SELECT {R5} FROM tt WHERE fpr <= 0.05
@@ -239,10 +224,6 @@ loss AS (SELECT model, split, {LL_S} AS ll, {BRIER_S} AS br FROM by_split GROUP
 SELECT model, split, {r6('roc_auc', 'roc_auc')}, {r6('average_precision', 'average_precision')},
  {r6('2 * roc_auc - 1', 'gini')}, {r6('ks', 'ks')}, {RATES}, {r6('ll', 'log_loss')},
  {r6('br', 'brier')}, {COUNTS} FROM suite JOIN loss USING (model, split)""",
-    "bootstrap_ci": f"WITH {BOOT_SQL} " + "\nUNION ALL\n".join(
-        f"""SELECT '{m}' AS metric, {r6(f'(SELECT {e} FROM est)', 'estimate')},
- {r6(f'quantile_cont({e}, 0.025)', 'low_95')}, {r6(f'quantile_cont({e}, 0.975)', 'high_95')},
- count(*) AS replicates FROM reps WHERE p > 0 AND n > 0""" for m, e in BOOT_EXPR.items()),
     "attack_type_recall": f"""WITH {CONN} SELECT attack_type, count(*) AS n,
  count(*) FILTER ({PRED} = 1) AS detected, count(*) FILTER ({PRED} = 0) AS missed,
  {r6(f'avg({PRED})', 'recall')} FROM conn_scored WHERE label = 1 GROUP BY 1""",

@@ -42,7 +42,7 @@ def train(df: DataFrame, raw: list[str], kind: str = "iforest", key: str = "row_
         "splits": split_summary(rows),
         "report": MT.evaluate(both, threshold, ["split"], kind != "iforest").withColumn(
             "threshold", F.lit(threshold)),
-        "intervals": bootstrap_ci(scored["test"], key, threshold, iterations, seed,
+        "intervals": bootstrap_ci(scored["test"], threshold, iterations, seed,
                                   kind != "iforest"),
     }
     if folds > 1:
