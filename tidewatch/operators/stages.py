@@ -7,7 +7,7 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.connection import network_features
@@ -97,11 +97,16 @@ class CorrelationSelectorModel(Model, _Columns, _Saved):
         fill = dict(zip(self.numeric_features(), self.getOrDefault(self.medians), strict=True))
         kept, gone = self.selected_features(), set(self.columns()) - set(self.selected_features())
         return df.select(*[
-            F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(fill[c])).alias(c)
+            F.coalesce(present(c), F.lit(fill[c])).alias(c)
             if c in fill and c in kept else F.col(f"`{c}`")
             for c in df.columns if c not in gone])
 
 
+def present(column: str) -> Column:
+    """The value as a double; NaN, which files written from pandas hold, counts as missing."""
+    return F.nanvl(F.col(f"`{column}`").cast("double"), F.lit(None))
+
+
 def _medians(df: DataFrame, cols: list[str]) -> dict[str, float]:
     if not cols:
         return {}
@@ -136,8 +141,8 @@ class PopStandardScaler(Estimator, _Columns, _Saved):
 
     def _fit(self, df: DataFrame) -> "AffineModel":
         cols = self.columns()
-        row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
-                     *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}")
+        row = df.agg(*[F.avg(present(c)).alias(f"m{i}") for i, c in enumerate(cols)],
+                     *[F.stddev_pop(present(c)).alias(f"s{i}")
                        for i, c in enumerate(cols)]).first()
         return AffineModel(
             inputCols=cols, fill=[], center=[row[f"m{i}"] or 0.0 for i in range(len(cols))],
@@ -163,7 +168,7 @@ class ExactRobustScaler(Estimator, _Columns, _Saved):
 
 
 class AffineModel(Model, _Columns, _Saved):
-    """Per-column fill, shift and scale, in place."""
+    """Per-column fill, shift and scale, in place; what is missing and not filled is null."""
 
     fill = Param(Params._dummy(), "fill", "values for missing entries",
                  typeConverter=TypeConverters.toListFloat)
@@ -180,7 +185,7 @@ class AffineModel(Model, _Columns, _Saved):
         fill, center, scale = (self.getOrDefault(p) for p in (self.fill, self.center, self.scale))
         out = {}
         for i, c in enumerate(cols):
-            x = F.col(c).cast("double")
+            x = present(c)
             if fill:
                 x = F.coalesce(x, F.lit(fill[i]))
             if center[i] != 0.0:

@@ -36,6 +36,20 @@ GAPS = f"""{LABELLED}, gaps AS (SELECT row_id, label, protocol_type,
   CASE WHEN row_id % 7 <> 0 THEN CAST(src_bytes AS DOUBLE) END AS src_bytes,
   CASE WHEN row_id % 5 <> 0 THEN CAST(duration AS DOUBLE) END AS duration, serror_rate
   FROM labelled)"""
+NAN_EVERY, NAN_AT = 11, 3  # rows whose bytes a file written from pandas would hold as NaN
+
+
+def with_nans(rows):
+    return rows.withColumn("src_bytes", F.when(
+        F.col("row_id") % NAN_EVERY == NAN_AT, float("nan")).otherwise(F.col("src_bytes").cast("double")))
+
+
+def nans_sql(source: str) -> str:
+    """NaN is no value to either engine's operator, so the twin leaves it out."""
+    return (f"(SELECT * REPLACE (CASE WHEN row_id % {NAN_EVERY} <> {NAN_AT} THEN CAST(src_bytes AS "
+            f"DOUBLE) END AS src_bytes) FROM {source})")
+
+
 GAP_COLS = ["protocol_type", "service", "src_bytes", "duration", "serror_rate"]
 
 
@@ -152,13 +166,13 @@ def q_selector_all(spark, d):
 
 
 def q_impute(spark, d):
-    rows = with_gaps(spark, d)
+    rows = with_nans(with_gaps(spark, d))
     model = ST.MedianImputer(inputCols=["src_bytes", "duration"]).fit(rows.where("label = 0"))
     return rounded(model.transform(rows).select("row_id", "src_bytes", "duration"))
 
 
 def q_standard(spark, d):
-    rows = labelled(spark, d)
+    rows = with_nans(labelled(spark, d))
     model = ST.PopStandardScaler(inputCols=NUMERIC).fit(rows.where("label = 0"))
     return rounded(model.transform(rows).select("row_id", *NUMERIC))
 
@@ -340,12 +354,12 @@ ORACLES = {
  HAVING bool_and(CAST({a} AS VARCHAR) IS NOT DISTINCT FROM CAST({b} AS VARCHAR))"""
         for i, a in enumerate(VECTOR) for b in VECTOR[i + 1:]) + ") q",
     "median_impute": f"""WITH {GAPS} SELECT row_id, """ + ", ".join(r6(
-        f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM gaps WHERE label = 0))", c)
-        for c in ("src_bytes", "duration")) + " FROM gaps",
-    "standard_scale": f"""WITH {LABELLED}, st AS (SELECT """ + ", ".join(
+        f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM {nans_sql('gaps')} q WHERE label = 0))", c)
+        for c in ("src_bytes", "duration")) + f" FROM {nans_sql('gaps')} q",
+    "standard_scale": f"""WITH {LABELLED}, given AS {nans_sql("labelled")}, st AS (SELECT """ + ", ".join(
         f"avg({c}) AS m_{c}, coalesce(nullif(stddev_pop({c}), 0), 1) AS s_{c}" for c in NUMERIC)
-    + " FROM labelled WHERE label = 0) SELECT row_id, " + ", ".join(
-        r6(f"({c} - m_{c}) / s_{c}", c) for c in NUMERIC) + " FROM labelled, st",
+    + " FROM given WHERE label = 0) SELECT row_id, " + ", ".join(
+        r6(f"({c} - m_{c}) / s_{c}", c) for c in NUMERIC) + " FROM given, st",
     "robust_scale": f"""WITH {LABELLED}, st AS (SELECT """ + ", ".join(
         f"""quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m_{c},
  coalesce(nullif(quantile_cont(CAST({c} AS DOUBLE), 0.75) - quantile_cont(CAST({c} AS DOUBLE), 0.25),
