@@ -45,9 +45,9 @@ DEPTH = 5
 END = 0xFF
 FOLDS, HELD_OUT = 10, 0
 #: Rows of a block: their grams are told apart by a number below 2^16 behind a gram of 48 bits.
-BLOCK_ROWS_LOG2 = 12
+BLOCK_ROWS_LOG2 = 13
 #: Bytes whose grams are sorted at once.
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 #: Grams of one model row, cut between contexts of three bytes.
 PIECE = 1_000_000
 GRAMS, WORDS = 0, 1
@@ -70,7 +70,7 @@ def _layout(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     pad = bytes([END]) * DEPTH
     joined = b"".join(part for t in texts for part in (pad, t, pad[:1])) if texts else b""
     sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-    owner = np.repeat(np.arange(len(texts), dtype=np.int64), sizes + DEPTH + 1)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes + DEPTH + 1)
     begin = np.concatenate([[0], np.cumsum(sizes + DEPTH + 1)])[:-1]
     for k in range(DEPTH):
         owner[begin + k] = -1
@@ -574,7 +574,7 @@ def score(docs: DataFrame, hold_out: Column | None = None, buckets: int | None =
 
     def written(df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(spark, name)
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return spark.read.parquet(path)
 
     hold = held_out() if hold_out is None else F.coalesce(hold_out, F.lit(False))
