@@ -78,6 +78,27 @@ def test_digest_contract_and_manifest(spark, tmp_path):
     assert got == {"train": False, "test": False}
 
 
+def test_digests_of_files_of_any_size(spark, tmp_path):
+    """Several pieces, no bytes, and more than a row can hold (a sparse file)."""
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    sizes = {"a.bin": 0, "b.bin": 3 * TB.DIGEST_BYTES + 7, "c.bin": 2**31 + 11}
+    want = {}
+    for name, size in sizes.items():
+        with (folder / name).open("wb") as out:
+            out.write(name.encode() if size else b"")
+            out.truncate(size)
+        state = hashlib.sha256(name.encode() if size else b"")
+        left = size - (len(name) if size else 0)
+        while left > 0:
+            state.update(bytes(min(left, 1 << 24)))
+            left -= 1 << 24
+        want[name] = size, state.hexdigest()
+    got = {r["file"]: (r["bytes"], r["sha256"])
+           for r in TB.file_digests(spark, str(folder)).collect()}
+    assert got == want
+
+
 def write(path, rows):
     path.mkdir(exist_ok=True)
     n = len(list(path.iterdir()))

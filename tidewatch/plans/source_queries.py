@@ -14,6 +14,7 @@ from tidewatch.plans.views import ctes, view
 from tidewatch.session import scratch_path
 from tidewatch.sources import jsonl as J
 from tidewatch.sources import tables as TB
+from tidewatch.sources.tail import tail_jsonl
 from tidewatch.streaming import queries as ST
 
 CONN = S.CONNECTION_COLUMNS
@@ -81,7 +82,7 @@ def q_tolerant(spark, d):
 
 def q_stream(spark, d):
     out = scratch_path(spark, "streamed")
-    stream = J.stream_jsonl(spark, written_log(spark, d, True), S.DNS_LOG_SCHEMA, "dns")
+    stream = tail_jsonl(spark, written_log(spark, d, True), S.DNS_LOG_SCHEMA, "dns")
     ST.run_available(stream.drop("answers"), f"{out}/data", f"{out}/checkpoint")
     return rounded(spark.read.parquet(f"{out}/data"))
 

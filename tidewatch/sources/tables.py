@@ -1,13 +1,17 @@
 """Columnar and delimited sources and sinks for connection records."""
 
+import hashlib
 from collections.abc import Sequence
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tidewatch.schemas import CONNECTION_SCHEMA
+from tidewatch.sources.files import opened
 
 
 def read_connections(spark: SparkSession, path: str, schema: T.StructType = CONNECTION_SCHEMA,
@@ -75,11 +79,38 @@ def audit_manifest(df: DataFrame, manifest: DataFrame, split: str = "split") ->
         "matches", F.col("expected_rows") == F.col("actual_rows"))
 
 
+#: Bytes that a digest reads at once; tasks that hash files, at most.
+DIGEST_BYTES, DIGEST_TASKS = 8 << 20, 10_000
+
+
 def file_digests(spark: SparkSession, glob: str) -> DataFrame:
-    """(file, bytes, sha256) of every file below 2 GB, hashed on the executors."""
-    return spark.read.format("binaryFile").load(glob).select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"),
-        F.sha2("content", 256).alias("sha256"))
+    """(file, bytes, sha256) of every file, of any size.
+
+    Spark lists the files; each is read in pieces by one task, since the digest of a file needs its
+    bytes in order. The files must be open to the executors: a shared mount, or a store that Arrow
+    reads.
+    """
+    paths = [(unquote(f),) for f in spark.read.format("binaryFile").load(glob).inputFiles()]
+
+    def digest(batches):
+        for batch in batches:
+            sizes, digests = [], []
+            for path in batch.column("path").to_pylist():
+                state, size = hashlib.sha256(), 0
+                with opened(path) as source:
+                    while piece := source.read(DIGEST_BYTES):
+                        state.update(piece)
+                        size += len(piece)
+                sizes.append(size)
+                digests.append(state.hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("path"), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())],
+                names=["path", "bytes", "sha256"])
+
+    tasks = max(1, min(len(paths), DIGEST_TASKS))
+    return spark.createDataFrame(paths, "path string").repartition(tasks, "path").mapInArrow(
+        digest, "path string, bytes long, sha256 string").select(
+        F.element_at(F.split("path", "/"), -1).alias("file"), "bytes", "sha256")
 
 
 def verify_digest(spark: SparkSession, glob: str, expected: DataFrame) -> DataFrame:
