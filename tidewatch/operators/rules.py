@@ -315,7 +315,7 @@ GRAM = 3
 #: proportion to the place.
 PIECE = 512
 #: Values that the frequency of grams is estimated on; they decide where a needle waits, no result.
-SAMPLED = 4096
+SAMPLED = 1000
 #: Slots of the probe filter, by the number of probes: one byte each.
 LEAST_SLOTS, MOST_SLOTS = 1 << 10, 1 << 22
 #: Text of a rule book up to which its conditions are broadcast.
@@ -358,8 +358,7 @@ def rule_index(events: DataFrame, cond: DataFrame) -> DataFrame:
     sampled = melt(events.select(*[F.col(f"`{f}`") for f in fields]).limit(SAMPLED), [], fields,
                    "field", "value", cast="string").where(F.col("value").isNotNull())
     seen = sampled.select("field", F.explode(F.array_distinct(_grams(
-        folded(F.col("field"), F.col("value")), GRAM))).alias("gram")).join(
-        F.broadcast(filed.select("field", "gram").distinct()), ["field", "gram"]).groupBy(
+        folded(F.col("field"), F.col("value")), GRAM))).alias("gram")).groupBy(
         "field", "gram").agg(F.count("*").alias("seen"))
     rarest = filed.join(F.broadcast(seen), ["field", "gram"], "left").groupBy(*cond.columns).agg(
         F.min_by("gram", F.struct(F.coalesce("seen", F.lit(0)), "gram")).alias("probe"))
@@ -371,10 +370,11 @@ def match_rules(events: DataFrame, rules: DataFrame, key: str = "seq") -> DataFr
 
     `events` has a column per native field. Text tests become equalities: an event has its whole
     value, its endings of a power of two of characters and its three-letter grams as probes, and a
-    condition waits under one of them (`rule_index`). The probes of the rule book are a filter of
-    fixed size inside the row's own expression, so what no rule waits for is dropped before anything
-    is exploded; what is left looks the conditions up and is verified on the value. The rule book is
-    small beside the events: local SIDs bound it, and its text is measured before it is broadcast.
+    condition waits under one of them (`rule_index`). The probes of the rule book are a literal filter
+    of bounded size, tested by the same generated code that cuts the probes out of the value, so what
+    no rule waits for never leaves the scan's task; what is left looks the conditions up and is
+    verified on the value. The rule book is small beside the events: local SIDs bound it, and its text
+    is measured before it is broadcast.
     """
     # read more than once below
     cond = settle(rule_index(events, rule_conditions(rules)))
@@ -394,39 +394,44 @@ def match_rules(events: DataFrame, rules: DataFrame, key: str = "seq") -> DataFr
         taken[r["slot"]] = 1
     if not wanted:
         return events.select(key).join(cond.select("sid"), F.lit(False))
-    asked_for = F.lit(bytes(taken))
-
-    def offers(field: str, want) -> Column:
-        value = folded(F.lit(field), F.col(f"`{field}`").cast("string"))
-
-        def probes(op: str, texts: Column) -> Column:
-            held = F.filter(texts, lambda t: F.substring(asked_for, _slot(
-                F.lit(field), F.lit(op), t, slots) + 1, 1) == F.lit(b"\x01"))
-            return F.transform(F.array_distinct(held), lambda t: F.struct(
-                F.lit(field).alias("field"), F.lit(op).alias("operator"), t.alias("probe"),
-                value.alias("value")))
-
-        parts = [probes("contains", _grams(value, n)) for n in sorted(want["grams"])]
-        if want["eq"]:
-            parts.append(probes("equals", F.array(value)))
-        if want["ends"]:
-            ends = F.array(*[F.lit(n) for n in sorted(want["ends"])])
-            parts.append(probes("endswith", F.transform(
-                F.filter(ends, lambda n: n <= F.length(value)), lambda n: F.right(value, n))))
-        return F.when(value.isNotNull(), F.concat(*parts))
-
-    none = F.array().cast("array<struct<field:string,operator:string,probe:string,value:string>>")
-    offered = events.select(key, F.concat(*[F.coalesce(offers(f, w), none) for f, w in sorted(
-        wanted.items())]).alias("p")).select(key, F.explode("p").alias("p")).select(key, "p.*")
+    probe, value, size = F.col("probe"), F.col("value"), F.length("value")
+    is_inside, is_end = F.col("operator") == "contains", F.col("operator") == "endswith"
+    tasks = F.lit(None).cast("array<struct<operator:string,length:int>>")
+    for f, want in sorted(wanted.items()):
+        listed = [("contains", n) for n in want["grams"]] + [("endswith", n) for n in want["ends"]]
+        listed += [("equals", -1)] * want["eq"]
+        tasks = F.when(F.col("field") == f, F.array(*[F.struct(
+            F.lit(op).alias("operator"), F.lit(n).alias("length")) for op, n in sorted(listed)])
+        ).otherwise(tasks)
+    named = events.select(key, *[folded(F.lit(f), F.col(f"`{f}`").cast("string")).alias(f)
+                                 for f in sorted(wanted)])
+    asked = melt(named, [key], sorted(wanted), "field", "value", cast=None).where(
+        value.isNotNull()).select(key, "field", "value", F.explode(tasks).alias("t")).select(
+        key, "field", "value", "t.operator", F.when(F.col("t.length") < 0, size).otherwise(
+            F.col("t.length")).alias("n")).where(size >= F.col("n"))
+    # generated code from here to the lookup: a probe is a place in a piece of the value
+    last = size - F.col("n") + 1
+    pieces = asked.select(
+        key, "field", "operator", "value", "n", F.explode(F.when(is_inside, F.sequence(
+            F.lit(1), last, F.lit(PIECE))).otherwise(F.array(last))).alias("from")).withColumn(
+        "piece", F.substring(value, F.col("from"), F.when(
+            is_inside, PIECE - 1).otherwise(0) + F.col("n")))
+    offered = pieces.select(
+        key, "field", "operator", "value", "n", "from", "piece", F.explode(F.sequence(
+            F.lit(1), F.length("piece") - F.col("n") + 1)).alias("i")).select(
+        key, "field", "operator", "value", (F.col("from") + F.col("i") - 1).alias("at"),
+        F.substring("piece", F.col("i"), F.col("n")).alias("probe")).where(
+        F.substring(F.lit(bytes(taken)), _slot(F.col("field"), F.col("operator"), probe, slots) + 1,
+                    1) == F.lit(b"\x01")).where(
+        # a gram counts where it occurs first
+        ~is_inside | (F.instr(value, probe) == F.col("at")) | (probe == "") & (F.col("at") == 1))
     held = F.broadcast(cond) if (total[1] or 0) <= BROADCAST_BYTES else cond
-    value, needle = F.col("value"), F.col("needle")
+    needle = F.col("needle")
     hits = offered.join(held, ["field", "operator", "probe"]).where(
-        F.when(F.col("operator") == "contains", F.contains(value, needle)).when(
-            F.col("operator") == "endswith", F.endswith(value, needle)).otherwise(value == needle))
-    single = hits.where("n_conditions = 1").select(key, "sid")
-    several = hits.where("n_conditions > 1").groupBy(key, "sid", "n_conditions").agg(
-        F.count("*").alias("met")).where("met = n_conditions").select(key, "sid")
-    return single.unionByName(several)
+        F.when(is_inside, F.contains(value, needle)).when(
+            is_end, F.endswith(value, needle)).otherwise(value == needle))
+    return hits.groupBy(key, "sid", "n_conditions").agg(F.count("*").alias("met")).where(
+        "met = n_conditions").select(key, "sid")
 
 
 def native_events(dns: DataFrame, http: DataFrame | None = None, key: str = "seq") -> DataFrame:
