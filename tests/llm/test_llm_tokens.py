@@ -83,10 +83,15 @@ def test_empty_table(odd_documents, ranks, vocabulary, spark):
 
 
 def test_token_files(odd_documents, vocabulary, spark):
+    added = [t.content for t in Tokenizer.from_str(vocabulary).get_added_tokens_decoder().values()]
+    assert added
+    rows = [(200 + i, t, 7) for i, t in enumerate([
+        f"x{added[0]}y", f"{added[0]} ", f"a {added[0]}{added[0]}b's", added[0][:-1], added[0].upper()])]
+    odd_documents = odd_documents.select("doc_id", "text", "leaf").unionByName(
+        spark.createDataFrame(rows, "doc_id long, text string, leaf int"))
     path = scratch_path(spark, "tokens")
     token_files.write_tokens(odd_documents, path, vocabulary)
     tokenizer = Tokenizer.from_str(vocabulary)
-    tokenizer.encode_special_tokens = True
     rows = sorted(odd_documents.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
     got = sorted(token_files.read_tokens(spark, path).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in got] == [r.doc_id for r in rows]
@@ -114,7 +119,6 @@ def test_registered_queries_against_the_libraries(spark, ranks, vocabulary):
         assert g.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert g.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
     tokenizer = Tokenizer.from_str(vocabulary)
-    tokenizer.encode_special_tokens = True
     files = {r.doc_id: r for r in queries.QUERIES["op5_token_files"](spark, SF).collect()}
     start = 0
     for r in docs:

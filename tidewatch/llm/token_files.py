@@ -25,11 +25,11 @@ from pyspark.sql import Window as W
 
 from tidewatch.llm.pretokens import split_block, text_blocks
 
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 4_000_000
 STRIPE_BYTES = 16 << 20
 INDEX_STRIDE = 1_000
 #: Words whose ids a worker remembers; beyond it they are encoded again, with the same ids.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
 SCHEMA = "doc_id long, file_start long, n_tokens long, ids array<int>"
 
 
@@ -45,7 +45,10 @@ def byte_letters() -> np.ndarray:
 
 
 class WordEncoder:
-    """Ids of pre-tokens by the library's BPE model, so special tokens' strings are plain text.
+    """Ids of pre-tokens by the library's BPE model.
+
+    A text that holds one of the vocabulary's added tokens goes to the library whole, which cuts
+    these tokens out before anything else.
 
     Recent words are remembered in two generations: a word that is met again moves to the younger
     one, and the older one is forgotten when the younger is full.
@@ -54,11 +57,19 @@ class WordEncoder:
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_str(vocabulary).model
+        self.library = Tokenizer.from_str(vocabulary)
+        self.model = self.library.model
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def has_added(self, text: str) -> bool:
+        return any(t in text for t in self.added)
+
+    def whole(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
+
     def encode(self, words: list[str]) -> list[bytes]:
         """Ids of each word, four bytes an id."""
         young, old, tokenize = self.young, self.old, self.model.tokenize
@@ -97,6 +108,17 @@ def encode_block(encoder: WordEncoder, texts: list[str],
     The pre-tokens are those of the tokenizer's own byte-level pre-tokenizer, so distinct ones are
     encoded in place of whole texts.
     """
+    apart = [i for i, t in enumerate(texts) if encoder.has_added(t)]
+    if apart:
+        parts, begin = [], 0
+        for i in [*apart, len(texts)]:
+            if begin < i:
+                parts.append(encode_block(encoder, texts[begin:i], end_id))
+            if i < len(texts):
+                ids = np.array([*encoder.whole(texts[i]), end_id], dtype=np.int32)
+                parts.append((ids, np.array([len(ids)])))
+            begin = i + 1
+        return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
     tokens, counts = split_block(texts)
     coded = tokens.dictionary_encode()
     lists = encoder.encode(coded.dictionary.to_pylist())
@@ -137,6 +159,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2) -
         parts, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     (ordered.mapInArrow(encode, SCHEMA).write.option("compression", "zlib")
      .option("orc.stripe.size", STRIPE_BYTES).option("orc.row.index.stride", INDEX_STRIDE)
+     .option("maxRecordsPerFile", 0)  # a task's positions are those of its one file
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", 0.01).orc(path))
 
 
