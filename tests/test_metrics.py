@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +67,42 @@ def test_bootstrap_is_seeded_and_brackets_the_estimate(spark):
         B.resample(df.limit(0), 3)
 
 
+def every_order(p, n):
+    """How often each D occurs over all orders of both samples."""
+    import itertools
+    out = []
+    for places in itertools.combinations(range(p + n), p):
+        i = np.cumsum(np.isin(np.arange(p + n), places))
+        out.append(np.abs(i / p - (np.arange(1, p + n + 1) - i) / n).max())
+    return np.array(out)
+
+
+@pytest.mark.parametrize(("p", "n"), [(1, 1), (3, 3), (4, 6), (5, 3), (7, 2), (6, 6)])
+def test_exact_ks_counts_orders(p, n):
+    ds = every_order(p, n)
+    for d in np.unique(np.round(ds, 12)):
+        assert M.ks_exact(d, p, n) == pytest.approx((ds >= d - 1e-9).mean(), rel=1e-12)
+    assert M.ks_exact(0.0, p, n) == 1.0
+
+
+def test_exact_ks_by_sample_size(spark):
+    """Small samples are counted, down to very small values; large ones follow the series."""
+    separate = frame(spark, np.repeat([0, 1], 200), np.arange(400.0))
+    got = M.evaluate(separate, 0.5).first()
+    assert got["ks"] == 1.0
+    # two of all orders separate the samples
+    assert got["ks_pvalue"] == pytest.approx(2 / math.comb(400, 200), rel=1e-9)
+    ks, p, n = 0.02, 9_000, 8_000
+    lam = ks * math.sqrt(p * n / (p + n))
+    series = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 101))
+    assert M.ks_exact(round(ks * 72_000) / 72_000, p, n) == pytest.approx(series, rel=0.05)
+    row = spark.createDataFrame([(0.02, 20_000, 8_000)], "ks double, p long, n long").select(
+        M.ks_pvalue(F.col("ks"), F.col("p"), F.col("n")).alias("v")).first()
+    lam = 0.02 * math.sqrt(20_000 * 8_000 / 28_000)
+    assert row["v"] == pytest.approx(2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam)
+                                             for k in range(1, 101)))
+
+
 def test_cell_counts_are_multinomial(spark):
     """Means, deviations and dependence of the drawn counts, for cells of very different size."""
     sizes = [3000, 500, 40, 8, 1, 1]

@@ -1,17 +1,20 @@
-"""Additive attributions of linear and forest scores."""
+"""Additive attributions of linear models, forests and boosted trees."""
 
 import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators.clean import seeded_sample
 from tidewatch.operators.iforest import IsolationForestModel, expected_path
 from tidewatch.operators.ranking import melt
+from tidewatch.session import scratch_path
 
 
 def linear_attribution(df: DataFrame, weights: dict[str, float], background: DataFrame,
@@ -32,8 +35,36 @@ def background_rows(df: DataFrame, key: str = "row_id", n: int = 100, seed=42) -
     return seeded_sample(df, n, key, seed)
 
 
+def fitted_linear_attribution(model: LogisticRegressionModel, df: DataFrame, background: DataFrame,
+                              names: Sequence[str], key: str = "row_id") -> DataFrame:
+    """(key, feature, attribution, base) of a fitted model's margin, one row per slot of its vector.
+
+    `df` and `background` hold the assembled vector; `names` are its slots. Base plus attributions
+    is the margin of a row.
+    """
+    column = model.getFeaturesCol()
+    weights = model.coefficients.toArray()
+    if len(names) != len(weights):
+        raise ValueError(f"{len(names)} names for {len(weights)} slots")
+    means = background.agg(Summarizer.mean(F.col(column)).alias("m")).first()["m"]
+    mean = means.toArray() if means is not None else np.zeros(len(weights))
+    base = float(model.intercept + weights @ mean)
+    slots = F.arrays_zip(
+        F.array(*map(F.lit, names)).alias("feature"), vector_to_array(column).alias("x"),
+        F.array(*map(F.lit, weights.tolist())).alias("w"), F.array(*map(F.lit, mean.tolist())).alias("m"))
+    part = F.col("s.w") * (F.col("s.x") - F.col("s.m"))
+    return df.select(key, F.explode(slots).alias("s")).select(
+        key, F.col("s.feature").alias("feature"), part.alias("attribution"),
+        F.lit(base).alias("base"))
+
+
 def leaf_paths(nodes: pd.DataFrame):
-    """Per leaf: value, and per feature on its path the interval and the share of samples kept."""
+    """Per leaf: value, and per feature on its path the test it must pass and the share of samples
+    kept. A test is an interval (low, high] or, for a categorical feature, a set of categories.
+
+    `nodes` has tree, node, left, right, feature, threshold, n, value, and optionally `categories`,
+    the ones that go left, with `size`, how many there are. A leaf is its own left child.
+    """
     leaves = []
     for _, tree in nodes.groupby("tree", sort=True):
         at = tree.set_index("node").to_dict("index")
@@ -42,18 +73,25 @@ def leaf_paths(nodes: pd.DataFrame):
             node, path = todo.pop()
             row = at[node]
             if row["left"] == node:
-                leaves.append((row["depth"] + float(expected_path(row["n"])), path))
+                leaves.append((row["value"], path))
                 continue
-            f, cut = int(row["feature"]), row["threshold"]
-            lo, hi, share = path.get(f, (-np.inf, np.inf, 1.0))
-            for child, box in ((row["left"], (lo, min(hi, cut))), (row["right"], (max(lo, cut), hi))):
+            f = int(row["feature"])
+            go_left = row.get("categories")
+            if go_left is not None:
+                known, share = path.get(f, (frozenset(range(int(row["size"]))), 1.0))
+                parts = (known & go_left, known - go_left)
+            else:
+                (lo, hi), share = path.get(f, ((-np.inf, np.inf), 1.0))
+                cut = row["threshold"]
+                parts = ((lo, min(hi, cut)), (max(lo, cut), hi))
+            for child, test in zip((row["left"], row["right"]), parts, strict=True):
                 keep = share * at[child]["n"] / row["n"]
-                todo.append((int(child), {**path, f: (*box, keep)}))
+                todo.append((int(child), {**path, f: (test, keep)}))
     return leaves
 
 
 class PathAttribution:
-    """Path-dependent Shapley values of the mean path length.
+    """Path-dependent Shapley values of a sum of trees.
 
     A leaf counts with the product over its features of "row inside" or "sample share"; the
     Shapley sum of such a product is a weighted sum of polynomial coefficients.
@@ -61,7 +99,6 @@ class PathAttribution:
 
     def __init__(self, nodes: pd.DataFrame, width: int):
         leaves = leaf_paths(nodes)
-        self.trees = nodes["tree"].nunique()
         self.width = width
         d = max([len(p) for _, p in leaves] + [1])
         # unused slots belong to a player that changes nothing
@@ -69,23 +106,47 @@ class PathAttribution:
         self.lo = np.full((len(leaves), d), -np.inf)
         self.hi = np.full((len(leaves), d), np.inf)
         self.share = np.ones((len(leaves), d))
-        self.value = np.array([v for v, _ in leaves]) / self.trees
+        self.value = np.array([v for v, _ in leaves], dtype=float)
+        sets: dict[frozenset, int] = {}
+        self.listed = np.full((len(leaves), d), -1)  # which set of categories, if any
         for i, (_, path) in enumerate(leaves):
-            for j, (f, (lo, hi, share)) in enumerate(path.items()):
-                self.feature[i, j], self.lo[i, j], self.hi[i, j] = f, lo, hi
-                self.share[i, j] = share
+            for j, (f, (test, share)) in enumerate(path.items()):
+                self.feature[i, j], self.share[i, j] = f, share
+                if isinstance(test, frozenset):
+                    self.listed[i, j] = sets.setdefault(test, len(sets))
+                else:
+                    self.lo[i, j], self.hi[i, j] = test
+        most = max([max(s, default=0) for s in sets] + [0]) + 1
+        # the last category stands for all that no set holds
+        self.sets = np.zeros((max(len(sets), 1), most + 1), dtype=bool)
+        for s, i in sets.items():
+            self.sets[i, sorted(s)] = True
         self.base = float((self.value * self.share.prod(axis=1)).sum())
         self.weight = [math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d)
                        for k in range(d)]
 
+    def inside(self, rows: np.ndarray) -> np.ndarray:
+        """rows x leaves x slots: whether the row passes the leaf's test."""
+        value = rows[:, self.feature]
+        out = (value > self.lo) & (value <= self.hi)
+        leaf, slot = np.nonzero(self.listed >= 0)
+        if len(leaf):
+            category = np.clip(value[:, leaf, slot], 0, self.sets.shape[1] - 1).astype(np.int64)
+            out[:, leaf, slot] = self.sets[self.listed[leaf, slot], category]
+        return out
+
+    def margin(self, x: np.ndarray, chunk: int = 64) -> np.ndarray:
+        """The value of the trees themselves: that of the one leaf a row lies in, per tree."""
+        return np.concatenate([self.inside(x[i:i + chunk]).all(axis=2) @ self.value
+                               for i in range(0, len(x), chunk)]) if len(x) else np.zeros(0)
+
     def explain(self, x: np.ndarray, chunk: int = 16) -> np.ndarray:
         """Attribution per row and feature; `chunk` rows times all leaves are held at once."""
         d = self.feature.shape[1]
         out = np.zeros((len(x), self.width))
         for start in range(0, len(x), chunk):
             rows = x[start:start + chunk]
-            value = rows[:, self.feature]
-            inside = (value > self.lo) & (value <= self.hi)
+            inside = self.inside(rows)
             poly = np.zeros((d + 1, *inside.shape[:2]))
             poly[0] = 1.0
             for j in range(d):
@@ -106,32 +167,69 @@ class PathAttribution:
         return out
 
 
-def tree_attribution(model: IsolationForestModel, df: DataFrame, names: Sequence[str],
-                     key: str = "row_id") -> DataFrame:
-    """(key, feature, attribution, base, path_length) of the mean path length per row."""
-    features = model.getOrDefault(model.featuresCol)
-    names = list(names)
-    shared = df.sparkSession.sparkContext.broadcast((
-        PathAttribution(model.nodes, len(names)), model.forest()))
+def _explained(df: DataFrame, attribution: PathAttribution, names: list[str], features: str,
+               key: str, total: str) -> DataFrame:
+    """(key, feature, attribution, base, total) by Arrow batches; the trees go out once."""
+    shared = df.sparkSession.sparkContext.broadcast(attribution)
     kind = dict(df.dtypes)[key]
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        attribution, forest = shared.value
         for pdf in batches:
             if not len(pdf):
                 continue
             x = np.stack(pdf["x"].to_numpy())
-            values = attribution.explain(x)
             yield pd.DataFrame({
                 key: np.repeat(pdf[key].to_numpy(), len(names)),
-                "feature": np.tile(names, len(pdf)), "attribution": values.ravel(),
-                "base": attribution.base,
-                "path_length": np.repeat(forest.mean_path(x), len(names))})
-
-    rows = df.select(key, vector_to_array(features).alias("x"))
-    return rows.mapInPandas(
-        explain, f"{key} {kind}, feature string, attribution double, base double, "
-                 "path_length double")
+                "feature": np.tile(names, len(pdf)),
+                "attribution": shared.value.explain(x).ravel(), "base": shared.value.base,
+                total: np.repeat(shared.value.margin(x), len(names))})
+
+    return df.select(key, vector_to_array(features).alias("x")).mapInPandas(
+        explain, f"{key} {kind}, feature string, attribution double, base double, {total} double")
+
+
+def boosted_nodes(model: GBTClassificationModel) -> pd.DataFrame:
+    """The node table of boosted trees; a leaf's value is its share of the margin.
+
+    It is read from the model's saved form, in the shared scratch folder; its size depends on the
+    number of trees and their depth only.
+    """
+    spark = SparkSession.active()
+    path = scratch_path(spark, "boosted")
+    model.write().save(path)
+    n = F.col("nodeData")
+    rows = spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), n["id"].alias("node"), n["leftChild"].alias("left"),
+        n["rightChild"].alias("right"), n["split"]["featureIndex"].alias("feature"),
+        n["split"]["leftCategoriesOrThreshold"].alias("test"), n["split"]["numCategories"].alias("size"),
+        n["rawCount"].cast("double").alias("n"), n["prediction"].alias("value")).toPandas()
+    leaf = rows["left"] < 0
+    rows.loc[leaf, ["left", "right"]] = rows.loc[leaf, "node"]
+    listed = ~leaf & (rows["size"] >= 0)
+    rows["threshold"] = [t[0] if len(t) and not c else np.nan
+                         for t, c in zip(rows["test"], listed, strict=True)]
+    rows["categories"] = pd.Series([frozenset(map(int, t)) if c else None for t, c in zip(
+        rows["test"], listed, strict=True)], dtype=object)
+    rows["value"] *= np.array(model.treeWeights)[rows["tree"]]
+    return rows.drop(columns="test")
+
+
+def boosted_attribution(model: GBTClassificationModel, df: DataFrame, names: Sequence[str],
+                        key: str = "row_id") -> DataFrame:
+    """(key, feature, attribution, base, margin) of boosted trees, in margin space."""
+    names = list(names)
+    return _explained(df, PathAttribution(boosted_nodes(model), len(names)), names,
+                      model.getFeaturesCol(), key, "margin")
+
+
+def tree_attribution(model: IsolationForestModel, df: DataFrame, names: Sequence[str],
+                     key: str = "row_id") -> DataFrame:
+    """(key, feature, attribution, base, path_length) of the mean path length per row."""
+    names = list(names)
+    nodes = model.nodes.assign(value=(model.nodes["depth"] + expected_path(model.nodes["n"]))
+                               / model.nodes["tree"].nunique())
+    return _explained(df, PathAttribution(nodes, len(names)), names,
+                      model.getOrDefault(model.featuresCol), key, "path_length")
 
 
 def importance(attributions: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ never sorted.
 import math
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ def score_cells(scored: DataFrame, by: Sequence[str] = (), label: str = "label",
 
 @F.pandas_udf(T.DoubleType())
 def next_float(x: pd.Series) -> pd.Series:
-    return x.map(lambda v: math.nextafter(v, math.inf))
+    return pd.Series(np.nextafter(x.to_numpy(dtype=float), math.inf))
 
 
 def _f1(precision: Column, recall: Column, floor: float) -> Column:
@@ -148,14 +149,61 @@ def row_normalised(confusion: DataFrame) -> DataFrame:
         F.try_divide("fn", attack).alias("fn_share"), F.try_divide("tp", attack).alias("tp_share"))
 
 
-def ks_pvalue(ks: Column, p: Column, n: Column) -> Column:
-    """Asymptotic two-sample p-value: the Kolmogorov series."""
+#: Sample sizes up to which the distribution of the KS statistic is counted, not approximated.
+EXACT_KS = 10_000
+
+
+def ks_exact(ks: float, p: int, n: int) -> float:
+    """P(D >= ks) for two samples of one continuous distribution, by lattice paths.
+
+    An order of both samples is a path from (0, 0) to (p, n), all of them alike; D is the largest
+    |i / p - j / n| on it. Walking back from the end, the last step of a path to (i, j) came from
+    (i - 1, j) with probability i / (i + j), so the share of paths that have met the bound so far
+    follows along the diagonals i + j, without differences of large numbers.
+    """
+    if p == 0 or n == 0:
+        return math.nan
+    unit = math.lcm(p, n)
+    bound = round(ks * unit)
+    if bound <= 0:
+        return 1.0
+    i = np.arange(p + 1)
+    met = np.zeros(p + 1)
+    for total in range(1, p + n + 1):
+        low, high = max(0, total - n), min(p, total)
+        at = i[low:high + 1]
+        share = np.zeros(p + 1)
+        from_left = at[at > 0]
+        share[from_left] = met[from_left - 1] * (from_left / total)
+        share[low:high + 1] += met[low:high + 1] * ((total - at) / total)
+        outside = np.abs(at * (unit // p) - (total - at) * (unit // n)) >= bound
+        share[at[outside]] = 1.0
+        met = share
+    return float(met[p])
+
+
+@F.pandas_udf(T.DoubleType())
+def _ks_exact(ks: pd.Series, p: pd.Series, n: pd.Series) -> pd.Series:
+    return pd.Series([ks_exact(*x) if pd.notna(x[0]) else math.nan
+                      for x in zip(ks, p.astype(int), n.astype(int), strict=True)], dtype=float)
+
+
+def ks_pvalue(ks: Column, p: Column, n: Column, exact: bool = True) -> Column:
+    """Two-sample p-value: counted if neither sample has more than `EXACT_KS` rows, else the
+    Kolmogorov series. The statistic is that of one row per group, so few values are counted."""
     lam = ks * F.sqrt(p * n / (p + n))
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
         lambda s, k: s + F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * k * k * lam * lam))
-    return F.when(lam < 0.2, F.lit(1.0)).otherwise(
+    limit = F.when(lam < 0.2, F.lit(1.0)).otherwise(
         F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
+    if not exact:
+        return limit
+    few = (F.greatest(p, n) <= EXACT_KS) & ks.isNotNull()
+    # the counting sees only the rows that need it: the others are passed as a path of one step
+    counted = _ks_exact(F.when(few, ks).otherwise(0.0), F.when(few, p).otherwise(1),
+                        F.when(few, n).otherwise(1))
+    return F.when(few, counted).otherwise(limit)
 
 
 def evaluate(scored: DataFrame, threshold, by: Sequence[str] = (), probabilities: bool = False,

@@ -2,7 +2,6 @@
 
 from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from tidewatch import schemas as S
@@ -11,7 +10,7 @@ from tidewatch.operators import evidence as E
 from tidewatch.operators import models as M
 from tidewatch.operators.clean import clean_vectors, label_connections, stratified_kfold
 from tidewatch.operators.clean import seeded_sample
-from tidewatch.operators.iforest import IsolationForest, score_boxes
+from tidewatch.operators.iforest import score_boxes
 from tidewatch.operators.metrics import evaluate
 from tidewatch.plans.common import cum_sql, r6, rounded, suite_sql
 from tidewatch.plans.data_queries import ranked_sql
@@ -20,9 +19,9 @@ from tidewatch.plans.training import train
 from tidewatch.plans.views import ctes, view
 from tidewatch.session import scratch_path
 
+# columns of the fixed linear scorer's rows; every fitted model takes the whole contract
 RAW = ["duration", "protocol_type", "service", "flag", "src_bytes", "dst_bytes", "count",
        "srv_count", "serror_rate", "same_srv_rate", "num_outbound_cmds"]
-NUMERIC = ["duration", "src_bytes", "dst_bytes", "count", "serror_rate"]
 THRESHOLD = 0.35
 EXPLAINED = 200  # rows explained
 REPORT_REPLICATES = 500
@@ -40,21 +39,18 @@ def rows41(spark, d):
     return label_connections(view(spark, d, "conn41"))
 
 
-def vectors(df):
-    return VectorAssembler(inputCols=NUMERIC, outputCol="features").transform(df)
-
-
-def forest(spark, d, trees=100):
-    return IsolationForest(numTrees=trees).fit(vectors(rows(spark, d)).where("label = 0"))
+def fit_rows(spark, d):
+    """Clean rows with all 41 columns of the contract."""
+    return clean_vectors(rows41(spark, d), S.RAW_FEATURES, "row_id")
 
 
 def q_iforest_fit(spark, d):
-    return forest(spark, d, 300).node_table(spark)
+    return fitted(spark, d, "iforest")[1].stages[-1].node_table(spark)
 
 
 def q_iforest_score(spark, d):
-    data = vectors(rows(spark, d))
-    return forest(spark, d, 300).transform(data).select("row_id", "label", "score")
+    data, model = fitted(spark, d, "iforest")
+    return M.score_with(model, data, "iforest").select("row_id", "label", "score")
 
 
 BOXES = [  # tree, leaf, feature, lo, hi, depth, n: three small trees
@@ -76,9 +72,8 @@ def q_boxes(spark, d):
 
 
 def fitted(spark, d, kind, **options):
-    data = rows(spark, d)
-    model = M.DetectionPipeline(kind=kind, inputCols=RAW, **options).fit(data)
-    return data, model
+    data = fit_rows(spark, d)
+    return data, M.DetectionPipeline(kind=kind, inputCols=S.RAW_FEATURES, **options).fit(data)
 
 
 def q_logreg(spark, d):
@@ -127,7 +122,7 @@ def q_summary(spark, d):
 
 
 def q_cv(spark, d):
-    return rounded(M.cross_validate(rows(spark, d), "iforest", 5, inputCols=RAW))
+    return rounded(M.cross_validate(fit_rows(spark, d), "iforest", 5, inputCols=S.RAW_FEATURES))
 
 
 def q_cv_summary(spark, d):
@@ -139,7 +134,7 @@ def q_cv_summary(spark, d):
 def q_save_load(spark, d):
     """Largest score difference and differing predictions between a model and its reload."""
     data, model = fitted(spark, d, "iforest")
-    bundle = M.ModelBundle(model, "iforest", 0.05, RAW, {"rows": "normal only"})
+    bundle = M.ModelBundle(model, "iforest", 0.05, list(S.RAW_FEATURES), {"rows": "normal only"})
     path = scratch_path(spark, "bundle")
     bundle.save(path)
     again = M.ModelBundle.load(spark, path)
@@ -153,7 +148,7 @@ def q_save_load(spark, d):
 
 def q_train(spark, d):
     """All tables of a report in long form: (part, item, metric, value)."""
-    result = train(rows(spark, d), RAW, iterations=REPORT_REPLICATES, rows_explained=EXPLAINED)
+    result = train(fit_rows(spark, d), list(S.RAW_FEATURES), iterations=REPORT_REPLICATES, rows_explained=EXPLAINED)
     parts = []
     for part, item, frame in (
             ("splits", F.col("split"), result["splits"]), ("report", F.col("split"), result["report"]),
@@ -184,9 +179,9 @@ def q_linear(spark, d):
 
 
 def q_tree(spark, d):
-    data = vectors(rows(spark, d))
-    sample = seeded_sample(data, EXPLAINED, "row_id").repartition(8)
-    return A.tree_attribution(forest(spark, d, 300), sample, NUMERIC)
+    data, model = fitted(spark, d, "iforest")
+    sample = model.transform(seeded_sample(data, EXPLAINED, "row_id").repartition(8))
+    return A.tree_attribution(model.stages[-1], sample, M.output_names(sample))
 
 
 def q_importance(spark, d):
