@@ -21,10 +21,8 @@ def write(path, rows):
 
 @pytest.fixture
 def timers(spark):
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    SA.use_timers(spark)
-    yield spark
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    with SA.timers(spark):
+        yield spark
 
 
 def run(spark, tmp_path, portions, make):

@@ -8,14 +8,16 @@ from tidewatch.operators import windows as WN
 from tidewatch.operators.clean import split_summary
 from tidewatch.plans.common import r6, rounded
 from tidewatch.plans.data_queries import SPLIT, SUMMARY_SQL, split_rows
+from tidewatch.operators.matching import match_events
 from tidewatch.plans.telemetry_queries import (
-    LIVE, MATCHED, WINDOW, WINDOW_COLS, live_sql, windows_sql)
+    LIVE, MATCHED, RUNNING, WINDOW, WINDOW_COLS, live_sql, windows_sql)
 from tidewatch.plans.views import ctes, view
 from tidewatch.session import scratch_path
 from tidewatch.sources import jsonl as J
 from tidewatch.sources import tables as TB
 from tidewatch.sources.tail import tail_jsonl
 from tidewatch.streaming import queries as ST
+from tidewatch.streaming.alerts import rate_alert_stream, silence_stream, timers
 
 CONN = S.CONNECTION_COLUMNS
 
@@ -183,6 +185,45 @@ def q_match_stream(spark, d):
     return rounded(spark.read.parquet(f"{out}/data"))
 
 
+ALERT_DELAY = 5
+
+
+def prediction_stream(spark, d):
+    path = scratch_path(spark, "predictions")
+    J.write_jsonl(view(spark, d, "predictions"), path)
+    return J.stream_jsonl(spark, path, S.PREDICTION_SCHEMA)
+
+
+def q_silence_stream(spark, d):
+    out = scratch_path(spark, "silence")
+    with timers(spark):
+        ST.run_available(silence_stream(prediction_stream(spark, d), "source", 60, 60, ALERT_DELAY),
+                         f"{out}/data", f"{out}/checkpoint")
+    return rounded(spark.read.parquet(f"{out}/data"))
+
+
+def q_rate_stream(spark, d):
+    out = scratch_path(spark, "rate")
+    with timers(spark):
+        ST.run_available(rate_alert_stream(prediction_stream(spark, d), "source", 3600, 300, 0.5, 900,
+                                           ALERT_DELAY), f"{out}/data", f"{out}/checkpoint")
+    return rounded(spark.read.parquet(f"{out}/data"))
+
+
+def q_confusion_stream(spark, d):
+    """The counters after the last trigger; matched pairs arrive as files."""
+    matched = match_events(view(spark, d, "truth"), view(spark, d, "predictions"))
+    base = scratch_path(spark, "confusion")
+    matched.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(matched.schema).parquet(f"{base}/in")
+    query = (ST.confusion_stream(stream).writeStream.outputMode("complete")
+             .option("checkpointLocation", f"{base}/checkpoint")
+             .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{base}/out"))
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return rounded(spark.read.parquet(f"{base}/out"))
+
+
 def q_detect(spark, d):
     """A forest fitted on batch features of the first half scores the whole stream."""
     logs = WN.merge_sources(view(spark, d, "dns_log"), view(spark, d, "http_log"), ["orig_p"])
@@ -218,6 +259,9 @@ QUERIES = {
     "dns_windows_stream": q_window_stream,
     "truth_prediction_stream": q_match_stream,
     "detect_stream": q_detect,
+    "alert_silence_stream": q_silence_stream,
+    "alert_rate_stream": q_rate_stream,
+    "confusion_stream": q_confusion_stream,
 }
 
 LOG = f"""WITH {ctes('dns_log')} SELECT seq, {r6('ts', 'ts')}, orig_h, orig_p, qtype_name, query,
@@ -261,4 +305,28 @@ ORACLES = {
  (SELECT max(ts) FROM dns_log WHERE qtype_name = 'A') - {DELAY}""",
     "truth_prediction_stream": f"""WITH {MATCHED} SELECT event_id, t, label, prediction,
  {r6('ts', 'ts')} FROM matched""",
+    # what the watermark has passed by the end of the log
+    "alert_silence_stream": f"""WITH {ctes('predictions')}, w AS (SELECT max(ts) - {ALERT_DELAY} AS w
+ FROM predictions), g AS (SELECT source, ts, lead(ts) OVER (PARTITION BY source ORDER BY ts) AS nxt
+ FROM predictions)
+SELECT source, {r6('ts', 'silent_from')}, {r6('ts + 120', 'fired_at')}, NULL::DOUBLE AS silent_until
+ FROM g, w WHERE (nxt IS NULL OR nxt - ts > 120) AND w > ts + 120
+UNION ALL SELECT source, {r6('ts', 'silent_from')}, {r6('ts + 120', 'fired_at')},
+ {r6('nxt', 'silent_until')} FROM g, w WHERE nxt - ts > 120 AND nxt <= w""",
+    "alert_rate_stream": f"""WITH {ctes('predictions')}, w AS (SELECT max(ts) - {ALERT_DELAY} AS w
+ FROM predictions), b AS (SELECT source, CAST(floor(ts / 300) AS BIGINT) AS b, prediction
+ FROM predictions), s AS (SELECT source, b + k AS s, count(*) AS n, sum(prediction) AS a
+ FROM b, (SELECT unnest(range(1, 13)) AS k) g GROUP BY 1, 2),
+hot AS (SELECT source, s, a / n AS share,
+ s - row_number() OVER (PARTITION BY source ORDER BY s) AS run FROM s, w
+ WHERE a / n > 0.5 AND s * 300 <= w),
+runs AS (SELECT source, min(s) * 300.0 AS lo, max(s) * 300.0 AS hi, max(share) AS peak FROM hot
+ GROUP BY source, run HAVING (max(s) - min(s)) * 300 >= 900)
+SELECT source, {r6('lo', 'started_at')}, {r6('lo + 900', 'fired_at')}, NULL::DOUBLE AS ended_at,
+ NULL::DOUBLE AS peak_share FROM runs
+UNION ALL SELECT source, {r6('lo', 'started_at')}, {r6('lo + 900', 'fired_at')},
+ {r6('hi', 'ended_at')}, {r6('peak', 'peak_share')} FROM runs, w WHERE hi + 300 <= w""",
+    "confusion_stream": f"""WITH {RUNNING} SELECT tp, fp, fn, tn, {r6('precision', 'precision')},
+ {r6('recall', 'recall')}, {r6('f1', 'f1')}, {r6('fpr', 'fpr')} FROM running
+ ORDER BY t DESC LIMIT 1""",
 }

@@ -3,13 +3,14 @@
 The state of a key is a few numbers and the event times that the watermark hasn't passed yet, reduced
 to the first and last of each second. Event-time timers wake a key up, so an alert fires although
 nothing arrives for it; what fires is settled, because no event before the watermark comes any more.
-Both operators need the RocksDB state store, which `use_timers` sets for the session.
+Both operators need the RocksDB state store: start their queries inside `timers`.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -22,10 +23,16 @@ from tidewatch.streaming.queries import event_time, micros
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def use_timers(spark: SparkSession) -> SparkSession:
-    """State with timers exists for this state store only."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
-    return spark
+@contextmanager
+def timers(spark: SparkSession) -> Iterator[SparkSession]:
+    """State with timers exists for this state store only; queries started inside use it."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, PROVIDER)
+    try:
+        yield spark
+    finally:
+        spark.conf.set(name, before)
 
 
 class _Timed(StatefulProcessor):
