@@ -63,7 +63,7 @@ def test_bootstrap_is_seeded_and_brackets_the_estimate(spark):
     assert a == b and a["low_95"] < a["estimate"] < a["high_95"] and a["replicates"] == 30
     weights = B.resample(df, 3).groupBy("rep").agg(F.sum("w").alias("n")).collect()
     assert [r["n"] for r in weights] == [200] * 3
-    with pytest.raises(ValueError, match="Nothing to resample"):
+    with pytest.raises(ValueError, match="no rows to draw from"):
         B.resample(df.limit(0), 3)
 
 

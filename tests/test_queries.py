@@ -56,10 +56,75 @@ def test_file_digests(spark):
     assert all(len(r["actual"]) == 64 and r["matches"] == (r["actual"] == r["expected"]) for r in rows)
 
 
-@pytest.mark.parametrize("name", ["pca_projection", "column_routing",
-                                  "iforest_score", "window_anomaly_rank"])
-def test_rows_only(spark, name):
-    assert not entry.queries()[name](spark, SF).isEmpty()
+def test_pca_equals_numpy(spark):
+    import numpy as np
+    from tidewatch.plans.data_queries import clean_rows
+    cols = ["src_bytes", "dst_bytes", "duration", "conn_count", "serror_rate"]
+    pdf = clean_rows(spark, SF).select("row_id", "label", *cols).toPandas()
+    x = pdf[cols].to_numpy(dtype=float)
+    normal = (pdf["label"] == 0).to_numpy()
+    spread = x[normal].std(axis=0)
+    x = (x - x[normal].mean(axis=0)) / np.where(spread > 0, spread, 1)
+    centre = x[normal].mean(axis=0)
+    _, size, axes = np.linalg.svd(x[normal] - centre, full_matrices=False)
+    axes = axes[:2] * np.sign([a[np.abs(a).argmax()] for a in axes[:2]])[:, None]
+    want = dict(zip(pdf["row_id"], (x - centre) @ axes.T, strict=True))
+    share = size**2 / (size**2).sum()
+    rows = rows_of(spark, "pca_projection")
+    assert len(rows) == len(want)
+    for r in rows:
+        assert (r["pc1"], r["pc2"]) == pytest.approx(tuple(want[r["row_id"]]), abs=2e-6)
+        assert (r["pc1_ratio"], r["pc2_ratio"]) == pytest.approx(tuple(share[:2]), abs=2e-6)
+
+
+def test_routing_follows_the_schema(spark):
+    from tidewatch import schemas as S
+    from tidewatch.operators.select import select_columns
+    from tidewatch.plans.data_queries import labelled
+    from tidewatch.plans.feature_queries import NUMERIC
+    kept, _, _ = select_columns(labelled(spark, SF), [*S.CATEGORICAL, *NUMERIC])
+    assert {r["feature"]: r["route"] for r in rows_of(spark, "column_routing")} == {
+        c: "categorical" if c in S.CATEGORICAL else "numeric" for c in kept}
+
+
+def walked(nodes, vectors, psi):
+    """Mean path length and score of each vector, node by node."""
+    import numpy as np
+    from tidewatch.operators.iforest import expected_path
+    trees = [t.set_index("node").to_dict("index") for _, t in nodes.groupby("tree")]
+    out = []
+    for x in vectors:
+        paths = []
+        for at in trees:
+            node = 0
+            while at[node]["left"] != node:
+                n = at[node]
+                node = n["left"] if x[n["feature"]] <= n["threshold"] else n["right"]
+            paths.append(at[node]["depth"] + float(expected_path(at[node]["n"])))
+        out.append(2 ** (-np.mean(paths) / float(expected_path(psi))))
+    return out
+
+
+def test_forest_scores_by_a_walk(spark):
+    from tidewatch.plans import model_queries as Q
+    data, model = Q.fitted(spark, SF, "iforest")
+    forest = model.stages[-1]
+    sample = model.transform(data).select("row_id", "features").orderBy("row_id").limit(40).collect()
+    want = walked(forest.nodes, [r["features"].toArray() for r in sample],
+                  forest.getOrDefault(forest.psi))
+    got = {r["row_id"]: r["score"] for r in rows_of(spark, "iforest_score")}
+    assert len(got) == data.count()
+    assert [got[r["row_id"]] for r in sample] == pytest.approx([w - 0.5 for w in want], abs=1e-9)
+
+
+def test_ranked_windows_are_the_highest(spark):
+    from tidewatch.plans.behavior import score_windows
+    from tidewatch.plans.rule_queries import baseline, period, windows_of
+    every = score_windows(windows_of(baseline(spark, SF)), windows_of(period(spark, SF))).collect()
+    assert all(0 < r["anomaly_score"] < 1 for r in every)
+    best = sorted((r["anomaly_score"] for r in every), reverse=True)
+    rows = rows_of(spark, "window_anomaly_rank")
+    assert [r["anomaly_score"] for r in rows] == pytest.approx(best[:len(rows)]) and rows
 
 
 def test_forest_has_all_trees(spark):

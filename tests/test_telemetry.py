@@ -11,7 +11,7 @@ from tidewatch.operators import matching as MT
 from tidewatch.operators import windows as WN
 from tidewatch.schemas import DNS_WINDOW_FEATURES, LIVE_FEATURES
 
-ID = "0123456789abcdef0123456789abcdef"
+ID = "5d41402abc4b2a76b9719d911017c592"
 DNS = "seq long, ts double, orig_h string, orig_p long, query string, qtype_name string, " \
       "rcode_name string, answers array<string>, rtt double"
 HTTP = "seq long, ts double, uri string, host string, status_code int, " \

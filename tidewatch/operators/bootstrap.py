@@ -35,7 +35,7 @@ def resample(scored: DataFrame, iterations: int, seed: int = 42, label: str = "l
         sizes[r["g"]] = r["c"]
     n = int(sizes.sum())
     if n == 0:
-        raise ValueError("Nothing to resample")
+        raise ValueError("no rows to draw from")
     shares = np.stack([np.random.default_rng([seed, rep]).multinomial(n, sizes / n)
                        for rep in range(iterations)])
     shared = scored.sparkSession.sparkContext.broadcast(shares)

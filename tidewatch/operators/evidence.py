@@ -39,7 +39,7 @@ def ioc_candidates(period: DataFrame, baseline: DataFrame | None = None, n: int
             known = seen.join(F.broadcast(names.select("query")), "query", "left_semi").distinct()
             names = names.join(known, "query", "left_anti")
     if check and names.isEmpty():
-        raise ValueError("No novel DNS names relative to baseline; insufficient IOC evidence")
+        raise ValueError("every name of the period occurs in the baseline")
     return names
 
 
@@ -73,7 +73,7 @@ def candidate_conditions(stats: DataFrame, top: DataFrame, check: bool = False)
         F.col("feature").alias("field"), F.lit("gt").alias("operator"),
         F.round((F.col("p95") + F.col("peak")) / 2, 4).alias("value"))
     if check and out.count() < 2:
-        raise ValueError("Insufficient elevated behavioral features for a grounded hypothesis")
+        raise ValueError("fewer than two features exceed the baseline")
     return out
 
 
@@ -93,7 +93,7 @@ def holds(condition) -> Column:
     """Predicate of one (field, operator, value) condition on a window row."""
     field, operator, value = condition
     if operator not in ("gt", "gte"):
-        raise ValueError(f"Unsupported operator {operator}")
+        raise ValueError(f"{operator} compares no numbers")
     return F.col(field) > value if operator == "gt" else F.col(field) >= value
 
 

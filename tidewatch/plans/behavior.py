@@ -16,7 +16,7 @@ def score_windows(baseline: DataFrame, period: DataFrame, seed: int = 42,
     """`period` windows with the raw forest score; only the baseline is fitted, labels unused."""
     if baseline.limit(MIN_BASELINE).count() < MIN_BASELINE or period.isEmpty():
         raise ValueError(
-            "Insufficient DNS baseline windows (need >=8) or no scoring windows")
+            f"fewer than {MIN_BASELINE} windows to compare with, or none to rank")
     assemble = VectorAssembler(inputCols=DNS_WINDOW_FEATURES, outputCol="features")
     key = F.concat_ws("|", "client", F.format_number("window_start", 6))
     model = IsolationForest(numTrees=trees, seed=seed, keyCol="window_key", offset=0.0,

@@ -564,7 +564,7 @@ UNION ALL SELECT {r6('window_start', 'window_start')}, client, 9900102 FROM wins
  SELECT {GATE_COLS} FROM gate""",
 }
 ORACLES["behavioral_workflow"] = f"""SELECT *, 'REQUIRES_REVIEW' AS decision,
- 'manual_review' AS status, 'Window aggregation needs a correlation detector' AS reason
+ 'manual_review' AS status, 'conditions on windows are no single-event rule' AS reason
  FROM ({ORACLES["behavioral_review"]}) q"""
 ORACLES["rule_leaderboard"] = f"""WITH {CANDIDATE},
  {gate_sql('cand_eve', 'ptruth', f'ts >= {MIDDLE}')},

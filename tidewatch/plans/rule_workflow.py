@@ -72,4 +72,4 @@ def behavioral_workflow(baseline: DataFrame, top: DataFrame, conditions) -> Data
     """Aggregations are never deployed as native rules: evidence review and manual decision."""
     return E.behavioral_review(conditions, baseline, top).withColumns({
         "decision": F.lit("REQUIRES_REVIEW"), "status": F.lit("manual_review"),
-        "reason": F.lit("Window aggregation needs a correlation detector")})
+        "reason": F.lit("conditions on windows are no single-event rule")})

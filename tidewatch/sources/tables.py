@@ -131,7 +131,7 @@ def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     return sorted(set(required) - set(df.columns))
 
 
-def require_columns(df: DataFrame, required: Sequence[str], what: str = "Missing input features"
+def require_columns(df: DataFrame, required: Sequence[str], what: str = "columns that the model needs are missing"
                     ) -> DataFrame:
     missing = missing_columns(df, required)
     if missing:
