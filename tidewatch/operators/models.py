@@ -41,7 +41,7 @@ def index_stages(cols: Sequence[str]) -> list:
                           handleInvalid="keep", stringOrderType="alphabetAsc")] if cols else []
 
 
-class DetectionPipeline(Estimator, ST._Columns):
+class DetectionPipeline(Estimator, ST._Columns, ST._Saved):
     """Engineering, selection, imputation, scaling, encoding and a model, fitted once.
 
     Later stages are built from what the selection kept, so the result is a plain PipelineModel.
@@ -50,6 +50,17 @@ class DetectionPipeline(Estimator, ST._Columns):
 
     kind = Param(Params._dummy(), "kind", "iforest, logreg or gbt",
                  typeConverter=TypeConverters.toString)
+    threshold = Param(Params._dummy(), "threshold", "rank correlation that is redundant",
+                      typeConverter=TypeConverters.toFloat)
+    select = Param(Params._dummy(), "select", "whether to engineer and select features",
+                   typeConverter=TypeConverters.toBoolean)
+    trees = Param(Params._dummy(), "trees", "trees of the forest", typeConverter=TypeConverters.toInt)
+    iterations = Param(Params._dummy(), "iterations", "boosting rounds",
+                       typeConverter=TypeConverters.toInt)
+    keyCol = Param(Params._dummy(), "keyCol", "column that identifies a row",
+                   typeConverter=TypeConverters.toString)
+    labelCol = Param(Params._dummy(), "labelCol", "0 or 1", typeConverter=TypeConverters.toString)
+    seed = Param(Params._dummy(), "seed", "seed", typeConverter=TypeConverters.toInt)
 
     @keyword_only
     def __init__(self, *, kind="iforest", inputCols=None, threshold=0.90, select=True, trees=300,
@@ -57,13 +68,15 @@ class DetectionPipeline(Estimator, ST._Columns):
         super().__init__()
         if kind not in KINDS:
             raise ValueError(kind)
-        self._set(kind=kind, inputCols=list(inputCols or (RAW_FEATURES if select
-                                                         else LIVE_FEATURES)))
-        self.options = dict(threshold=threshold, select=select, trees=trees,
-                            iterations=iterations, keyCol=keyCol, labelCol=labelCol, seed=seed)
+        self._set(kind=kind, threshold=threshold, select=select, trees=trees, iterations=iterations,
+                  keyCol=keyCol, labelCol=labelCol, seed=seed,
+                  inputCols=list(inputCols or (RAW_FEATURES if select else LIVE_FEATURES)))
+
+    def settings(self) -> dict:
+        return {p.name: self.getOrDefault(p) for p in self.params}
 
     def _fit(self, df: DataFrame) -> PipelineModel:
-        o, kind, raw = self.options, self.getOrDefault(self.kind), self.columns()
+        o, kind, raw = self.settings(), self.getOrDefault(self.kind), self.columns()
         if kind == "iforest":
             df = df.where(F.col(o["labelCol"]) == 0)
         fitted: list = []
@@ -109,7 +122,7 @@ class DetectionPipeline(Estimator, ST._Columns):
         return PipelineModel(stages=fitted)
 
     def _estimator(self, rows: int, cats: list[str], fitted: list) -> Estimator:
-        o, kind = self.options, self.getOrDefault(self.kind)
+        o, kind = self.settings(), self.getOrDefault(self.kind)
         if kind == "iforest":
             return IsolationForest(numTrees=o["trees"], seed=o["seed"], keyCol=o["keyCol"])
         if kind == "logreg":
