@@ -180,6 +180,26 @@ def test_attributions_add_up(spark):
     assert len(sums) == min(200, len(sums)) and sums == pytest.approx(length)
 
 
+def test_boosted_attributions_add_up(spark):
+    sums, margin = {}, {}
+    for r in rows_of(spark, "boosted_attribution"):
+        sums[r["row_id"]] = sums.get(r["row_id"], r["base"]) + r["attribution"]
+        margin[r["row_id"]] = r["margin"]
+    assert sums and sums == pytest.approx(margin)
+
+
+def test_fitted_linear_attributions_add_up(spark):
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+    from tidewatch.plans import model_queries as Q
+    got = entry.queries()["fitted_linear_attribution"](spark, SF).groupBy("row_id").agg(
+        (F.first("base") + F.sum("attribution")).alias("m"))
+    data, model = Q.fitted(spark, SF, "logreg")
+    want = model.transform(data).select("row_id", vector_to_array("rawPrediction")[1].alias("raw"))
+    assert got.join(want, "row_id").where(F.abs(F.col("m") - F.col("raw")) > 1e-6).isEmpty()
+    assert got.count() == data.count()
+
+
 def test_detection_stream_equals_batch(spark):
     from tidewatch.operators import windows as WN
     from tidewatch.plans.telemetry_queries import LIVE

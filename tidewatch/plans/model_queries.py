@@ -184,6 +184,19 @@ def q_tree(spark, d):
     return A.tree_attribution(model.stages[-1], sample, M.output_names(sample))
 
 
+def q_boosted(spark, d):
+    data, model = fitted(spark, d, "gbt")
+    sample = model.transform(seeded_sample(data, EXPLAINED, "row_id").repartition(8))
+    return A.boosted_attribution(model.stages[-1], sample, M.output_names(sample))
+
+
+def q_fitted_linear(spark, d):
+    data, model = fitted(spark, d, "logreg")
+    out = model.transform(data)
+    return A.fitted_linear_attribution(model.stages[-1], out, A.background_rows(out),
+                                       M.output_names(out))
+
+
 def q_importance(spark, d):
     return rounded(A.importance(attributions(spark, d)))
 
@@ -205,6 +218,8 @@ QUERIES = {
     "window_anomaly_rank": q_rank_windows,
     "linear_attribution": q_linear,
     "tree_attribution": q_tree,
+    "boosted_attribution": q_boosted,
+    "fitted_linear_attribution": q_fitted_linear,
     "mean_abs_importance": q_importance,
 }
 
