@@ -136,13 +136,15 @@ def hash_cuts(df: DataFrame, key: Sequence[str] | str, seed, ranks: dict, group:
 
     `ranks` has, per value of `group`, functions of the group's size that give wanted 1-based ranks.
     Returns {group: (size, [cut, ...])}; a cut is the literal (hash, key, ...) of the row at that
-    rank, or None for a rank below 1. Rows are counted by hash prefix (2^16 per group); only the
-    rows of a prefix that holds a cut are put in order.
+    rank, or None for a rank below 1. Groups, hashes and keys are settled as a narrow table, which is
+    counted by hash prefix (2^16 per group); only the rows of a prefix that holds a cut are put in
+    order.
     """
     keys = [key] if isinstance(key, str) else list(key)
     name = F.col(f"`{group}`") if group else F.lit(0)
-    staged = df.select(name.alias("__g"), hash_u32(seed, *keys).alias("__h"), *keys).withColumn(
-        "__p", F.shiftright("__h", HASH_BITS - PREFIX_BITS))
+    # settled, so the source behind it and its hashes are computed once
+    staged = settle(df.select(name.alias("__g"), hash_u32(seed, *keys).alias("__h"), *keys).withColumn(
+        "__p", F.shiftright("__h", HASH_BITS - PREFIX_BITS)))
     counts: dict = {}
     for r in staged.groupBy("__g", "__p").agg(F.count("*").alias("n")).collect():
         counts.setdefault(r["__g"], {})[r["__p"]] = r["n"]
