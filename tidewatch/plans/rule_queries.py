@@ -218,6 +218,10 @@ def q_behavioral(spark, d):
     return rounded(WF.behavioral_workflow(windows_of(baseline(spark, d)), top(spark, d), REVIEW))
 
 
+def q_specification(spark, d):
+    return WF.behavioral_specification(windows_of(baseline(spark, d)), top(spark, d), WINDOW)
+
+
 def q_compare(spark, d):
     return rounded(E.compare_window(top(spark, d), stats(spark, d)))
 
@@ -335,6 +339,7 @@ QUERIES = {
     "window_examples": q_examples,
     "behavioral_review": q_review,
     "behavioral_workflow": q_behavioral,
+    "behavioral_specification": q_specification,
     "window_vs_baseline": q_compare,
     "period_summary": q_period,
     "candidate_suffix_rules": q_suffix,
@@ -566,6 +571,20 @@ UNION ALL SELECT {r6('window_start', 'window_start')}, client, 9900102 FROM wins
 ORACLES["behavioral_workflow"] = f"""SELECT *, 'REQUIRES_REVIEW' AS decision,
  'manual_review' AS status, 'conditions on windows are no single-event rule' AS reason
  FROM ({ORACLES["behavioral_review"]}) q"""
+LONG_B, LONG_T = (f"(SELECT * FROM (SELECT window_start, client, " + ", ".join(
+    f"CAST({c} AS DOUBLE) AS {c}" for c in HYPOTHESIS_FEATURES) + f" FROM {t}) UNPIVOT (v FOR field IN ("
+    + ", ".join(HYPOTHESIS_FEATURES) + ")))" for t in ("wins_b", "topn"))
+MEETS = """(SELECT count(*) FROM (SELECT window_start, client FROM {long} l JOIN pick USING (field)
+  WHERE l.v > pick.value GROUP BY 1, 2 HAVING count(*) = (SELECT count(*) FROM pick)) q)"""
+ORACLES["behavioral_specification"] = f"""WITH {WINS}, pick AS (SELECT field, operator, value
+ FROM cand JOIN stats ON feature = field
+ ORDER BY (value - p95) / greatest(p95, 0.0001) DESC, field LIMIT {WF.MOST_CONDITIONS})
+SELECT CAST({WF.PROPOSED_SID} AS BIGINT) AS spec_id,
+ string_agg(field || ' ' || operator || ' ' || format('{{:.4f}}', value), '; ' ORDER BY field)
+  AS conditions, '' AS violations, true AS grounded,
+ {MEETS.format(long=LONG_B)} AS baseline_windows_matching,
+ {MEETS.format(long=LONG_T)} AS top_windows_matching, 'REQUIRES_REVIEW' AS decision FROM pick
+HAVING count(*) >= {WF.LEAST_CONDITIONS}"""
 ORACLES["rule_leaderboard"] = f"""WITH {CANDIDATE},
  {gate_sql('cand_eve', 'ptruth', f'ts >= {MIDDLE}')},
  broad AS (SELECT count(*) FILTER (label = 1) AS tp, count(*) FILTER (label <> 1) AS fp,

@@ -73,3 +73,62 @@ def behavioral_workflow(baseline: DataFrame, top: DataFrame, conditions) -> Data
     return E.behavioral_review(conditions, baseline, top).withColumns({
         "decision": F.lit("REQUIRES_REVIEW"), "status": F.lit("manual_review"),
         "reason": F.lit("conditions on windows are no single-event rule")})
+
+
+PROPOSED_SID, LEAST_CONDITIONS, MOST_CONDITIONS = 9900101, 2, 3
+
+
+def propose_behavioral(candidates: DataFrame, stats: DataFrame, window: float,
+                       entity: str = "source IP and persistent UDP source port") -> DataFrame:
+    """One specification of the conditions that rise furthest above the baseline's 95th percentile.
+
+    Fewer than two such conditions are no evidence, and give no row.
+    """
+    rise = (F.col("value") - F.col("p95")) / F.greatest(F.col("p95"), F.lit(0.0001))
+    best = candidates.join(stats.select(F.col("feature").alias("field"), "p95"), "field").orderBy(
+        rise.desc(), "field").limit(MOST_CONDITIONS)
+    none = F.lit(None)
+    condition = F.struct("field", "operator", none.cast("string").alias("value_str"),
+                         F.col("value").alias("value_num"))
+    observed = F.concat_ws(" ", "field", F.lit("above"), F.col("p95").cast("string"))
+    one = best.agg(F.array_sort(F.collect_list(condition)).alias("conditions"),
+                   F.array_sort(F.collect_list(observed)).alias("evidence"))
+    text = lambda x: F.lit(x)
+    return one.where(F.size("conditions") >= LEAST_CONDITIONS).select(
+        F.lit(PROPOSED_SID).cast("long").alias("spec_id"),
+        text("unusual name lookups of one client").alias("name"),
+        text("A client's windows exceed what the baseline shows in all listed features").alias(
+            "description"), "evidence",
+        text("Lookups carry data or are generated").alias("hypothesis"),
+        text("behavioral").alias("rule_type"), text("dns").alias("protocol"),
+        text("any").alias("source_scope"), text("any").alias("destination_scope"), "conditions",
+        text("medium").alias("severity"), F.lit(False).alias("suricata_compatible"),
+        F.lit(True).alias("requires_correlation"), text(entity).alias("correlation_entity"),
+        F.lit(float(window)).alias("window_seconds"),
+        F.array(text("thresholds follow one baseline")).alias("limitations"),
+        F.struct(F.array(text("the most anomalous windows")).alias("positive_cases"),
+                 F.array(text("all windows of the baseline")).alias("negative_cases")).alias("test_plan"))
+
+
+def behavioral_specification(baseline: DataFrame, top: DataFrame, window: float) -> DataFrame:
+    """From evidence to a judged specification: conditions, violations, groundedness and matches.
+
+    The proposal passes the same validation and grounding as any specification and is matched against
+    the windows it came from and those of the baseline. A sound one is left to a person, since windows
+    are no single-event rule; any other is refused.
+    """
+    stats = settle(E.baseline_stats(baseline))
+    candidates = settle(E.candidate_conditions(stats, top))
+    spec = settle(R.validate_specs(propose_behavioral(candidates, stats, window)))
+    grounded = R.check_grounded(spec, R.allowed_conditions(candidates=candidates, window=window))
+    rules = spec.select(F.col("spec_id").alias("sid"), "conditions")
+    counts = [R.match_windows(w, rules).agg(F.count("*").alias(n)) for w, n in (
+        (baseline, "baseline_windows_matching"), (top, "top_windows_matching"))]
+    sound = (F.size("violations") == 0) & F.col("grounded")
+    listed = F.array_join(F.transform("conditions", lambda c: F.concat_ws(
+        " ", c["field"], c["operator"], F.format_string("%.4f", c["value_num"]))), "; ")
+    return spec.join(F.broadcast(grounded), "spec_id").crossJoin(F.broadcast(counts[0])).crossJoin(
+        F.broadcast(counts[1])).select(  # all of them one row
+        "spec_id", listed.alias("conditions"), F.array_join("violations", ",").alias("violations"),
+        "grounded", "baseline_windows_matching", "top_windows_matching",
+        F.when(sound, "REQUIRES_REVIEW").otherwise("REJECT").alias("decision"))
