@@ -163,7 +163,8 @@ def test_recurring_lines(spark):
         (None, "", 1), (5, None, 0), (4, "", 0), (6, "foo bar baz", 1), (7, "a b c d e", 0),
         (8, "a b c x y", 0), (9, "foo bar baz qux\nx y", 0), (9, "foo bar baz qux\nx y", 0)],
         key=str)
-    assert {r.template for r in line_templates.recurring_lines(docs).collect()} == {
+    assert {r.template for r in line_templates.recurring_lines(line_templates.candidate_pieces(
+        line_templates.parsed_texts(docs))).collect()} == {
         "Posted on <*> by admin here", "some other line of <*>"}
     assert line_templates.drop_recurring(docs).columns == docs.columns
     assert line_templates.drop_recurring(docs.limit(0), "n").count() == 0
@@ -198,14 +199,48 @@ def test_edit_spoils_one_piece_only(spark):
         assert "".join(line_templates.pieces(line, True)) == line
 
 
-def brute_lines(rows):
+def plain_pieces(line, cut):
+    """Sentences by a walk over the characters, joined until a piece has eight tokens."""
+    if not cut:
+        return [line]
+    sentences, begin = [], 0
+    for i in range(2, len(line)):
+        if line[i - 2] in ".!?" and line[i - 1] in " \t" and line[i] not in " \t":
+            sentences.append(line[begin:i])
+            begin = i
+    out, held = [], ""
+    for sentence in [*sentences, line[begin:]]:
+        held += sentence
+        if len(held.split()) >= 8:
+            out.append(held)
+            held = ""
+    if not out:
+        return [line]
+    return [*out[:-1], out[-1] + held]
+
+
+def plain_parse(line, least):
+    """The key of a leaf, and the masked tokens."""
+    given = line.split()
+    if len(given) < max(1, least):
+        return None
+    tokens = ["<*>" if any(c.isdecimal() for c in t) else t for t in given]
+    words = sum(t != "<*>" and any(c.isalnum() and not c.isdecimal() for c in t) for t in tokens)
+    if 2 * words < len(tokens):
+        return ("=", *given), given
+    return (len(tokens), *(tokens if len(tokens) < 5 else tokens[:3])), tokens
+
+
+def brute_lines(rows, least, cut):
     """One list of templates for all lines, each compared with every one."""
     leaves = collections.defaultdict(dict)
     for key, text in rows:
         for line in (text or "").split("\n"):
-            if parsed := line_templates.parse(line):
-                low, high = leaves[parsed[0]].get(parsed[1], (key, key))
-                leaves[parsed[0]][parsed[1]] = (min(low, key), max(high, key))
+            for piece in plain_pieces(line, cut):
+                if parsed := plain_parse(piece, least):
+                    masked = " ".join(parsed[1])
+                    low, high = leaves[parsed[0]].get(masked, (key, key))
+                    leaves[parsed[0]][masked] = (min(low, key), max(high, key))
     first = {}
     for leaf, lines in leaves.items():
         groups = []
@@ -222,25 +257,54 @@ def brute_lines(rows):
             low, high = min(lines[m][0] for m in members), max(lines[m][1] for m in members)
             if low != high:
                 first |= {(leaf, m): low for m in members}
+
+    def stays(piece, key):
+        parsed = plain_parse(piece, least)
+        return parsed is None or first.get((parsed[0], " ".join(parsed[1])), key) == key
+
     out = []
     for key, text in rows:
-        kept = [line for line in (text or "").split("\n")
-                if first.get(line_templates.parse(line) or (), key) == key]
+        kept = []
+        for line in (text or "").split("\n"):
+            own = plain_pieces(line, cut)
+            left = [x for x in own if stays(x, key)]
+            if len(left) == len(own):
+                kept.append(line)
+            elif left:
+                kept.append("".join(left).rstrip())
         out.append("\n".join(kept) if text is not None else None)
     return out
 
 
-def test_line_dedup_equals_brute_force(spark, odd_documents):
+@pytest.mark.parametrize("how", [{"least": 3, "cut": False}, {"least": 1, "cut": True}])
+def test_line_dedup_equals_brute_force(spark, odd_documents, how):
     docs = odd_documents.select("doc_id", "text").unionByName(
         queries.table(spark, SF, "documents").select(
             (F.col("doc_id") + 1000).alias("doc_id"), "text"))
     keyed = docs.withColumns(line_templates.document_keys(docs)).collect()
     rows = [((r["__n"], r["__i"], r["__h"]), r.text) for r in keyed]
-    got = line_templates.drop_recurring(docs, "n").collect()
-    assert sorted(map(str, zip([r.doc_id for r in keyed], brute_lines(rows), strict=True))) == sorted(
+    got = line_templates.drop_recurring(docs, "n", **how).collect()
+    want = brute_lines(rows, **how)
+    assert sorted(map(str, zip([r.doc_id for r in keyed], want, strict=True))) == sorted(
         str((r.doc_id, r.text)) for r in got)
 
 
+def test_a_full_filter_changes_nothing(spark):
+    """Every bit set, as with more shared leaves than the filter has bits for."""
+    docs = queries.table(spark, SF, "documents").select("doc_id", "text").limit(60)
+
+    class Full:
+        value = np.full(8, 255, dtype=np.uint8)
+
+    parsed = line_templates.parsed_texts(docs, 1, True)
+    every = parsed.mapInArrow(lambda b: line_templates.shared_pieces(b, Full),
+                              line_templates.PIECES)
+    few = line_templates.candidate_pieces(parsed)
+    assert every.count() > few.count() > 0
+    found = [sorted(map(tuple, line_templates.recurring_lines(p).collect())) for p in (every, few)]
+    assert found[0] == found[1] and found[0]
+
+
 # mixing
 
 def brute_targets(sizes):
