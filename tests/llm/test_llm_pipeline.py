@@ -6,7 +6,7 @@ import re
 import corpus_pipeline
 import public_tokenizers
 import tiktoken
-from tidewatch.llm import bpe, queries
+from tidewatch.llm import bpe, quality, queries
 from tidewatch.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
@@ -45,3 +45,15 @@ def test_stages_stand_odd_documents(spark, odd_documents):
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, docs, SF).count()
         stage(spark, docs.limit(0), SF).count()
+
+
+def test_quality_stage_keeps_columns_of_its_own_names(spark):
+    docs = queries.table(spark, SF, "documents")
+    named = docs.selectExpr("*", "concat('s', doc_id) AS score", "doc_id AS predicted")
+    labels = queries.table(spark, SF, "labels")
+    kept = quality.keep_good(named, labels)
+    assert kept.columns == named.columns
+    rows = kept.collect()
+    assert rows and all(r.score == f"s{r.doc_id}" and r.predicted == r.doc_id for r in rows)
+    assert sorted(r.doc_id for r in rows) == sorted(
+        r.doc_id for r in quality.keep_good(docs, labels).collect())

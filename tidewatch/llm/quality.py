@@ -230,6 +230,8 @@ def score_quality(docs: DataFrame, model: Machine, threshold: float = THRESHOLD)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that the classifier doesn't reject, with their columns."""
-    scored = score_quality(docs, fit_quality(docs, labels), threshold)
-    return scored.where(F.col("predicted") == 1).select(*docs.columns)
+    """The documents that the classifier doesn't reject, with their own columns."""
+    beside = {c: f"__own_{c}" for c in ("score", "predicted") if c in docs.columns}
+    scored = score_quality(docs.withColumnsRenamed(beside), fit_quality(docs, labels), threshold)
+    return scored.where(F.col("predicted") == 1).select(
+        *[F.col(f"`{beside.get(c, c)}`").alias(c) for c in docs.columns])
