@@ -14,23 +14,45 @@ from tidewatch.session import scratch_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that the classifier, fitted on this stage's own input, doesn't reject."""
+    """Keeps the documents that the classifier, fitted on this stage's own input, doesn't reject.
+
+    Null text and lengths count as empty; rows are judged one by one, so repeated rows stay or go
+    together; without labels the model is fitted on nothing and its scores are one constant; columns
+    called `score` or `predicted` are kept; an empty table stays empty.
+    """
     return quality.keep_good(docs, queries.table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps all rows; drops lines and sentences that an earlier document has too.
+
+    The first document, by id, keeps a recurring line; null ids come last; null text stays null, text of
+    dropped lines only becomes empty; rows of equal id and text are treated alike; an empty table stays
+    empty.
+    """
     return line_templates.drop_recurring(docs, least=1, cut=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one row of each class of near duplicates, the one with the smallest id.
+
+    Null ids come last; ties of the id are settled by the text's hash, so one of repeated rows stays;
+    texts without words are one class; unrelated texts of one id stay apart; an empty table stays empty.
+    """
     return simhash.keep_first(docs)
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Returns each document as often as the mix takes it.
+
+    Null sources are a source of their own and come last; texts without words are never taken; rows of
+    equal id and text are copied alike; an empty table stays empty.
+    """
     return mixing.mix(docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests, one row for each row it gets; null text counts as empty."""
     return queries.bpe_round_trip(docs)
 
 
