@@ -33,7 +33,7 @@ from tidewatch.llm.pretokens import split_block, text_blocks
 
 BLOCK_CHARS = 4_000_000
 #: Words whose ids a task remembers; beyond it a word may be encoded again, with the same ids.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 #: A vocabulary above this size is refused, because it is broadcast.
 LARGEST_VOCABULARY = 2_000_000
 MOVED = "block string, part int, data binary"

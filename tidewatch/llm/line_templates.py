@@ -51,6 +51,7 @@ LEADING = 3
 LEAST_TOKENS = 3
 SIMILARITY = 0.8
 CHUNK_LINES = 20_000
+SLICE_ROWS = 2_000
 #: Share of the tokens of a masked line that must be words.
 WORDS = 0.5
 #: Least tokens of a piece, unless its line has fewer.
@@ -193,11 +194,18 @@ def placed_pieces(text: str, cut: bool) -> Iterator[tuple[int, str]]:
         at += 1
 
 
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches, so that few texts are held unpacked at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def parse_texts(batches: Iterable[pa.RecordBatch], least: int, cut: bool) -> Iterator[pa.RecordBatch]:
     """The batch with its last column, the text, packed, and where each piece of the text begins
     and its leaf; the leaf is null for pieces without one."""
     pack = zstandard.ZstdCompressor(level=3).compress
-    for batch in batches:
+    for batch in slices(batches):
         packed, begins, leaves = [], [], []
         for text in batch.columns[-1].to_pylist():
             packed.append(None if text is None else pack(text.encode("utf-8")))
@@ -246,7 +254,7 @@ def shared_pieces(batches: Iterable[pa.RecordBatch], bits) -> Iterator[pa.Record
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
             names=["__n", "__i", "__h", "begin", "end", "leaf", "line", "masked"])
 
-    for batch in batches:
+    for batch in slices(batches):
         lists = batch.column("__leaves")
         flat, begins = lists.flatten(), batch.column("__begins").flatten().to_numpy()
         leaf = flat.fill_null(0).to_numpy()
@@ -350,7 +358,7 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
 
 def shortened(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, number of dropped pieces) in place of the packed text and the places."""
-    for batch in batches:
+    for batch in slices(batches):
         texts, sizes = [], []
         for data, spans in zip(*[c.to_pylist() for c in batch.columns[-2:]], strict=True):
             text = None if data is None else unpacked(data)
