@@ -80,3 +80,35 @@ def test_rate_alert_equals_batch(timers, tmp_path):
     assert len(want) >= 2 and [e[:3] for e in ended] == [pytest.approx(w[:3]) for w in want]
     assert [e[3] for e in ended] == pytest.approx([w[3] for w in want])
     assert sorted(r["fired_at"] for r in got if r["ended_at"] is None) == [w[1] for w in want]
+
+
+def test_silence_keeps_runs_not_events():
+    """A long busy stretch ahead of the watermark is one run of the state, in any order of parts."""
+    class Kept:
+        value = None
+        exists = lambda self: self.value is not None
+        get = lambda self: self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Handle:
+        listTimers = lambda self: []
+        registerTimer = lambda self, t: None
+
+    class Mark:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    p = SA._Silence(120, ["source", "silent_from", "fired_at", "silent_until"])
+    p.kept, p.handle = Kept(), Handle()
+    times = [*map(float, range(0, 5_000)), *[9_000.0 + i / 4 for i in range(8_000)]]
+    random.Random(3).shuffle(times)
+    parts = [SA.pd.DataFrame({"ts": times[i:i + 1_000]}) for i in range(0, len(times), 1_000)]
+    rows = lambda frames: [tuple(r) for f in frames for r in f.itertuples(index=False)]
+    assert rows(p.handleInputRows(("a",), iter(parts), Mark(0))) == []
+    assert len(p.kept.value[2]) == 2
+    assert rows(p.handleExpiredTimer(("a",), Mark(2_500_000), None)) == []
+    got = rows(p.handleExpiredTimer(("a",), Mark(12_000_000), None))
+    assert [g[:3] for g in got] == [("a", 4_999.0, 5_119.0)] * 2 + [("a", 10_999.75, 11_119.75)]
+    assert got[1][3] == 9_000.0 and len(p.kept.value[2]) == 0

@@ -1,7 +1,6 @@
 """Sustained alerts on streams: conditions that must hold for a while, silence included.
 
-The state of a key is a few numbers and the event times that the watermark hasn't passed yet, reduced
-to the first and last of each second. Event-time timers wake a key up, so an alert fires although
+The state of a key is a few numbers and what the watermark hasn't passed yet: runs of events, or steps. Event-time timers wake a key up, so an alert fires although
 nothing arrives for it; what fires is settled, because no event before the watermark comes any more.
 Both operators need the RocksDB state store: start their queries inside `timers`.
 """
@@ -12,6 +11,7 @@ import math
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,30 +61,62 @@ class _Timed(StatefulProcessor):
 
 
 class _Silence(_Timed):
-    STATE = "last double, fired boolean, waiting array<double>"
+    """Events that the watermark hasn't passed are kept as runs without silence: first and last time.
+
+    Inside a run nothing can fire, so its other events need no place in the state.
+    """
+
+    STATE = "last double, fired boolean, first array<double>, until array<double>"
 
     def __init__(self, limit: float, columns: list[str]):
         self.limit, self.columns = limit, columns
 
+    def _runs(self, first: np.ndarray, until: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Runs that no silence separates as one, in order of time."""
+        order = np.argsort(first, kind="stable")
+        first, until = first[order], np.maximum.accumulate(until[order])
+        cut = np.flatnonzero(first[1:] - until[:-1] > self.limit)
+        return first[np.r_[0, cut + 1]], until[np.r_[cut, len(until) - 1]]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = None
+        for pdf in rows:  # a part of the rows at a time
+            times = pdf["ts"].to_numpy(dtype=float)
+            if len(times):
+                part = self._runs(times, times)
+                new = part if new is None else self._runs(
+                    *(np.concatenate(pair) for pair in zip(new, part, strict=True)))
+        yield from self._advance(key, new, timerValues.getCurrentWatermarkInMs() / 1000)
+
     def _advance(self, key, new, settled: float) -> Iterator[pd.DataFrame]:
-        last, fired, waiting = self.kept.get() if self.kept.exists() else (None, False, [])
-        waiting, out = list(waiting), []
+        last, fired, first, until = self.kept.get() if self.kept.exists() else (None, False, [], [])
+        first, until = np.array(list(first), dtype=float), np.array(list(until), dtype=float)
         if new is not None:
-            per = new["ts"].groupby(new["ts"] // 1).agg(["min", "max"])
-            waiting = sorted({*waiting, *per["min"], *per["max"]})
-        while waiting and waiting[0] <= settled:
-            at = waiting.pop(0)
+            first, until = np.concatenate([first, new[0]]), np.concatenate([until, new[1]])
+            first, until = self._runs(first, until)
+        out, gone = [], 0
+        while gone < len(first) and first[gone] <= settled:
+            at, end = float(first[gone]), float(until[gone])
             if last is not None and at - last > self.limit:
                 if not fired:
                     out.append((last, last + self.limit, None))
                 out.append((last, last + self.limit, at))
-            if last is None or at > last:
-                last, fired = at, False
+            if end > settled:
+                # the run goes on; its part before the watermark ends here at the earliest
+                if last is None or settled > last:
+                    last, fired = max(at, settled), False
+                first[gone] = max(at, settled)
+                break
+            if last is None or end > last:
+                last, fired = end, False
+            gone += 1
+        first, until = first[gone:].tolist(), until[gone:].tolist()
         if last is not None and not fired and settled > last + self.limit:
             out.append((last, last + self.limit, None))
             fired = True
-        self.kept.update((last, fired, waiting))
-        self._wake([*waiting[:1], *([last + self.limit] if last is not None and not fired else [])])
+        self.kept.update((last, fired, first, until))
+        begun = bool(first) and first[0] <= settled
+        self._wake([until[0]] if begun else [*first[:1], *([last + self.limit] if last is not None and not fired else [])])
         yield from self._frame(key, out)
 
 
@@ -121,8 +153,9 @@ class _Sustained(_Timed):
             if start is not None and fired:
                 out.append((start, start + self.hold, last, peak))
 
-        while waiting and waiting[0][0] <= settled:
-            at, share = waiting.pop(0)
+        ready = sum(w[0] <= settled for w in waiting)
+        waiting, passed = waiting[ready:], waiting[:ready]
+        for at, share in passed:
             if start is not None and (share <= self.limit or at > last + self.step):
                 close()
                 start, fired = None, False
