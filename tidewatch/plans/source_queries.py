@@ -32,10 +32,15 @@ def q_csv(spark, d):
     return rounded(TB.read_connections(spark, path))
 
 
+ORDERED_ROWS = 500_000  # rows of an ordered file
+
+
 def q_first(spark, d):
     """The first row of every service in input order, over gz files in path order."""
     path = scratch_path(spark, "ordered")
-    ordered = view(spark, d, "conn41").repartitionByRange(3, "row_id").sortWithinPartitions("row_id")
+    rows = view(spark, d, "conn41")
+    files = max(3, -(-rows.count() // ORDERED_ROWS))  # a gz file is read by one task
+    ordered = rows.repartitionByRange(files, "row_id").sortWithinPartitions("row_id")
     TB.write_connections(ordered.select(*CONN), path)
     rows = TB.read_connections(spark, path, row_id="row_id")
     return rows.groupBy("service").agg(
