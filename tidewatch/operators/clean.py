@@ -47,13 +47,16 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
 
 def clean_vectors(df: DataFrame, keys: Sequence[str], order: str,
                   label: str = "label") -> DataFrame:
-    """Contradiction removal and first-row deduplication in one aggregation."""
+    """Contradiction removal and first-row deduplication in one aggregation.
+
+    Every other column is an aggregate of its own, all of the same row: what is not read later is
+    not carried, and numbers alone are aggregated by hash, without a sort of whole vectors.
+    """
     rest = [c for c in df.columns if c not in keys]
     picked = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*rest), order).alias("__row"),
+        *[F.min_by(f"`{c}`", order).alias(c) for c in rest],
         F.min(label).alias("__lo"), F.max(label).alias("__hi")).where("__lo = __hi")
-    return picked.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c)
-                           for c in df.columns])
+    return picked.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def cleaning_audit(df: DataFrame, keys: Sequence[str], label: str = "label") -> DataFrame:

@@ -9,7 +9,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel, keyword_only
+from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tidewatch.functions.hashing import hash_u32
+from tidewatch.session import settle
 
 EULER_GAMMA = 0.5772156649015329  # fixed value
 NODE_SCHEMA = ("tree int, node int, left int, right int, feature int, threshold double, "
@@ -65,8 +66,7 @@ def draw_samples(df: DataFrame, key: str, trees: int, max_samples: int,
     """(tree, …) rows: every tree gets `psi` rows without replacement; returns also `psi`.
 
     The input is thinned by hash to little more than trees * psi rows (to all rows, if it has
-    fewer); these are shuffled once per round by hash and dealt out in blocks of psi. `df` is read
-    three times; the caller keeps it.
+    fewer) and settled; these are shuffled once per round by hash and dealt out in blocks of psi.
     """
     n = df.count()
     if n == 0:
@@ -74,7 +74,7 @@ def draw_samples(df: DataFrame, key: str, trees: int, max_samples: int,
     psi = min(max_samples, n)
     need = trees * psi
     share = (need * 1.05 + 10 * math.sqrt(need) + 100) / n
-    pool = df.where(hash_u32(f"{seed}-pool", key) < int(min(1.0, share) * 2**32))
+    pool = settle(df.where(hash_u32(f"{seed}-pool", key) < int(min(1.0, share) * 2**32)))
     size = pool.count()
     per_round = max(size // psi, 1)
     rounds = math.ceil(trees / per_round)
@@ -161,8 +161,7 @@ class IsolationForest(Estimator, _ForestParams, DefaultParamsReadable, DefaultPa
         seed, trees = g(self.seed), g(self.numTrees)
         rows = df.select(F.col(g(self.keyCol)).alias("k"),
                          vector_to_array(g(self.featuresCol)).alias("x"))
-        held = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        samples, psi = draw_samples(held, "k", trees, g(self.maxSamples), seed)
+        samples, psi = draw_samples(rows, "k", trees, g(self.maxSamples), seed)
         depth = math.ceil(math.log2(max(psi, 2)))
 
         def build(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -180,7 +179,6 @@ class IsolationForest(Estimator, _ForestParams, DefaultParamsReadable, DefaultPa
         slots = max(1, min(trees, 4 * df.sparkSession.sparkContext.defaultParallelism))
         nodes = samples.repartition(slots, "tree").groupBy("tree").applyInPandas(
             build, NODE_SCHEMA).toPandas()
-        held.unpersist()
         model = IsolationForestModel(nodes, psi)
         return self._copyValues(model)
 

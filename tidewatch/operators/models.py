@@ -21,9 +21,11 @@ from tidewatch.operators.iforest import IsolationForest
 from tidewatch.operators.metrics import evaluate
 from tidewatch.operators.ranking import melt
 from tidewatch.schemas import CATEGORICAL, LIVE_FEATURES, RAW_FEATURES
+from tidewatch.session import settle_wide
 from tidewatch.sources.tables import require_columns
 
 KINDS = ("iforest", "logreg", "gbt")
+ROWS_A_TASK = 200_000  # of iterative training, whose thousands of short jobs cost a start per task
 
 
 def one_hot_stages(cols: Sequence[str]) -> list:
@@ -77,6 +79,8 @@ class DetectionPipeline(Estimator, ST._Columns, ST._Saved):
 
     def _fit(self, df: DataFrame) -> PipelineModel:
         o, kind, raw = self.settings(), self.getOrDefault(self.kind), self.columns()
+        df = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*raw, o["keyCol"], o["labelCol"]])
+                         if c in raw or c in df.columns])
         if kind == "iforest":
             df = df.where(F.col(o["labelCol"]) == 0)
         fitted: list = []
@@ -92,9 +96,8 @@ class DetectionPipeline(Estimator, ST._Columns, ST._Saved):
             current = step(ST.ExactRobustScaler(inputCols=nums), df)
         else:
             current = step(ST.NetworkFeatures(inputCols=raw), df)
-            # selection reads the engineered rows several times
-            current = current.persist(StorageLevel.MEMORY_AND_DISK)
-            held = current
+            # selection reads the engineered rows several times, a few columns at a time
+            current = settle_wide(current, "engineered")
             engineered = [c for c in current.columns
                           if c not in df.columns or c in raw]
             current = step(ST.CorrelationSelector(inputCols=engineered,
@@ -109,16 +112,19 @@ class DetectionPipeline(Estimator, ST._Columns, ST._Saved):
         suffix = "_idx" if kind == "gbt" else "_vec"
         current = step(VectorAssembler(inputCols=[*nums, *[f"{c}{suffix}" for c in cats]],
                                        outputCol="features", handleInvalid="keep"), current)
-        # iterative training reads the vectors again and again, but nothing else of a row
         vectors = current.select(*dict.fromkeys(
-            ["features", o["keyCol"] if kind == "iforest" else o["labelCol"]])).persist(
-            StorageLevel.MEMORY_AND_DISK)
-        size = vectors.count() if kind == "logreg" else 0
+            ["features", o["keyCol"] if kind == "iforest" else o["labelCol"]]))
+        size = 0
+        if kind != "iforest":  # a forest reads them once
+            # iterative training reads the vectors again and again, but nothing else of a row
+            size = vectors.count()
+            slots = df.sparkSession.sparkContext.defaultParallelism
+            vectors = vectors.coalesce(max(slots, math.ceil(size / ROWS_A_TASK))).persist(
+                StorageLevel.MEMORY_AND_DISK)
         model = self._estimator(size, cats, fitted).fit(vectors)
         fitted.append(model)
-        vectors.unpersist()
-        if o["select"]:
-            held.unpersist()
+        if kind != "iforest":
+            vectors.unpersist()
         return PipelineModel(stages=fitted)
 
     def _estimator(self, rows: int, cats: list[str], fitted: list) -> Estimator:
@@ -212,7 +218,11 @@ def inference_summary(predictions: DataFrame, kind: str) -> DataFrame:
 def cross_validate(df: DataFrame, kind: str = "iforest", k: int = 5, seed: int = 42,
                    key: str = "row_id", **options) -> DataFrame:
     """fold, roc_auc, average_precision, n_features; the whole pipeline is refitted per fold."""
-    folds = stratified_kfold(df, key, k, seed)
+    raw = DetectionPipeline(kind=kind, **options).columns()
+    # every fold reads all rows twice
+    folds = settle_wide(stratified_kfold(
+        df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*raw, key, "label"])]), key, k, seed),
+        "folds")
     out = None
     for fold in range(1, k + 1):
         train, held = folds.where(F.col("fold") != fold), folds.where(F.col("fold") == fold)

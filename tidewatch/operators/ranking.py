@@ -10,6 +10,8 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -190,12 +192,45 @@ def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str],
         ids, [F.col(f"`{v}`") for v in values], variable, value)
 
 
+def plain_doubles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The columns as doubles without negative zero, named by their place; missing stays missing."""
+    return df.select(*[(F.col(f"`{c}`").cast("double") + F.lit(0.0)).alias(f"c{i}")
+                       for i, c in enumerate(cols)])
+
+
+def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(feature, value, n) of the numbers of each column; a batch counts its own values first."""
+    names = list(cols)
+
+    def counts(batches):
+        for batch in batches:
+            found = []
+            for column in batch.columns:
+                x = column.drop_null().to_numpy(zero_copy_only=False)
+                found.append(np.unique(x[~np.isnan(x)], return_counts=True))
+            at = np.repeat(np.arange(len(found), dtype=np.int32), [len(v) for v, _ in found])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at), pa.array(np.concatenate([v for v, _ in found]), pa.float64()),
+                 pa.array(np.concatenate([n for _, n in found]), pa.int64())],
+                names=["i", "value", "n"])
+
+    if not names:
+        return df.sparkSession.createDataFrame([], "feature string, value double, n long")
+    return plain_doubles(df, names).mapInArrow(counts, "i int, value double, n long").groupBy(
+        "i", "value").agg(F.sum("n").alias("n")).select(
+        F.get(F.array(*map(F.lit, names)), F.col("i")).alias("feature"), "value", "n")
+
+
 def value_ranks(df: DataFrame, cols: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
     """(group, feature, value, n, upto, nth, size, distinct): distinct numeric values with
     running counts of rows and values."""
-    long = melt(df, group, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counted = settle(long.groupBy(*group, "feature", (F.col("value") + F.lit(0.0)).alias("value")
-                                  ).agg(F.count("*").alias("n")))
+    if group:
+        long = melt(df, group, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
+        counted = long.groupBy(*group, "feature", (F.col("value") + F.lit(0.0)).alias("value")
+                               ).agg(F.count("*").alias("n"))
+    else:
+        counted = value_counts(df, cols)
+    counted = settle(counted)
     return prefix_sum(counted, ["value"], {"upto": F.col("n"), "nth": F.lit(1)},
                       group=[*group, "feature"], totals={"size": "upto", "distinct": "nth"})
 

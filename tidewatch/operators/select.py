@@ -10,8 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.operators.ranking import prefix_sum, quantiles_of, value_ranks
-from tidewatch.session import settle
+from tidewatch.operators.ranking import plain_doubles, prefix_sum, quantiles_of, value_ranks
+from tidewatch.session import settle, settle_wide
 
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 HEAVY = 1_000  # a value with at least this share (1 / HEAVY) of the rows is looked up, not joined
@@ -32,20 +32,23 @@ def _rank_matrix(df: DataFrame, cols: list[str],
     """Pearson correlation of tie-averaged ranks for columns without missing values.
 
     A value that holds at least 1 / `HEAVY` of the rows is heavy: there are at most `HEAVY` of them
-    per column, so their ranks go to every task. The other cells get theirs by a join, in which no
-    value is hot, and return to their rows; one pass then sums the products of all column pairs.
+    per column, so their ranks go to every task, which sums the products of all column pairs of its
+    rows at once. Only rows with other cells travel: these get their ranks by a join, in which no
+    value is hot, and return to their rows.
     """
-    data = settle(df.select(
-        F.monotonically_increasing_id().alias("__row"),
-        *[(F.col(f"`{c}`").cast("double") + F.lit(0.0)).alias(c) for c in cols]))
     names = list(cols)
+    slots = [f"c{i}" for i in range(len(names))]
+    data = settle_wide(plain_doubles(df, names).select(
+        F.monotonically_increasing_id().alias("__row"), *slots), "ranks")
     if ranked is None:
-        ranked = value_ranks(data, names)
+        ranked = value_ranks(df, names)
     ranks = ranked.where(F.col("feature").isin(names)).select(
         "feature", "value", "n", "size", "distinct", _tied_rank().alias("rank"))
     heavy = F.col("n") * HEAVY >= F.col("size")
     listed = ranks.where(heavy).toPandas().sort_values(["feature", "value"])
-    varied = {r["feature"] for r in ranks.where("distinct > 1").select("feature").distinct().collect()}
+    kinds = ranks.groupBy("feature").agg(F.max("distinct").alias("distinct"),
+                                         F.count_if(~heavy).alias("light")).collect()
+    varied = {r["feature"] for r in kinds if r["distinct"] > 1}
     shared = df.sparkSession.sparkContext.broadcast({
         c: (g["value"].to_numpy(), g["rank"].to_numpy()) for c, g in listed.groupby("feature")})
 
@@ -55,7 +58,7 @@ def _rank_matrix(df: DataFrame, cols: list[str],
         for i, c in enumerate(names):
             if c in shared.value:
                 values, rank = shared.value[c]
-                x = batch.column(c).to_numpy()
+                x = batch.column(slots[i]).to_numpy()
                 at = np.minimum(np.searchsorted(values, x), len(values) - 1)
                 out[i] = np.where(values[at] == x, rank[at], np.nan)
         return out
@@ -63,33 +66,51 @@ def _rank_matrix(df: DataFrame, cols: list[str],
     def light_cells(batches):
         for batch in batches:
             i, at = np.nonzero(np.isnan(looked_up(batch)))
-            cells = np.stack([batch.column(c).to_numpy() for c in names])[i, at]
+            cells = np.stack([batch.column(c).to_numpy() for c in slots])[i, at]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("__row").take(pa.array(at)), pa.array(i.astype(np.int32)),
                  pa.array(cells)], names=["__row", "i", "value"])
 
-    number = F.array_position(F.array(*map(F.lit, names)), F.col("feature")).cast("int") - 1
-    light = ranks.where(~heavy).select(number.alias("i"), "value", "rank")
-    found = data.mapInArrow(light_cells, "__row long, i int, value double").join(
-        light, ["i", "value"]).groupBy("__row").agg(
-        F.collect_list("i").alias("__i"), F.collect_list("rank").alias("__rank"))
+    def open_rows(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(np.isnan(looked_up(batch)).any(axis=0)))
+
     left, right = np.triu_indices(len(names))
 
+    def summed(total) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"i": pa.array(left, pa.int32()),
+                                           "j": pa.array(right, pa.int32()),
+                                           "s": pa.array(total[left, right])})
+
     def products(batches):
+        total = np.zeros((len(names), len(names)))
+        for batch in batches:
+            cells = looked_up(batch)
+            cells = cells[:, ~np.isnan(cells).any(axis=0)]
+            total += cells @ cells.T
+        yield summed(total)
+
+    def open_products(batches):
         total = np.zeros((len(names), len(names)))
         for batch in batches:
             cells = looked_up(batch)
             at = batch.column("__i")
-            sizes = pc.fill_null(pc.list_value_length(at), 0).to_numpy()
+            sizes = pc.list_value_length(at).to_numpy()
             cells[at.flatten().to_numpy(), np.repeat(np.arange(batch.num_rows), sizes)] = (
                 batch.column("__rank").flatten().to_numpy())
             total += cells @ cells.T
-        yield pa.RecordBatch.from_pydict({"i": pa.array(left, pa.int32()),
-                                          "j": pa.array(right, pa.int32()),
-                                          "s": pa.array(total[left, right])})
-
-    sums = data.join(found, "__row", "left").mapInArrow(
-        products, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).collect()
+        yield summed(total)
+
+    sums = data.mapInArrow(products, "i int, j int, s double")
+    if any(r["light"] for r in kinds):
+        number = F.array_position(F.array(*map(F.lit, names)), F.col("feature")).cast("int") - 1
+        light = ranks.where(~heavy).select(number.alias("i"), "value", "rank")
+        found = data.mapInArrow(light_cells, "__row long, i int, value double").join(
+            light, ["i", "value"]).groupBy("__row").agg(
+            F.collect_list("i").alias("__i"), F.collect_list("rank").alias("__rank"))
+        sums = sums.unionByName(data.mapInArrow(open_rows, data.schema).join(
+            found, "__row").mapInArrow(open_products, "i int, j int, s double"))
+    sums = sums.groupBy("i", "j").agg(F.sum("s").alias("s")).collect()
     gram = {(r["i"], r["j"]): r["s"] for r in sums}
     return {(cols[i], cols[j]): _bounded(gram[i, j], gram[i, i], gram[j, j])
             if {cols[i], cols[j]} <= varied else None
@@ -173,18 +194,55 @@ def _plain(df: DataFrame):
 
 
 def column_facts(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
-    """rows, gaps, lowest, highest and a checksum per column: one aggregation, no shuffle."""
+    """rows, gaps, lowest, highest and a checksum per column; a task hands on one row per column."""
     cols = list(cols)
     plain, _ = _plain(df)
-    aggs = [F.count("*").alias("rows")]
-    for i, c in enumerate(cols):
-        x = plain(c)
-        aggs += [F.count_if(x.isNull()).alias(f"gaps{i}"), F.min(x).alias(f"lo{i}"),
-                 F.max(x).alias(f"hi{i}"),
-                 F.bit_xor(F.xxhash64(x)).alias(f"sum{i}")]
-    row = df.agg(*aggs).first()
-    return {c: {"rows": row["rows"], "gaps": row[f"gaps{i}"], "lo": row[f"lo{i}"],
-                "hi": row[f"hi{i}"], "sum": row[f"sum{i}"]} for i, c in enumerate(cols)}
+    numbers = numeric_columns(df, cols)
+    out: dict[str, dict] = {}
+
+    def mixed(x):
+        """A 64-bit hash of each double."""
+        z = x.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return (z ^ (z >> np.uint64(31))).view(np.int64)
+
+    def facts(batches):
+        rows, gaps = 0, [0] * len(numbers)
+        low, high, total = [None] * len(numbers), [None] * len(numbers), [0] * len(numbers)
+        for batch in batches:
+            rows += batch.num_rows
+            for i, column in enumerate(batch.columns):
+                x = column.drop_null().to_numpy(zero_copy_only=False)
+                x = x[~np.isnan(x)]
+                gaps[i] += batch.num_rows - len(x)
+                if len(x):
+                    low[i] = float(x.min()) if low[i] is None else min(low[i], float(x.min()))
+                    high[i] = float(x.max()) if high[i] is None else max(high[i], float(x.max()))
+                    total[i] ^= int(np.bitwise_xor.reduce(mixed(x)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(len(numbers)), pa.int32()), pa.array([rows] * len(numbers), pa.int64()),
+             pa.array(gaps, pa.int64()), pa.array(low, pa.float64()), pa.array(high, pa.float64()),
+             pa.array(total, pa.int64())], names=["i", "rows", "gaps", "lo", "hi", "sum"])
+
+    if numbers:
+        found = {r["i"]: r for r in plain_doubles(df, numbers).mapInArrow(
+            facts, "i int, rows long, gaps long, lo double, hi double, sum long").groupBy("i").agg(
+            F.sum("rows").alias("rows"), F.sum("gaps").alias("gaps"), F.min("lo").alias("lo"),
+            F.max("hi").alias("hi"), F.bit_xor("sum").alias("sum")).collect()}
+        none = {"rows": 0, "gaps": 0, "lo": None, "hi": None, "sum": None}
+        out |= {c: {k: found.get(i, none)[k] for k in none} for i, c in enumerate(numbers)}
+    rest = [c for c in cols if c not in out]
+    for part in (rest[i:i + 20] for i in range(0, len(rest), 20)):
+        aggs = [F.count("*").alias("rows")]
+        for i, c in enumerate(part):
+            x = plain(c)
+            aggs += [F.count_if(x.isNull()).alias(f"gaps{i}"), F.min(x).alias(f"lo{i}"),
+                     F.max(x).alias(f"hi{i}"), F.bit_xor(F.xxhash64(x)).alias(f"sum{i}")]
+        row = df.agg(*aggs).first()
+        out |= {c: {"rows": row["rows"], "gaps": row[f"gaps{i}"], "lo": row[f"lo{i}"],
+                    "hi": row[f"hi{i}"], "sum": row[f"sum{i}"]} for i, c in enumerate(part)}
+    return out
 
 
 def constant_columns(df: DataFrame, cols: Sequence[str], facts: dict | None = None) -> list[str]:

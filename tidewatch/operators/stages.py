@@ -140,10 +140,13 @@ class PopStandardScaler(Estimator, _Columns, _Saved):
             self._set(inputCols=inputCols)
 
     def _fit(self, df: DataFrame) -> "AffineModel":
-        cols = self.columns()
-        row = df.agg(*[F.avg(present(c)).alias(f"m{i}") for i, c in enumerate(cols)],
-                     *[F.stddev_pop(present(c)).alias(f"s{i}")
-                       for i, c in enumerate(cols)]).first()
+        cols, row = self.columns(), {}
+        # few columns at a time: an aggregation of hundreds of fields isn't compiled
+        for start in range(0, len(cols), 16):
+            part = list(enumerate(cols))[start:start + 16]
+            row |= df.agg(*[F.avg(present(c)).alias(f"m{i}") for i, c in part],
+                          *[F.stddev_pop(present(c)).alias(f"s{i}")
+                            for i, c in part]).first().asDict()
         return AffineModel(
             inputCols=cols, fill=[], center=[row[f"m{i}"] or 0.0 for i in range(len(cols))],
             scale=[row[f"s{i}"] or 1.0 for i in range(len(cols))])

@@ -49,8 +49,7 @@ def q_iforest_fit(spark, d):
 
 
 def q_iforest_score(spark, d):
-    data, model = fitted(spark, d, "iforest")
-    return M.score_with(model, data, "iforest").select("row_id", "label", "score")
+    return scored(spark, d, "iforest")
 
 
 BOXES = [  # tree, leaf, feature, lo, hi, depth, n: three small trees
@@ -76,14 +75,18 @@ def fitted(spark, d, kind, **options):
     return data, M.DetectionPipeline(kind=kind, inputCols=S.RAW_FEATURES, **options).fit(data)
 
 
+def scored(spark, d, kind):
+    data, model = fitted(spark, d, kind)
+    return M.score_with(model, data.select("row_id", "label", *S.RAW_FEATURES), kind).select(
+        "row_id", "label", "score")
+
+
 def q_logreg(spark, d):
-    data, model = fitted(spark, d, "logreg")
-    return M.score_with(model, data, "logreg").select("row_id", "label", "score")
+    return scored(spark, d, "logreg")
 
 
 def q_gbt(spark, d):
-    data, model = fitted(spark, d, "gbt")
-    return M.score_with(model, data, "gbt").select("row_id", "label", "score")
+    return scored(spark, d, "gbt")
 
 
 def q_pipeline(spark, d):

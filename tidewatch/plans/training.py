@@ -1,6 +1,5 @@
 """Split, fit, choose a threshold on validation, judge on test."""
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +8,7 @@ from tidewatch.operators import metrics as MT
 from tidewatch.operators import models as M
 from tidewatch.operators.bootstrap import bootstrap_ci
 from tidewatch.operators.clean import normal_rows, seeded_sample, split_summary, stratified_split
+from tidewatch.session import settle_wide
 from tidewatch.sources.tables import require_columns, write_report
 
 
@@ -20,7 +20,7 @@ def train(df: DataFrame, raw: list[str], kind: str = "iforest", key: str = "row_
     The threshold sees validation rows only; test rows are touched once it is fixed.
     """
     require_columns(df, [*raw, "label", "attack_type"], "no training without")
-    rows = stratified_split(df, key, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = settle_wide(stratified_split(df, key, seed=seed), "split")
     part = {s: rows.where(F.col("split") == s) for s in ("train", "validation", "test")}
     normal_rows(part["train"])
     model = M.DetectionPipeline(kind=kind, inputCols=raw, keyCol=key, seed=seed,

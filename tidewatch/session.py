@@ -36,6 +36,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def settle_wide(df: DataFrame, name: str) -> DataFrame:
+    """Like `settle` for many columns of numbers: encoded by column, so later passes read little."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of an aggregate that several later passes read.
 
