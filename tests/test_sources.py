@@ -176,7 +176,7 @@ def test_match_stream_forgets_each_id_on_its_own(spark, tmp_path):
     truth, pred = tmp_path / "t", tmp_path / "p"
     portions = [([{"seq": 1, "ts": 1.0, "event_id": "old", "label": 1},
                   {"seq": 2, "ts": 100.0, "event_id": "new", "label": 1}], []),
-                ([{"seq": 3, "ts": 120.0, "event_id": "x", "label": 0}], []),
+                ([{"seq": 3, "ts": 150.0, "event_id": "x", "label": 0}], []),
                 ([], [{"seq": 4, "ts": 121.0, "event_id": "old", "prediction": 1},
                       {"seq": 5, "ts": 122.0, "event_id": "new", "prediction": 1}])]
     for t, p in portions:
