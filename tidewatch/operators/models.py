@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
     OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators import stages as ST
+from tidewatch.operators.boosting import BoostedTrees
 from tidewatch.operators.clean import stratified_kfold
 from tidewatch.operators.iforest import IsolationForest
 from tidewatch.operators.metrics import evaluate
@@ -138,9 +139,9 @@ class DetectionPipeline(Estimator, ST._Columns, ST._Saved):
                                       standardization=False, maxIter=3000)
         sizes = [len(v) + 1 for m in fitted if isinstance(m, StringIndexerModel)
                  for v in m.labelsArray]
-        return GBTClassifier(featuresCol="features", labelCol=o["labelCol"],
-                             maxIter=o["iterations"], maxDepth=6, stepSize=0.08, seed=o["seed"],
-                             maxBins=max([32, *sizes]))
+        return BoostedTrees(featuresCol="features", labelCol=o["labelCol"],
+                            maxIter=o["iterations"], maxDepth=6, stepSize=0.08, seed=o["seed"],
+                            maxBins=max([32, *sizes]))
 
 
 def selected_features(pipeline: PipelineModel) -> list[str]:
