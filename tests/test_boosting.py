@@ -1,4 +1,4 @@
-"""Boosted trees of one barrier stage against Spark's own."""
+"""Boosted trees of one barrier stage against Spark's own, and attributions of all rows."""
 
 import numpy as np
 import pytest
@@ -6,6 +6,7 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from tidewatch.operators import attribution as A
 from tidewatch.operators.boosting import BoostedTrees
 
 SETTINGS = dict(maxDepth=4, stepSize=0.08, seed=42, labelCol="label")
@@ -57,3 +58,28 @@ def test_columns_without_a_split(spark):
     df = VectorAssembler(inputCols=["x"], outputCol="features").transform(
         spark.range(20).select(F.lit(1.0).alias("x"), (F.col("id") % 2).cast("int").alias("label")))
     assert BoostedTrees(maxIter=2, **SETTINGS).fit(df).trees[0].numNodes == 1
+
+
+def test_patterns_equal_polynomials(spark, vectors, monkeypatch):
+    nodes = A.boosted_nodes(BoostedTrees(maxIter=6, **SETTINGS).fit(vectors))
+    paths = A.PathAttribution(nodes, 4)
+    x = np.array([r["x"] for r in vectors.select(vector_to_array("features").alias("x")).collect()])
+    x[0, 0] = 50.0  # a category of no set
+    for block, kept in ((1 << 17, 1 << 24), (40, 0)):
+        monkeypatch.setattr(A.PatternAttribution, "BLOCK", block)
+        monkeypatch.setattr(A.PatternAttribution, "KEPT", kept)
+        parts, margin = A.PatternAttribution(paths).explain(x)
+        assert parts == pytest.approx(paths.explain(x), abs=1e-9)
+        assert margin == pytest.approx(paths.margin(x), abs=1e-9)
+
+
+def test_every_row_is_attributed(spark, vectors, monkeypatch):
+    from pyspark.ml import PipelineModel
+    from tidewatch.plans import model_queries as Q
+    model = PipelineModel(stages=[BoostedTrees(maxIter=3, **SETTINGS).fit(vectors)])
+    monkeypatch.setattr(Q, "fitted", lambda *_, **__: (vectors, model))
+    got = Q.q_boosted(spark, None).groupBy("row_id").agg(
+        F.count("*").alias("n"), (F.first("base") + F.sum("attribution") - F.first("margin")).alias("off"))
+    rows = got.collect()
+    assert {r["row_id"] for r in rows} == set(range(700))
+    assert all(r["n"] == 4 and abs(r["off"]) < 1e-9 for r in rows)

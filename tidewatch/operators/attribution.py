@@ -5,6 +5,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators.clean import seeded_sample
-from tidewatch.operators.iforest import IsolationForestModel, expected_path
+from tidewatch.operators.iforest import IsolationForestModel, expected_path, matrix_of
 from tidewatch.operators.ranking import melt
 from tidewatch.session import scratch_path
 
@@ -167,25 +168,123 @@ class PathAttribution:
         return out
 
 
-def _explained(df: DataFrame, attribution: PathAttribution, names: list[str], features: str,
-               key: str, total: str) -> DataFrame:
-    """(key, feature, attribution, base, total) by Arrow batches; the trees go out once."""
-    shared = df.sparkSession.sparkContext.broadcast(attribution)
+class PatternAttribution:
+    """Values of a `PathAttribution` from a table per leaf: what a row adds to the features depends
+    only on which of the leaf's tests it passes, at most 2 ** depth patterns.
+
+    A row's value of a feature counts by its place among the thresholds (or categories) of that
+    feature, so the patterns of all leaves are sums of one line of bits per feature.
+    """
+
+    BLOCK, KEPT = 1 << 17, 1 << 24  # table entries computed at once and kept by a task
+
+    def __init__(self, paths: PathAttribution):
+        leaves, d = paths.feature.shape
+        self.width, self.base, kind = paths.width, paths.base, np.min_scalar_type(2 ** d - 1)
+        used = np.isfinite(paths.lo) | np.isfinite(paths.hi) | (paths.listed >= 0)
+        # larger tables are computed anew for each batch, block by block
+        self.keep = leaves * 2 ** d * (d + 1) <= self.KEPT
+        self.step = max(1, self.BLOCK // (2 ** d * (d + 1)))
+        self.paths, self.kept = paths, {}
+        self.places: list[tuple] = []
+        for f in range(self.width):
+            leaf, slot = np.nonzero(used & (paths.feature == f))
+            if not len(leaf):
+                continue
+            listed, bit = paths.listed[leaf, slot], (1 << slot).astype(kind)
+            if (listed >= 0).any():
+                cuts, inside = None, paths.sets[listed].T
+            else:
+                lo, hi = paths.lo[leaf, slot], paths.hi[leaf, slot]
+                cuts = np.unique(np.concatenate([lo, hi]))
+                cuts = cuts[np.isfinite(cuts)]
+                place = np.arange(len(cuts) + 1)[:, None]
+                low = np.where(np.isneginf(lo), -1, np.searchsorted(cuts, lo))
+                high = np.where(np.isposinf(hi), len(cuts), np.searchsorted(cuts, hi))
+                inside = (place > low) & (place <= high)
+            bits = np.zeros((len(inside), leaves), kind)
+            bits[:, leaf] = inside * bit
+            self.places.append((f, cuts, bits))
+        self.free = (~used * (1 << np.arange(d))).sum(axis=1).astype(kind)
+
+    def table(self, start: int) -> np.ndarray:
+        """(leaf, pattern) x (slots, then the value itself) of one block of leaves."""
+        if start in self.kept:
+            return self.kept[start]
+        p, part = self.paths, slice(start, start + self.step)
+        share, value = p.share[part][:, None], p.value[part][:, None]
+        d = share.shape[2]
+        inside = np.arange(2 ** d)[:, None] >> np.arange(d) & 1 == 1
+        out = np.empty((len(share), 2 ** d, d + 1))
+        poly = np.zeros((d + 1, len(share), 2 ** d))
+        poly[0] = 1.0
+        for j in range(d):
+            poly[1:] = poly[1:] * share[:, :, j] + poly[:-1] * inside[:, j]
+            poly[0] *= share[:, :, j]
+        for j in range(d):
+            z, o = share[:, :, j], inside[:, j]
+            total, q = np.zeros(poly.shape[1:]), np.zeros(poly.shape[1:])
+            for k in range(d - 1, -1, -1):
+                q = np.where(o, poly[k + 1] - z * q, poly[k] / z)
+                total += p.weight[k] * q
+            out[:, :, j] = value * (o - z) * total
+        out[:, :, d] = value * inside.all(axis=1)
+        out = out.reshape(-1, d + 1)
+        if self.keep:
+            self.kept[start] = out
+        return out
+
+    def explain(self, x: np.ndarray, chunk: int = 256) -> tuple[np.ndarray, np.ndarray]:
+        """Attribution per row and feature, and the margin per row."""
+        leaves, d = self.paths.feature.shape
+        wide = self.width + 1
+        sums = np.zeros((len(x), wide))
+        at = [np.searchsorted(cuts, x[:, f]) if cuts is not None else
+              np.clip(np.nan_to_num(x[:, f], nan=len(bits)), 0, len(bits) - 1).astype(np.int64)
+              for f, cuts, bits in self.places]
+        slots = np.concatenate([self.paths.feature, np.full((leaves, 1), self.width)], axis=1)
+        for start in range(0, len(x), chunk):
+            size = min(chunk, len(x) - start)
+            pattern = np.tile(self.free, (size, 1))
+            for place, (_, _, bits) in zip(at, self.places, strict=True):
+                pattern += bits.take(place[start:start + size], axis=0)
+            row = np.arange(size)[:, None] * wide
+            for first in range(0, leaves, self.step):  # a block of tables fits a core's cache
+                part = slice(first, first + self.step)
+                line = (np.arange(len(slots[part])) << d) + pattern[:, part]
+                added = self.table(first).take(line.ravel(), axis=0)
+                sums[start:start + size] += np.bincount(
+                    (row + slots[part].ravel()).ravel(), added.ravel(), minlength=size * wide
+                ).reshape(size, wide)
+        return sums[:, :-1], sums[:, -1]
+
+
+def _explained(df: DataFrame, explain, shared, names: list[str], features: str, key: str,
+               total: str) -> DataFrame:
+    """(key, feature, attribution, base, total) by Arrow batches; the trees go out once.
+
+    `explain` gives attributions per row and feature, and the total per row, of the broadcast
+    `shared`. A batch returns one list per row; names are added in generated code.
+    """
+    spark = df.sparkSession
+    sent = spark.sparkContext.broadcast(shared)
     kind = dict(df.dtypes)[key]
 
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
+    def explained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            x = np.stack(pdf["x"].to_numpy())
-            yield pd.DataFrame({
-                key: np.repeat(pdf[key].to_numpy(), len(names)),
-                "feature": np.tile(names, len(pdf)),
-                "attribution": shared.value.explain(x).ravel(), "base": shared.value.base,
-                total: np.repeat(shared.value.margin(x), len(names))})
+            parts, margin = explain(sent.value, matrix_of(batch.column("x")))
+            ends = np.arange(len(parts) + 1, dtype=np.int32) * len(names)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key), pa.ListArray.from_arrays(ends, pa.array(parts.ravel())),
+                 pa.array(margin)], names=[key, "parts", total])
 
-    return df.select(key, vector_to_array(features).alias("x")).mapInPandas(
-        explain, f"{key} {kind}, feature string, attribution double, base double, {total} double")
+    rows = df.select(key, vector_to_array(features).alias("x")).mapInArrow(
+        explained, f"`{key}` {kind}, parts array<double>, `{total}` double")
+    return rows.select(key, total, F.posexplode("parts").alias("i", "attribution")).select(
+        key, F.get(F.array(*map(F.lit, names)), F.col("i")).alias("feature"), "attribution",
+        F.lit(shared.base).alias("base"), total)
 
 
 def boosted_nodes(model: GBTClassificationModel) -> pd.DataFrame:
@@ -218,8 +317,9 @@ def boosted_attribution(model: GBTClassificationModel, df: DataFrame, names: Seq
                         key: str = "row_id") -> DataFrame:
     """(key, feature, attribution, base, margin) of boosted trees, in margin space."""
     names = list(names)
-    return _explained(df, PathAttribution(boosted_nodes(model), len(names)), names,
-                      model.getFeaturesCol(), key, "margin")
+    trees = PatternAttribution(PathAttribution(boosted_nodes(model), len(names)))
+    return _explained(df, PatternAttribution.explain, trees, names, model.getFeaturesCol(), key,
+                      "margin")
 
 
 def tree_attribution(model: IsolationForestModel, df: DataFrame, names: Sequence[str],
@@ -228,7 +328,8 @@ def tree_attribution(model: IsolationForestModel, df: DataFrame, names: Sequence
     names = list(names)
     nodes = model.nodes.assign(value=(model.nodes["depth"] + expected_path(model.nodes["n"]))
                                / model.nodes["tree"].nunique())
-    return _explained(df, PathAttribution(nodes, len(names)), names,
+    return _explained(df, lambda paths, x: (paths.explain(x), paths.margin(x)),
+                      PathAttribution(nodes, len(names)), names,
                       model.getOrDefault(model.featuresCol), key, "path_length")
 
 
