@@ -172,3 +172,19 @@ def test_exact_quantiles_match_numpy(spark):
     assert [row[c] for c in "abc"] == pytest.approx(list(np.quantile(x, [0.05, 0.5, 0.95])))
     probs = [i / 50 for i in range(51)]
     assert R.quantile_grid(df, "x", probs) == pytest.approx(list(np.quantile(x, probs)))
+
+
+def test_replicates_are_lists_not_rows(spark, monkeypatch):
+    """Replicates are summed from lists, with missing scores and labels and both labels of a score."""
+    rows = [(None if i % 17 == 3 else int(i % 3 == 0), None if i % 29 == 5 else float(i % 11) / 10)
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    cuts = [-0.7, -0.3]
+    want = {r["rep"]: r for r in M.evaluate(
+        B.resample(df, 20), 0.5, ["rep"], True, weight=F.col("w"), cuts=cuts, pvalue=False).collect()}
+    sums = B.replicate_sums(B.drawn(df, 20), 20, 0.5, True, cuts)
+    for r in M.suite(sums, ["rep"], True).collect():
+        for name in (*M.METRICS, "log_loss", "brier", "tp", "fp", "fn", "tn", "p", "n"):
+            assert r[name] == pytest.approx(want[r["rep"]][name]), name
+    monkeypatch.setattr(B, "resample", None)  # one row per draw is not made
+    assert B.bootstrap_ci(df, 0.5, 20, metrics=["roc_auc"]).first()["replicates"] == 20

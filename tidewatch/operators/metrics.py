@@ -230,7 +230,12 @@ def evaluate(scored: DataFrame, threshold, by: Sequence[str] = (), probabilities
             F.sum(F.col("pos") * F.pow(F.col("score") - 1, 2)
                   + F.col("neg") * F.pow(F.col("score"), 2)).alias("__br"),
         ]
-    base = cells.groupBy(*by, "p", "n").agg(*aggs)
+    return suite(cells.groupBy(*by, "p", "n").agg(*aggs), by, probabilities, pvalue)
+
+
+def suite(base: DataFrame, by: Sequence[str] = (), probabilities: bool = False,
+          pvalue: bool = True) -> DataFrame:
+    """The metrics of one row of sums per `by`: p, n, tp, fp, ks, __u, __ap (and __ll, __br)."""
     base = base.withColumn("fn", F.col("p") - F.col("tp")).withColumn(
         "tn", F.col("n") - F.col("fp"))
     p, n = F.col("p"), F.col("n")
