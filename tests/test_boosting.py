@@ -51,7 +51,8 @@ def test_jobs_do_not_grow_with_the_trees(spark, vectors):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         return len(found)
 
-    assert jobs(2) == jobs(12)
+    jobs(2)  # the first reads of the cached rows
+    assert jobs(12) <= jobs(3)
 
 
 def test_columns_without_a_split(spark):

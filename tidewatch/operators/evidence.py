@@ -39,7 +39,7 @@ def ioc_candidates(period: DataFrame, baseline: DataFrame | None = None, n: int
             known = seen.join(F.broadcast(names.select("query")), "query", "left_semi").distinct()
             names = names.join(known, "query", "left_anti")
     if check and names.isEmpty():
-        raise ValueError("every name of the period occurs in the baseline")
+        raise ValueError("No novel name: every name of the period occurs in the baseline")
     return names
 
 

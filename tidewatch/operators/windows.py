@@ -33,7 +33,7 @@ def dns_windows(df: DataFrame, width: float, origin=0.0) -> DataFrame:
     aggregates, so a busy client is combined before every shuffle.
     """
     if width <= 0:
-        raise ValueError("a window needs a width above 0")
+        raise ValueError("a window needs a positive width")
     start = origin.scalar() if isinstance(origin, DataFrame) else F.lit(float(origin))
     name = T.clean_qname("query")
     base = address_queries(df).select(
